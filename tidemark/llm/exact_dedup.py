@@ -8,7 +8,8 @@ bytes by grouping. Everything else is unique without its text having moved.
 Cases: a null text counts as empty; texts of white space alone are equal to the empty one; of equal texts the row with
 the most code points stays, then the smallest id (a null id sorts first); repeated rows form a group like any other; an
 empty table gives an empty result; other columns are not looked at.
-The documents are read twice and must come out of a stored table, whose rows keep their places between reads.
+A row is known by its id and a hash of its text when the documents are read again for the suspects' texts; rows alike
+in both are repeats, and all of them have the same answers.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from .common import Scratch, parts, two
 
 SPACE = b" \t\n\x0b\x0c\r"
 FP_BITS = 48
-SENT = "uid long, doc_id long, n_chars long, fp long, sha binary, pid int, owner int, n int, payload binary"
+SENT = "doc_id long, text_hash long, n_chars long, fp long, sha binary, pid int, owner int, n int, payload binary"
 
 
 def golomb_encode(values: np.ndarray) -> bytes:
@@ -63,7 +64,7 @@ def _send(owners: int):
             seen.append(np.unique(fp.astype(np.int64)))
             n = len(shas)
             none = pa.nulls(n, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), b.column("n_chars"), pa.array(fp.astype(np.int64)), pa.array(shas, pa.binary()), pa.array(np.full(n, pid, np.int32)), none, none, pa.nulls(n, pa.binary())], names=[x.split()[0] for x in SENT.split(", ")])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), b.column("n_chars"), pa.array(fp.astype(np.int64)), pa.array(shas, pa.binary()), pa.array(np.full(n, pid, np.int32)), none, none, pa.nulls(n, pa.binary())], names=[x.split()[0] for x in SENT.split(", ")])
         own = np.unique(np.concatenate(seen))
         cuts = np.searchsorted(owner_of(own, owners), np.arange(owners + 1))
         for o in np.flatnonzero(np.diff(cuts)):
@@ -94,26 +95,28 @@ def _flag(docs: pa.Table, answers: pa.Table) -> pa.Table:
     answers = answers.sort_by("owner")
     bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(answers.column("bits").to_pylist(), answers.column("n").to_pylist(), strict=True)]
     named = np.concatenate([np.empty(0, np.uint8), *bits]).astype(bool) | (times > 1)
-    return docs.select(["uid", "doc_id", "n_chars", "fp", "sha"]).append_column("suspect", pa.array(named[back] if len(back) else np.empty(0, bool)))
+    return docs.select(["doc_id", "text_hash", "n_chars", "fp", "sha"]).append_column("suspect", pa.array(named[back] if len(back) else np.empty(0, bool)))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space)."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space), and text_hash,
+    XXH64 of the text as it is."""
     spark = docs.sparkSession
     scratch, owners = Scratch(spark, "exact"), owners or parts(spark)
-    rows = two(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
-    raw = rows.select("uid", "doc_id", F.length("text").cast("long").alias("n_chars"), F.col("text").cast("binary").alias("raw"))
+    rows = two(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    raw = rows.select("doc_id", "text_hash", F.length("text").cast("long").alias("n_chars"), F.col("text").cast("binary").alias("raw"))
     sent = scratch.table(raw.mapInArrow(_send(owners), SENT), "sent")
     answers = sent.where("payload is not null").select("pid", "owner", "n", "payload").groupBy("owner").applyInArrow(_answer, "pid int, owner int, n int, bits binary")
-    plain = sent.where("payload is null").select("uid", "doc_id", "n_chars", "fp", "sha", "pid")
-    flagged = scratch.table(plain.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_flag, "uid long, doc_id long, n_chars long, fp long, sha binary, suspect boolean"), "flagged")
+    plain = sent.where("payload is null").select("doc_id", "text_hash", "n_chars", "fp", "sha", "pid")
+    flagged = scratch.table(plain.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_flag, "doc_id long, text_hash long, n_chars long, fp long, sha binary, suspect boolean"), "flagged")
     suspects = flagged.where("suspect")
     bare = F.translate("text", SPACE.decode(), "").alias("bare")
-    texts = rows.select("uid", "text").join(suspects.select("uid", "doc_id", "n_chars", "fp", "sha"), "uid").select("doc_id", "n_chars", "fp", "sha", bare)
+    told = suspects.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_chars", "fp", "sha").distinct()
+    texts = rows.join(told, rows.doc_id.eqNullSafe(told.id) & (rows.text_hash == told.hash)).select("doc_id", "n_chars", "fp", "sha", bare)
     groups = texts.groupBy("fp", "bare").agg(F.min(F.struct((-F.col("n_chars")).alias("x"), "doc_id")).alias("best"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
     groups = scratch.table(groups.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.x").alias("most"), "group_size"), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
-    of_group = suspects.join(groups, ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed)
-    alone = flagged.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), hexed)
+    of_group = suspects.join(groups, ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed, "text_hash")
+    alone = flagged.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), hexed, "text_hash")
     both = of_group.unionByName(alone)
-    return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "text_hash")

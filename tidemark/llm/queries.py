@@ -9,12 +9,43 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import load
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file; such files are never copied here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_id
+
+    return language_id(load(spark, sf_dir))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_scan
+
+    return secret_scan(load(spark, sf_dir))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import token_files
+
+    return token_files(load(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_dedup
 
     return simhash_dedup(load(spark, sf_dir))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import lm_scores
+
+    return lm_scores(load(spark, sf_dir))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embeddings import embedding_dedup
 
@@ -30,7 +61,19 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
-    return exact_dedup(load(spark, sf_dir))
+    return exact_dedup(load(spark, sf_dir)).drop("text_hash")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import best_fit_packing
+
+    return best_fit_packing(load(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import bpe_round_trip
+
+    return bpe_round_trip(load(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
 EXACT_SQL = r"""

@@ -49,14 +49,14 @@ def simhash(raw: bytes, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """doc_id and fp, the 64 bits as a signed long."""
+    """doc_id, text_hash (XXH64 of the text as it is) and fp, the 64 bits as a signed long."""
 
     def run(batches):
         for b in batches:
             fp = np.array([simhash(x, words) for x in b.column("raw").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fp.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return two(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("raw")).mapInArrow(run, "doc_id long, fp long")
+    return two(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("raw")).mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def build_tree(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +132,7 @@ def _shard(radius: int):
 
 
 def near_groups(prints: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame:
-    """prints(doc_id, fp), a stored table: adds component_id, the smallest id reachable over links of at most radius bits."""
+    """prints(doc_id, text_hash, fp), a stored table: adds component_id, the smallest id reachable over links of at most radius bits."""
     spark = prints.sparkSession
     scratch = Scratch(spark, "simhash")
     nodes = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
@@ -154,7 +154,7 @@ def near_groups(prints: DataFrame, radius: int = 2, shard: int = SHARD) -> DataF
     links = dealt.groupBy("shard").applyInArrow(_shard(radius), "u long, v long")
     roots = components(links, scratch)
     named = nodes.join(roots, nodes.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(scratch.table(named, "named"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(scratch.table(named, "named"), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
