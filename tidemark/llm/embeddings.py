@@ -24,7 +24,7 @@ from .components import components, local_roots
 CELL = 256  # vectors a cell should hold
 MAX_CELLS = 4_096
 PER_CELL = 24  # sampled vectors for each cell
-BLOCK = 1_024
+BLOCK = 4_096
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -100,11 +100,11 @@ def _compare(threshold: float):
     return run
 
 
-def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0.2, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0.12, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embeddings")
-    vec = F.col(f"`{vec_col}`").cast("array<double>")
+    vec = F.col(f"`{vec_col}`")  # moved as it is stored, made double in the tasks
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), vec.alias("vec"))
     bad = F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) | ~F.exists("vec", lambda v: v != 0)
     rows = scratch.table(rows.withColumn("ok", F.col("vec_id").isNotNull() & F.coalesce(~bad, F.lit(False))), "rows")
@@ -118,7 +118,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0
         c = spherical_kmeans(_unit(some.column("vec").combine_chunks()), k) if len(some) else np.eye(1, dim)
         cells[dim], first = (c, first), first + len(c)
     shared = spark.sparkContext.broadcast(cells)  # at most MAX_CELLS centroids for each length
-    dealt = scratch.table(nodes.mapInArrow(_assign(shared, slack), "cell int, home int, rep long, times long, vec array<double>"), "dealt")
+    dealt = scratch.table(nodes.mapInArrow(_assign(shared, slack), f"cell int, home int, rep long, times long, vec {nodes.schema['vec'].dataType.simpleString()}"), "dealt")
     blocks = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cut = dealt.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))  # a row per cell
     tasks = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "home", "rep", "times", "vec")
