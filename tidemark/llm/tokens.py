@@ -8,7 +8,9 @@ distinct word; the rest is cutting at its own boundaries and caches of bounded s
 from __future__ import annotations
 
 import json
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import regex
@@ -18,11 +20,13 @@ from tokenizers import Tokenizer
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+assert sys.byteorder == "little"
 #: All that counts as white space in Python; a text where one stands before a space takes the slower way.
 SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 #: Characters whose classes are the same in all versions of Unicode in use; a word with any other is left to the library.
 SETTLED = regex.compile(r"[\x00-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
-CHUNKS, PIECES = 400_000, 200_000
+CHUNKS, PIECES = 700_000, 400_000  # entries in a worker's caches, about 300 MB when full
+ENDS = frozenset(".,;:!?")
 
 
 def byte_names() -> dict[int, str]:
@@ -32,6 +36,26 @@ def byte_names() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Cache(dict):
+    """Ids of words: filled by a function when a word is first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.make(word)
+        return found
+
+
 class WordEncoder:
     _held: dict[str, WordEncoder] = {}
 
@@ -57,17 +81,24 @@ class WordEncoder:
         self.special = {x["content"]: x["id"].to_bytes(2, "little") for x in about["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.model, self.names = self.library.model, byte_names()
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks, self.plain_chunks, self.pieces = _Cache(self._latin), _Cache(self._spaced), _Cache(self._piece)
+        self.before = " " if self.kind == "byte" else ""
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            spelt = piece.encode().decode("latin-1").translate(self.names)
-            found = self.pieces[piece] = b"".join(t.id.to_bytes(2, "little") for t in self.model.tokenize(spelt))
-        return found
+        """Ids of what the pattern finds, by the library's model."""
+        spelt = piece.replace(" ", self.names[32]) if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.names)
+        return array("H", [t.id for t in self.model.tokenize(spelt)]).tobytes()  # little-endian, as asserted above
+
+    def _spaced(self, word: str) -> bytes:
+        return self._plain(self.before + word)
+
+    def _latin(self, word: str) -> bytes:
+        """A word of Latin-1: letters alone, or with one mark behind them, are what the pattern finds."""
+        if word.isalpha():
+            return self.pieces[self.before + word]
+        if word[-1:] in ENDS and word[:-1].isalpha():
+            return self.pieces[self.before + word[:-1]] + self.pieces[word[-1]]
+        return self._plain(self.before + word)
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text of any form: special tokens, then words by the pattern."""
@@ -80,30 +111,25 @@ class WordEncoder:
                 continue
             if self.kind == "word":
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            out += map(self._piece, self.pattern.findall(part))
+            out += map(self.pieces.__getitem__, self.pattern.findall(part))
         return b"".join(out)
 
     def packed(self, text: str) -> bytes:
         """Ids of a text as little-endian 16-bit integers."""
+        for cache, most in ((self.chunks, CHUNKS), (self.plain_chunks, CHUNKS // 4), (self.pieces, PIECES)):
+            if len(cache) > most:
+                cache.clear()
+        latin = _is_latin(text)
+        chunks = self.chunks if latin else self.plain_chunks
         if self.kind == "word":
-            words, head = text.replace("\n", " ").split(" "), b""
-        else:
-            spaces = SPACES[:10] if text.isascii() else SPACES
-            if any(c + " " in text for c in spaces):
-                return self._plain(text)
-            first, *words = text.split(" ")
-            head = self._plain(first)
-        chunks = self.chunks
-        try:
-            return head + b"".join(map(chunks.__getitem__, words))
-        except KeyError:
-            if len(chunks) >= CHUNKS:
-                chunks.clear()
-        before = " " if self.kind == "byte" else ""
-        for w in words:
-            if w not in chunks:
-                chunks[w] = self._plain(before + w)
-        return head + b"".join(map(chunks.__getitem__, words))
+            if latin and "<|" not in text:
+                text = text.lower()  # of these characters none is changed by NFC, and each is lowered for itself
+            return b"".join(map(chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        spaces = SPACES[:10] if text.isascii() else SPACES
+        if any(c + " " in text for c in spaces):
+            return self._plain(text)
+        first, *words = text.split(" ")
+        return self._plain(first) + b"".join(map(chunks.__getitem__, words))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u2")
