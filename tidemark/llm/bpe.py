@@ -1,6 +1,7 @@
 """BPE encoding and decoding (operator 10) through a table of distinct words.
 
-Texts are split in Spark into words that no token crosses: a run of white space and what follows up to the next one.
+Texts are split in Spark into the words of the tokenizer's pattern, which no token crosses; where a text has characters
+whose classes depend on the version of Unicode, into runs of white space with what follows up to the next.
 Each distinct word is encoded once for the whole corpus, by the tokenizers library; its ids go back to every chunk of
 documents that has the word, and from there to every place. Decoding joins ids to the table of pieces, whose size is
 that of the vocabulary, and reads the joined bytes as UTF-8.
@@ -19,26 +20,26 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import Scratch, two
-from .tokens import SPACES, WordEncoder
+from .tokens import BYTE_PATTERN, SETTLED, SPACES, WordEncoder
 from .wordcodes import code_words, unpack_codes
 
-CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+PATTERN = regex.compile(BYTE_PATTERN)
+CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 ODD = re.compile("[" + "".join(c for c in SPACES if c not in " \t\n\x0b\x0c\r") + "]")
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    """Words that no token crosses. Where there is white space other than ASCII's, runs may mix: then they are cut with
-    all white space counted."""
-    if not raw.isascii() or any(c in raw for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f")):
-        text = raw.decode()
-        if ODD.search(text):
-            return [x.encode() for x in mixed_words(text)]
-    return CHUNK.findall(raw)
+def words_of(raw: bytes) -> list[str]:
+    """Words that no token crosses; joined they are the text."""
+    text = raw.decode()
+    if "<|" not in text and (text.isascii() or SETTLED.fullmatch(text)):
+        return PATTERN.findall(text)
+    return mixed_words(text) if ODD.search(text) else CHUNK.findall(text)
 
 
 def mixed_words(text: str) -> list[str]:
@@ -67,7 +68,7 @@ def _encode(path: str):
             word = b.column("word").combine_chunks() if isinstance(b.column("word"), pa.ChunkedArray) else b.column("word")
             runs = pc.run_end_encode(word)  # equal words stand together
             values = runs.values.to_pylist()
-            fresh = [w.decode() for w in values if w != last[0]]
+            fresh = [w for w in values if w != last[0]]
             made = iter(library.encode_batch_fast(fresh, add_special_tokens=False))
             ids = [last[1] if w == last[0] else np.array(next(made).ids, "<u4").tobytes() for w in values]
             lengths = np.diff(runs.run_ends.to_numpy(), prepend=0)
@@ -99,7 +100,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     scratch = Scratch(docs.sparkSession, "bpe")
     raw = two(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("raw"), F.lit(False).alias("flag"))
-    coded, words = code_words(raw, words_of, scratch)
+    coded, words = code_words(raw, words_of, scratch, binary=False)
     # sorted by word within a hash of the word, so equal ones meet and are encoded once; a word comes once per chunk
     encoded = words.select("word", "chunk", "at").repartition("word").sortWithinPartitions("word").mapInArrow(_encode(path), "chunk long, at int, ids binary")
     found = coded.select("chunk", "doc_id", "codes").groupBy("chunk").cogroup(encoded.groupBy("chunk"))

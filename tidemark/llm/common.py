@@ -25,6 +25,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
+        self.tables: list[str] = []
         atexit.register(self.drop)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
@@ -32,12 +33,22 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, name: str, column: str) -> tuple[DataFrame, DataFrame]:
+        """A table laid out by a hash of a column, so that joins and groups on it need not move it; given twice: as that
+        table, and as plain files with columns of their own."""
+        path, table = f"{self.path}/{name}", f"{self.path.rsplit('/', 1)[1]}-{name}".replace("-", "_")
+        df.write.option("compression", "zstd").option("path", path).bucketBy(parts(self.spark), column).saveAsTable(table)
+        self.tables.append(table)
+        return self.spark.table(table), self.spark.read.schema(df.schema).parquet(path)
+
     def drop(self, name: str = "") -> None:
-        jvm, conf = getattr(self.spark, "_jvm", None), None
         try:
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        except Exception:  # the session has ended and its folder with it
+            jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        except AttributeError:  # the session has ended
             return
+        if not name:
+            for table in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
         path.getFileSystem(conf).delete(path, True)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-ROWS = "chunk long, doc_id long, flag boolean, n int, codes binary, first int, words array<binary>, times array<long>"
+ROWS = "chunk long, doc_id long, flag boolean, n int, codes binary, first int, words array<{}>, times array<long>"
 SLICE = 20_000  # words of a dictionary in one row
 
 
@@ -36,11 +36,11 @@ def unpack_codes(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int = 300_000) -> tuple[DataFrame, DataFrame]:
-    """docs(doc_id, raw binary, flag boolean). split: from bytes to a list of bytes. Returns the coded documents
+def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int = 800_000, binary: bool = True) -> tuple[DataFrame, DataFrame]:
+    """docs(doc_id, raw binary, flag boolean). split: from bytes to a list of bytes, or of texts if not binary. Returns the coded documents
     (chunk, doc_id, flag, n, codes) and the dictionaries (chunk, at, word, times): times counts the word in documents
     whose flag is true."""
-    schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("flag", pa.bool_()), ("n", pa.int32()), ("codes", pa.binary()), ("first", pa.int32()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int64()))])
+    schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("flag", pa.bool_()), ("n", pa.int32()), ("codes", pa.binary()), ("first", pa.int32()), ("words", pa.list_(pa.binary() if binary else pa.string())), ("times", pa.list_(pa.int64()))])
 
     def run(batches):
         chunk, numbers, times = TaskContext.get().partitionId() << 32, _Numbers(), np.zeros(1 << 16, np.int64)
@@ -65,14 +65,14 @@ def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int =
                             np.add.at(times, c, 1)
                     ids.append(doc_id), ns.append(len(c)), codes.append(pack_codes(c)), flags.append(flag)
                 k = len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * k, pa.int64()), pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(ns, pa.int32()), pa.array(codes, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.binary())), pa.nulls(k, pa.list_(pa.int64()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * k, pa.int64()), pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(ns, pa.int32()), pa.array(codes, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, schema.field("words").type), pa.nulls(k, pa.list_(pa.int64()))], schema=schema)
                 if len(numbers) > words:
                     yield from table()
                     chunk, numbers, times = chunk + 1, _Numbers(), np.zeros(1 << 16, np.int64)
         yield from table()
 
-    both = scratch.table(docs.select("doc_id", "raw", "flag").mapInArrow(run, ROWS), "coded")
+    # laid out by chunk: the coded texts are joined where they are, only words and what is known of them move
+    both, again = scratch.bucketed(docs.select("doc_id", "raw", "flag").mapInArrow(run, ROWS.format("binary" if binary else "string")), "coded", "chunk")
     coded = both.where("codes is not null").select("chunk", "doc_id", "flag", "n", "codes")
-    again = docs.sparkSession.read.schema(both.schema).parquet(f"{scratch.path}/coded")  # columns of its own, for joins with the documents
     slices = again.where("words is not null").select("chunk", "first", F.posexplode(F.arrays_zip("words", "times")).alias("i", "w"))
     return coded, slices.select("chunk", (F.col("first") + F.col("i")).alias("at"), F.col("w.words").alias("word"), F.col("w.times").alias("times"))
