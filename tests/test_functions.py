@@ -1,0 +1,171 @@
+"""Edge rules of the column functions and of the parsers, on literal rows."""
+
+import io
+import struct
+import zipfile
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import binary, blocks, html, text, urls, values
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first().x
+
+
+@pytest.mark.parametrize("raw, want", [("  a \xa0\t b\n", "a b"), (None, ""), ("　x", "x"), ("a\x1cb", "a b")])
+def test_squeeze(spark, raw, want):
+    assert one(spark, text.squeeze(F.lit(raw).cast("string"))) == want
+
+
+@pytest.mark.parametrize("raw, want", [("\n \xa0\n x \ny", "x"), ("", ""), (None, ""), ("a b", "a"), (" \n ", "")])
+def test_first_line(spark, raw, want):
+    assert one(spark, text.first_line(F.lit(raw).cast("string"))) == want
+
+
+@pytest.mark.parametrize("raw, want", [("[ A , B ] t", "A/B"), ("x [A]", "general"), ("[ ] x", "general"), ("  [a//b  c]", "a/b c")])
+def test_title_label(spark, raw, want):
+    assert one(spark, text.title_label(F.lit(raw))) == want
+
+
+@pytest.mark.parametrize("raw, want", [("see https://u:p@h.x/a/b?token=1 now", "see h.x/a/b now"), ("api_key = abc123", "api_key = [REDACTED]"), ("Bearer abcdefgh12", "[REDACTED]"), ("id 0123abcd-0123-0123-0123-0123456789ab.", "id [ID].")])
+def test_redact(spark, raw, want):
+    assert one(spark, text.redact(F.lit(raw))) == want
+
+
+@pytest.mark.parametrize("n, want", [(0, []), (1, [1]), (1900, [1900]), (1901, [1900, 1])])
+def test_chunks(spark, n, want):
+    assert [len(x) for x in one(spark, text.chunks(F.repeat(F.lit("é"), F.lit(n))))] == want
+
+
+def test_truncate_utf8(spark):
+    assert one(spark, text.truncate_utf8(F.lit("é" * 10 + ".pdf"), 12)) == "éééé.pdf"
+    assert one(spark, text.truncate_utf8(F.lit("a.pdf"), 12)) == "a.pdf"
+
+
+@pytest.mark.parametrize("raw, want", [("12,345", 12345), ("x", None), ("1" * 19, None), ("1" * 18, int("1" * 18)), ("1" + " " * 128, None)])
+def test_digits_int(spark, raw, want):
+    assert one(spark, values.digits_int(F.lit(raw))) == want
+
+
+@pytest.mark.parametrize("raw, want", [("2024.03.05", "2024-03-05T00:00:00+09:00"), ("20240305010203", "2024-03-05T01:02:03+09:00"), ("2024-02-30", None), ("", None), ("2024-03-05 25:00:00", None)])
+def test_source_date(spark, raw, want):
+    assert one(spark, values.iso(values.source_date(F.lit(raw)))) == want
+
+
+@pytest.mark.parametrize("raw, want", [("RED", "red"), ("#fff", "gray"), ("#00f", "blue"), ("rgb(300, 0, 0)", "red"), ("transparent", None), ("#12", None), ("#111111", "default")])
+def test_css_colour(spark, raw, want):
+    assert one(spark, values.css_colour(F.lit(raw))) == want
+
+
+def test_identity_url(spark):
+    a, b = (one(spark, values.identity_url(F.lit(u))) for u in ("HTTPS://H.x/A?signature=1&fileId=7&sg=2#z", "https://h.x/A?sg=2&fileid=7&expires=9"))
+    assert a == b == "https://h.x/A?fileid=7&sg=2"
+    assert one(spark, values.identity_url(F.lit("https://h.x/a?sg=1&sg=2&x"))) == "https://h.x/a?sg=1&sg=2"
+
+
+def test_fingerprint_tells_null_from_empty(spark):
+    f = lambda v: one(spark, values.fingerprint(F.lit(v).cast("string"), F.lit("a")))
+    assert len({f(None), f(""), f("-")}) == 3
+
+
+def test_allowed_host(spark):
+    ok = lambda h: one(spark, values.allowed_host(F.lit(h).cast("string"), ["x.org"]))
+    assert [ok(h) for h in ("x.org", "A.X.org.", "ax.org", "", None)] == [True, True, False, False, False]
+
+
+def test_canonical_url():
+    assert urls.canonical_one("http://H.com:80/a b?b=2&a=1&page=3#f") == "https://h.com/a%20b?a=1&b=2"
+    assert [urls.canonical_one(u) for u in (None, "", "ftp://h/", "https://u@h/", "https://h:99999/", "https://h:8080/")] == [None] * 6
+    assert urls.canonical_one("https://a.h.com/", ("h.com",)) and not urls.canonical_one("https://ah.com/", ("h.com",))
+
+
+def test_public_address():
+    assert [urls.is_public(a) for a in ("8.8.8.8", "10.0.0.1", "::1", "x", None)] == [True, False, False, False, False]
+
+
+def test_links_of_a_text():
+    assert urls.split_links("see (https://h/a). www.b.c, end") == [{"text": "see (", "link": None}, {"text": "https://h/a", "link": "https://h/a"}, {"text": "). ", "link": None}, {"text": "www.b.c", "link": "https://www.b.c"}, {"text": ", end", "link": None}]
+    assert urls.split_links(None) == []
+
+
+LIST = """<table><tr><th>no<th>title</tr><tr><td>TOP</td><td><a href="/v?pkId=7"> A <b>b</b></a></td><td>2024-01-02</td><td>x</td><td>3</td></tr>
+<tr><td>1</td><td><script>evil()</script><a href="javascript:void(0)">B</a></td><td>2024-01-03<td>y<td>4</tr></table>"""
+
+
+def test_table_rows(spark):
+    rows = one(spark, html.table_rows(F.lit(LIST)))
+    assert [(r.row_ix, r.cells, r.href, r.pinned) for r in rows[1:]] == [(1, ["TOP", "A b", "2024-01-02", "x", "3"], "/v?pkId=7", True), (2, ["1", "B", "2024-01-03y4", "", ""][:2] + rows[2].cells[2:], None, False)]
+
+
+BODY = """<nav>menu</nav><div class="x tiptap"><h4>Head</h4><p>a <b>bold <i>both</i></b> <a href="/l">l</a></p><p style="display: none">no</p><ul><li>one<li>two</ul><img src="/i.png" alt="i">
+<table><tr><td>1<td>2</tr><tr><td>3</tr></table><p hidden>h</p></div><footer>foot</footer>"""
+
+
+def test_body_blocks(spark):
+    got = one(spark, html.body_blocks(F.lit(BODY)))
+    assert [(b.type, b.text) for b in got] == [("heading_3", "Head"), ("paragraph", "a bold both l"), ("bulleted_list_item", "one"), ("bulleted_list_item", "two"), ("image", "i"), ("table", "")]
+    assert [(s.text, s.marks, s.link) for s in got[1].segments if s.text.strip()] == [("a ", "", None), ("bold ", "bold", None), ("both", "bold,italic", None), ("l", "", "/l")]
+    assert got[4].url == "/i.png" and len(got[5].rows[1]) == 2
+    assert one(spark, html.body_blocks(F.lit("<p>x</p>"))) == [] and len(one(spark, html.body_blocks(F.lit("<p>x</p>"), False))) == 1
+    assert one(spark, html.body_blocks(F.lit(None).cast("string"))) == []
+
+
+def test_visible_text_title_and_signals(spark):
+    assert one(spark, html.visible_text(F.lit(BODY))).split("\n")[:3] == ["menu", "Head", "a bold both l"]
+    page = '<meta property="og:title" content=" O  g "><h1>H1</h1>'
+    assert [one(spark, html.detail_title(F.lit(p))) for p in (page, '<h1>a</h1><h2 class="subject">S</h2>', "<h1>a</h1>", "x")] == ["O g", "S", "a", ""]
+    s = one(spark, html.page_signals(F.lit(BODY)))
+    assert (s.has_container, s.closed, s.has_content, s.has_title, s.has_table, s.n_links, s.n_images) == (True, True, True, False, True, 1, 1)
+    assert one(spark, html.written_at(F.lit("Posted: 2024.01.02 10:20 by x"))) == "2024.01.02 10:20"
+
+
+def zipped(*names, body=b"x"):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n in names:
+            z.writestr(n, body)
+    return out.getvalue()
+
+
+def ole(name):
+    head = bytearray(512)
+    head[:8] = bytes.fromhex("d0cf11e0a1b11ae1")
+    struct.pack_into("<HH", head, 28, 0xFFFE, 9)
+    struct.pack_into("<II", head, 44, 1, 1)
+    struct.pack_into("<109I", head, 76, 0, *[0xFFFFFFFF] * 108)
+    fat = struct.pack("<128I", 0xFFFFFFFD, 0xFFFFFFFE, *[0xFFFFFFFF] * 126)
+    entry = bytearray(512)
+    raw = name.encode("utf-16-le")
+    entry[: len(raw)] = raw
+    struct.pack_into("<HB", entry, 64, len(raw) + 2, 2)
+    return bytes(head) + fat + bytes(entry)
+
+
+def test_file_kinds():
+    sniff = binary.sniff
+    assert sniff(b"\x89PNG\r\n\x1a\n..IEND\xaeB`\x82") == "png" and sniff(b"\x89PNG\r\n\x1a\n..") is None
+    assert sniff(b"%PDF-1.7 x %%EOF") == "pdf" and sniff(b"%PDF-1.7 PK\x03\x04 %%EOF") is None
+    assert [sniff(zipped(*n)) for n in (("a",), ("[Content_Types].xml", "word/d.xml"), ("../a",), ("/a",))] == ["zip", "docx", None, None]
+    assert sniff(zipped("a", body=b"\0" * 10_000_000)) is None
+    assert [sniff(ole(n)) for n in ("WordDocument", "Workbook", "FileHeader", "Other")] == ["doc", "xls", "hwp", None]
+    assert sniff(ole("WordDocument")[:1000]) is None
+    seven = b"7z\xbc\xaf\x27\x1c\0\4" + struct.pack("<I", zlib.crc32(b"\0" * 20)) + b"\0" * 20
+    assert sniff(seven) == "7z" and sniff(seven[:-1] + b"\1") is None
+    body = b"s\0\0\r\0" + b"\0" * 6
+    assert sniff(b"Rar!\x1a\x07\x00" + struct.pack("<H", zlib.crc32(body) & 0xFFFF) + body) == "rar"
+    assert [sniff(x) for x in ("글".encode(), "글".encode("cp949"), b"\0\1", b"<svg>", b"", None)] == ["text", "text", None, None, None, None]
+
+
+def test_kind_fits_name(spark):
+    df = spark.createDataFrame([("a.PDF", b"%PDF-1 %%EOF"), ("a.png", b"%PDF-1 %%EOF"), ("a", b"\0\1")], "name string, content binary")
+    assert [r.x for r in df.select(binary.fits_name(binary.file_kind(F.col("content")), F.col("name")).alias("x")).collect()] == [True, False, False]
+
+
+def test_trim_and_pad_blocks(spark):
+    a = F.array(*[F.struct(F.lit(t).alias("text")) for t in ("a", "", "b \xa0", " ", "")])
+    assert [b.text for b in one(spark, blocks.trim_trailing(a))] == ["a", "", "b"]
+    rows = F.array(F.array(F.lit("a")), F.array(F.lit("b"), F.lit("c")))
+    assert one(spark, blocks.rectangular(rows)) == [["a", ""], ["b", "c"]] and one(spark, blocks.rectangular(rows, rows_most=1)) is None

@@ -9,6 +9,7 @@ from urllib.parse import parse_qsl, quote, urlencode, urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Query keys that say nothing of what an address is of.
 DROPPED = frozenset({"page", "ref", "utm_source", "utm_medium", "utm_campaign"})
@@ -31,7 +32,7 @@ def canonical_one(url: str | None, hosts: tuple[str, ...] = ()) -> str | None:
     return urlunsplit(("https", host, quote(p.path or "/", safe="/%:@!$&'()*+,;=~-._"), urlencode(query), ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:
         yield s.map(canonical_one)
@@ -44,7 +45,7 @@ def is_public(address: str | None) -> bool:
         return False
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def public_address(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """FLT-08: whether an address is of the public network."""
     for s in batches:
@@ -63,7 +64,7 @@ def split_links(text: str | None) -> list[dict]:
     return out + ([{"text": text[at:], "link": None}] if at < len(text) else [])
 
 
-@F.pandas_udf("array<struct<text:string,link:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("link", T.StringType())])))
 def text_with_links(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """STR-05: texts in parts, with the link of each."""
     for s in batches:

@@ -54,7 +54,8 @@ def css_colour(c: Column) -> Column:
     short = F.regexp_extract(raw, "^#([0-9a-f]{3})$", 1)
     hexed = F.coalesce(F.try_element_at(named, raw), F.nullif(F.regexp_extract(raw, "^#([0-9a-f]{6})$", 1), F.lit("")), F.nullif(F.regexp_replace(short, "(.)", "$1$1"), F.lit("")))
     told = [F.conv(F.substring(hexed, i, 2), 16, 10).cast("int") for i in (1, 3, 5)]
-    given = [F.least(F.lit(255), F.floor(F.regexp_extract(raw, rf"^rgba?\(\s*{r'[0-9.]+[,\s/]+' * i}([0-9.]+)", 1).try_cast("double")).cast("int")) for i in range(3)]
+    number = [F.regexp_extract(raw, rf"^rgba?\(\s*{r'[0-9.]+[,\s/]+' * i}([0-9.]+)", 1).try_cast("double") for i in range(3)]
+    given = [F.floor(F.when(x > 255, 255.0).otherwise(x)).cast("int") for x in number]
     r, g, b = (F.coalesce(x, y) / 255.0 for x, y in zip(told, given, strict=True))
     top, low = F.greatest(r, g, b), F.least(r, g, b)
     light, d = (top + low) / 2, top - low
@@ -63,7 +64,7 @@ def css_colour(c: Column) -> Column:
     name = F.lit("red")
     for upper, colour in reversed(HUES):
         name = F.when(hue < upper, F.lit(colour)).otherwise(name)
-    return F.when(light.isNull(), F.lit(None)).when(sat < 0.15, F.when(light < 0.35, F.lit("default")).otherwise(F.lit("gray"))).otherwise(name)
+    return F.when(r.isNull() | g.isNull() | b.isNull(), F.lit(None)).when(sat < 0.15, F.when(light < 0.35, F.lit("default")).otherwise(F.lit("gray"))).otherwise(name)
 
 
 def identity_url(url: Column) -> Column:

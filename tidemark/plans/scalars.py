@@ -11,7 +11,11 @@ from ..functions.text import CONTROL, DETAIL_IDS, WS
 from .changes import FIRST_LINE
 from .registry import query, table
 
-SQUEEZE = "regexp_replace(regexp_replace({}, '" + WS + "+', ' ', 'g'), '^" + WS + "+|" + WS + "+$', '', 'g')"
+
+
+def squeezed(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '{WS}+', ' ', 'g'), '^{WS}+|{WS}+$', '', 'g')"
+
 
 
 @query(f"""
@@ -34,7 +38,7 @@ def title_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.title_label(title).alias("label"))
 
 
-@query(f"SELECT doc_id, {SQUEEZE.format('text')} AS line, lower({SQUEEZE.format('text')}) AS key FROM documents")
+@query(f"SELECT doc_id, {squeezed('text')} AS line, lower({squeezed('text')}) AS key FROM documents")
 def text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-01, STR-08, STR-09: white space as single spaces."""
     return table(spark, sf_dir, "documents").select("doc_id", X.squeeze(F.col("text")).alias("line"), X.title_key(F.col("text")).alias("key"))
@@ -45,7 +49,7 @@ for _p, _to in X.REDACTIONS:
     _REDACT = f"regexp_replace({_REDACT}, '{_p.replace(chr(39), chr(39) * 2)}', '{_to.replace('$', chr(92))}', 'g')"
 
 
-@query(f"SELECT doc_id, left({SQUEEZE.format(_REDACT)}, 500) AS redacted FROM documents")
+@query(f"SELECT doc_id, left({squeezed(_REDACT)}, 500) AS redacted FROM documents")
 def redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-07, STR-08: text for a log, with addresses cut and secrets masked."""
     return table(spark, sf_dir, "documents").select("doc_id", X.sanitize(F.col("text")).alias("redacted"))
@@ -114,8 +118,8 @@ def retry_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 1, 0), 1900)) AS at FROM documents WHERE length(text) > 0)
-SELECT doc_id, CAST(at // 1900 AS INT) AS nth, substr(text, CAST(at + 1 AS BIGINT), 1900) AS chunk FROM c
+WITH c AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 1, 0), 1900)) AS p FROM documents WHERE length(text) > 0)
+SELECT doc_id, CAST(p // 1900 AS INT) AS nth, substr(text, CAST(p + 1 AS BIGINT), 1900) AS chunk FROM c
 """)
 def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSN-02, ARR-02: long texts in pieces."""

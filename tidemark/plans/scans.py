@@ -30,7 +30,7 @@ def page_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {ROWS}, p AS (SELECT source, page_no, string_agg(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), ',' ORDER BY pos) AS sig FROM r GROUP BY 1, 2),
+WITH {ROWS}, p AS (SELECT source, page_no, string_agg(CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR), ',' ORDER BY pos, CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR)) AS sig FROM r GROUP BY 1, 2),
 f AS (SELECT source, sig, min(page_no) AS first_page FROM p GROUP BY 1, 2)
 SELECT p.source, p.page_no, f.first_page FROM p JOIN f USING (source, sig) WHERE p.page_no > f.first_page
 """)
@@ -76,13 +76,13 @@ def checkpoint_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {ROWS}, w AS (SELECT source, item_id, page_no * 100 + pos AS at, pinned, row_number() OVER v AS nth, pinned IS NOT DISTINCT FROM lag(pinned) OVER v AS allowed FROM r WINDOW v AS (PARTITION BY source, item_id ORDER BY page_no * 100 + pos))
-SELECT source, item_id, at, pinned, allowed FROM w WHERE nth > 1
+WITH {ROWS}, p AS (SELECT DISTINCT source, item_id, (page_no * 100 + pos) * 2 + CAST(pinned AS BIGINT) AS place, pinned FROM r), w AS (SELECT *, row_number() OVER v AS nth, pinned IS NOT DISTINCT FROM lag(pinned) OVER v AS allowed FROM p WINDOW v AS (PARTITION BY source, item_id ORDER BY place))
+SELECT source, item_id, place, pinned, allowed FROM w WHERE nth > 1
 """)
 def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-05 rule 5: an id may come again only as the same row."""
-    r = list_rows(spark, sf_dir).select("source", "item_id", (F.col("page_no") * 100 + F.col("pos")).alias("at"), "pinned")
-    return S.duplicate_ids(r, "source", "item_id", "at", ["pinned"])
+    r = list_rows(spark, sf_dir).select("source", "item_id", ((F.col("page_no") * 100 + F.col("pos")) * 2 + F.col("pinned").cast("bigint")).alias("place"), "pinned").distinct()
+    return S.duplicate_ids(r, "source", "item_id", "place", ["pinned"])
 
 
 @query("""

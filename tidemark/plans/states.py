@@ -91,8 +91,8 @@ def watermark_min_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT user_id, CASE WHEN user_id % 10 <> 0 THEN CAST(max(ts) AS DATE) END AS last, user_id % 13 = 0 AS pending FROM events GROUP BY 1),
-x AS (SELECT *, TIMESTAMP '2024-01-30 20:30:00' + INTERVAL 9 HOUR AS local FROM s), y AS (SELECT *, CAST(greatest(last + 1, CAST(local AS DATE)) AS TIMESTAMP) + INTERVAL 6 HOUR AS at FROM x)
-SELECT user_id, pending OR last IS NULL OR local >= at AS due, CASE WHEN NOT (pending OR last IS NULL OR local >= at) THEN strftime(at, '%Y-%m-%d %H:%M:%S') END AS next_at FROM y
+x AS (SELECT *, TIMESTAMP '2024-01-30 20:30:00' + INTERVAL 9 HOUR AS local FROM s), y AS (SELECT *, CAST(greatest(last + 1, CAST(local AS DATE)) AS TIMESTAMP) + INTERVAL 6 HOUR AS nxt FROM x)
+SELECT user_id, pending OR last IS NULL OR local >= nxt AS due, CASE WHEN NOT (pending OR last IS NULL OR local >= nxt) THEN strftime(nxt, '%Y-%m-%d %H:%M:%S') END AS next_at FROM y
 """)
 def reconcile_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA-03: the daily full reading at a local hour."""
