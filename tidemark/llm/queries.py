@@ -85,10 +85,20 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 FROM g
 """
 
+VECTORS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS s FROM v),
+ok AS (SELECT vec_id, list_transform(e, lambda x: x / s) AS e FROM n WHERE s > 0 AND isfinite(s) AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_inner_product(a.e, b.e) >= 0.9),
+r(u, w) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u),
+c AS (SELECT u, min(w) AS component_id FROM r GROUP BY 1), k AS (SELECT u, count(*) AS n_links FROM l GROUP BY 1)
+SELECT v.vec_id, coalesce(k.n_links, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c ON c.u = v.vec_id LEFT JOIN k ON k.u = v.vec_id
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_SQL}
+    return {"op6_embedding_near_dedup": VECTORS_SQL, "op8_exact_dedup": EXACT_SQL}
