@@ -2,8 +2,8 @@
 
 Texts are split in Spark into the words of the tokenizer's pattern, which no token crosses; where a text has characters
 whose classes depend on the version of Unicode, into runs of white space with what follows up to the next.
-Each distinct word is encoded once for the whole corpus, by the tokenizers library; its ids go back to every chunk of
-documents that has the word, and from there to every place. Decoding joins ids to the table of pieces, whose size is
+Every chunk of documents sends its distinct words to their owners, which encode each distinct word of the corpus once, by
+the tokenizers library, and answer with ids; in the chunk these go to every place by the word's number. Decoding joins ids to the table of pieces, whose size is
 that of the vocabulary, and reads the joined bytes as UTF-8.
 
 Cases: a null or empty text has no ids and decodes to the empty text; the special token's string in a text is that token,
@@ -16,18 +16,19 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Scratch, two
-from .tokens import BYTE_PATTERN, SETTLED, SPACES, WordEncoder
-from .wordcodes import code_words, unpack_codes
+from .common import Scratch, parts, two
+from .tokens import BYTE_PATTERN, SETTLED, SPACES, byte_names
+from .wordcodes import code_words, unpack_codes, unpack_words
 
 PATTERN = regex.compile(BYTE_PATTERN)
 CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -48,48 +49,77 @@ def mixed_words(text: str) -> list[str]:
     return re.findall(f"[{space}]*[^{space}]+|[{space}]+", text)
 
 
+class Ragged:
+    """Items of several values each, as one flat array with starts and lengths; items are taken by number."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray):
+        self.flat, self.lengths = flat, lengths.astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        n = self.lengths[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(total)]
+
+
 @functools.cache
-def pieces(path: str) -> list[bytes]:
+def pieces(path: str) -> Ragged:
     """The bytes of every id, from the vocabulary of the file."""
-    coder = WordEncoder.of(path)
-    letters = {c: b for b, c in coder.names.items()}
-    out = [b""] * coder.library.get_vocab_size()
-    special = {int.from_bytes(i, "little"): s for s, i in coder.special.items()}
-    for token, i in coder.library.get_vocab().items():
+    library = Tokenizer.from_file(path)
+    letters = {c: b for b, c in byte_names().items()}
+    special = {i: t.content for i, t in library.get_added_tokens_decoder().items()}
+    out = [b""] * library.get_vocab_size()
+    for token, i in library.get_vocab().items():
         out[i] = special[i].encode() if i in special else bytes(letters[c] for c in token)
-    return out
+    return Ragged(np.frombuffer(b"".join(out), np.uint8), np.array([len(x) for x in out]))
+
+
+def pack_ids(ids: list[bytes]) -> bytes:
+    """Ids of words, each as 16-bit integers: how many words, how many ids each has, the ids."""
+    return zstandard.compress(len(ids).to_bytes(4, "little") + np.array([len(x) // 2 for x in ids], "<u4").tobytes() + b"".join(ids))
+
+
+def unpack_ids(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n = int.from_bytes(raw[:4], "little")
+    return np.frombuffer(raw, "<u4", n, 4), np.frombuffer(raw, "<u2", offset=4 + 4 * n)
 
 
 def _encode(path: str):
-    def run(batches):
-        library, last = None, (None, b"")
-        for b in batches:
-            library = library or Tokenizer.from_file(path)
-            word = b.column("word").combine_chunks() if isinstance(b.column("word"), pa.ChunkedArray) else b.column("word")
-            runs = pc.run_end_encode(word)  # equal words stand together
-            values = runs.values.to_pylist()
-            fresh = [w for w in values if w != last[0]]
-            made = iter(library.encode_batch_fast(fresh, add_special_tokens=False))
-            ids = [last[1] if w == last[0] else np.array(next(made).ids, "<u4").tobytes() for w in values]
-            lengths = np.diff(runs.run_ends.to_numpy(), prepend=0)
-            last = (values[-1], ids[-1]) if values else last
-            yield pa.RecordBatch.from_arrays([b.column("chunk"), b.column("at"), pa.array(ids, pa.binary()).take(pa.array(np.repeat(np.arange(len(values)), lengths)))], names=["chunk", "at", "ids"])
+    def run(messages: pa.Table) -> pa.Table:
+        """An owner: every distinct word that is sent to it is encoded once, and every message is answered."""
+        library, known, out = Tokenizer.from_file(path), {}, []
+        if library.get_vocab_size() > 1 << 16:
+            raise ValueError("ids must fit in 16 bits")
+        for blob in messages.column("blob"):
+            words = unpack_words(blob.as_py())
+            fresh = [w for w in words if w not in known]
+            for i in range(0, len(fresh), 10_000):
+                part = fresh[i : i + 10_000]
+                known.update(zip(part, (array("H", x.ids).tobytes() for x in library.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            out.append(pack_ids([known[w] for w in words]))
+        return pa.table({"chunk": messages.column("chunk"), "owner": messages.column("owner"), "blob": pa.array(out, pa.binary())})
 
     return run
 
 
-def _restore(path: str):
-    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        at, ids = known.column("at").to_numpy(), known.column("ids").combine_chunks()
-        ids = ids.take(pa.array(np.argsort(at, kind="stable")))
-        if isinstance(ids, pa.ChunkedArray):
-            ids = ids.combine_chunks()
-        table, piece = ids.to_pylist(), pieces(path)
-        rows = []
+def _restore(path: str, owners: int):
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """A chunk: the ids of its words back in every place."""
+        own = [(o, *unpack_ids(b.as_py())) for o, b in zip(answers.column("owner").to_pylist(), answers.column("blob"), strict=True)]
+        size = max(((len(n) - 1) * owners + o + 1 for o, n, _ in own), default=0)
+        words = Ragged(np.concatenate([np.empty(0, "<u2"), *(i for _, _, i in own)]), np.zeros(size))
+        at = 0
+        for o, n, ids in own:
+            numbers = np.arange(len(n)) * owners + o
+            words.lengths[numbers], words.starts[numbers] = n, at + np.cumsum(n, dtype=np.int64) - n
+            at += len(ids)
+        text, rows = pieces(path), []
         for doc_id, codes in zip(docs.column("doc_id").to_pylist(), docs.column("codes"), strict=True):
-            own = b"".join(map(table.__getitem__, unpack_codes(codes.as_py()).tolist()))
-            text = b"".join(map(piece.__getitem__, np.frombuffer(own, "<u4").tolist())).decode("utf-8", "replace")
-            rows.append((doc_id, len(own) // 4, hashlib.sha256(own).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+            ids = words.take(unpack_codes(codes.as_py()))
+            decoded = text.take(ids).tobytes().decode("utf-8", "replace")
+            rows.append((doc_id, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True) if rows else [()] * 4, kinds, strict=True)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -100,8 +130,8 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     scratch = Scratch(docs.sparkSession, "bpe")
     raw = two(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("raw"), F.lit(False).alias("flag"))
-    coded, words = code_words(raw, words_of, scratch, binary=False)
-    # sorted by word within a hash of the word, so equal ones meet and are encoded once; a word comes once per chunk
-    encoded = words.select("word", "chunk", "at").repartition("word").sortWithinPartitions("word").mapInArrow(_encode(path), "chunk long, at int, ids binary")
-    found = coded.select("chunk", "doc_id", "codes").groupBy("chunk").cogroup(encoded.groupBy("chunk"))
-    return found.applyInArrow(_restore(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    owners = parts(docs.sparkSession)
+    coded, messages = code_words(raw, words_of, scratch, owners=owners)
+    answers = messages.groupBy("owner").applyInArrow(_encode(path), "chunk long, owner int, blob binary")
+    found = coded.select("chunk", "doc_id", "codes").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return found.applyInArrow(_restore(path, owners), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
