@@ -192,3 +192,21 @@ def test_stream_of_observations(spark, tmp_path):
     q = first_within(spark.readStream.schema("k long, at timestamp_ntz").parquet(f"{tmp_path}/e"), ["k"], "at", "1 hour").writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start(f"{tmp_path}/o2")
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/o2").count() == 2
+
+
+def test_runs_end_to_end(spark, tmp_path):
+    """Create, hold, a retry of the same logical run, apply, no-op; a dry run writes nothing."""
+    from tidemark.runs import Workspace, run
+
+    space, limits = Workspace(spark, f"file://{tmp_path}/w"), control.RunControl(clock=lambda: 0)
+    item = lambda h: spark.createDataFrame([("s", 1, "t", h), ("s", 2, "u", "k")], "source string, item_id long, title string, body_hash string")
+    go = lambda h, r, l, m, **k: sorted((x.item_id, x.kind, x.reason) for x in run(space, item(h), r, l, f"2024-01-01 00:{m:02d}:00", limits, **k).collect())
+    assert go("a", "r0", "l0", 0, dry_run=True) == [(1, "create", "absent"), (2, "create", "absent")] and space.table("dest").version() is None
+    assert go("a", "r1", "l1", 1) == [(1, "create", "absent"), (2, "create", "absent")]
+    assert go("b", "r2", "l2", 2) == [(1, "conflict", "unconfirmed_change"), (2, "noop", "equal")]
+    assert go("b", "r3", "l2", 3) == [(1, "conflict", "unconfirmed_change"), (2, "noop", "equal")]
+    assert go("b", "r4", "l4", 4) == [(1, "replace_body", "body_hash"), (2, "noop", "equal")]
+    assert go("b", "r5", "l5", 5) == [(1, "noop", "equal"), (2, "noop", "equal")]
+    assert {r.item_id: r.body_hash for r in space.table("dest").read().collect()} == {1: "b", 2: "k"}
+    assert space.table("runs").read().count() == 5
+    assert {r.first_seen_at for r in space.table("state").read().collect()} == {dt.datetime(2024, 1, 1, 0, 1)}

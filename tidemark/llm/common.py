@@ -44,7 +44,7 @@ class Scratch:
     def drop(self, name: str = "") -> None:
         try:
             jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        except AttributeError:  # the session has ended
+        except Exception:  # the session has ended, and its folder with it
             return
         if not name:
             for table in self.tables:
