@@ -28,6 +28,12 @@ class Scratch:
         self.tables: list[str] = []
         atexit.register(self.drop)
 
+    @staticmethod
+    def shuffled(df: DataFrame) -> DataFrame:
+        """For the side of a join that grows with the data: these files are packed tightly, and their size on disk says
+        too little about what a broadcast of their rows would weigh."""
+        return df.hint("merge")
+
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
         df.write.option("compression", "zstd").parquet(path)

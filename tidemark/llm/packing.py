@@ -101,7 +101,7 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
         by_length.setdefault(n, []).append(rest)
     plan = spark.sparkContext.broadcast({n: np.array(x, np.int64).T for n, x in by_length.items()})
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_uid")))
-    ranked = ranked.join(before, ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_rank") - 1).select(*names, "_rank")
+    ranked = ranked.join(scratch.shuffled(before), ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_rank") - 1).select(*names, "_rank")
 
     def place(batches):
         for b in batches:
