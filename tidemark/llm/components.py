@@ -31,7 +31,7 @@ def _star(e: DataFrame, scratch: Scratch, name: str, large: bool) -> DataFrame:
     plain exchanges, which adaptive execution can split where one node has very many links."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
     least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-min")
-    met = both.join(least, "u")
+    met = both.join(scratch.shuffled(least), "u")
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -153,8 +153,8 @@ def near_groups(prints: DataFrame, radius: int = 2, shard: int = SHARD) -> DataF
     dealt = nodes.where("rep is not null").mapInArrow(deal, "shard int, rep long, fp long")
     links = dealt.groupBy("shard").applyInArrow(_shard(radius), "u long, v long")
     roots = components(links, scratch)
-    named = nodes.join(roots, nodes.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(scratch.table(named, "named"), "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = nodes.join(scratch.shuffled(roots), nodes.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    return prints.join(scratch.shuffled(scratch.table(named, "named")), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
