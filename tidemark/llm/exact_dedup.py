@@ -112,11 +112,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     suspects = flagged.where("suspect")
     bare = F.translate("text", SPACE.decode(), "").alias("bare")
     told = suspects.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_chars", "fp", "sha").distinct()
-    texts = rows.join(told, rows.doc_id.eqNullSafe(told.id) & (rows.text_hash == told.hash)).select("doc_id", "n_chars", "fp", "sha", bare)
+    texts = rows.join(scratch.shuffled(told), rows.doc_id.eqNullSafe(told.id) & (rows.text_hash == told.hash)).select("doc_id", "n_chars", "fp", "sha", bare)
     groups = texts.groupBy("fp", "bare").agg(F.min(F.struct((-F.col("n_chars")).alias("x"), "doc_id")).alias("best"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
     groups = scratch.table(groups.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.x").alias("most"), "group_size"), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
-    of_group = suspects.join(groups, ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed, "text_hash")
+    of_group = suspects.join(scratch.shuffled(groups), ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed, "text_hash")
     alone = flagged.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), hexed, "text_hash")
     both = of_group.unionByName(alone)
     return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "text_hash")
