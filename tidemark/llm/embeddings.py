@@ -125,8 +125,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0
     found = scratch.table(tasks.groupBy("cell", "i", "j").applyInArrow(_compare(threshold), "rep long, links long, root long"), "found")
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")), scratch)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = nodes.join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    known = nodes.join(scratch.shuffled(links), "rep", "left").join(scratch.shuffled(roots).withColumnRenamed("node", "rep"), "rep", "left")
     known = scratch.table(known.select("vec", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id")), "known")
-    linked = good.join(known, "vec").select("vec_id", "n_links", "component_id")
+    linked = good.join(scratch.shuffled(known), "vec").select("vec_id", "n_links", "component_id")
     apart = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(apart).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
