@@ -94,7 +94,8 @@ class CodeFile:
 
 
 def write_token_files(docs: DataFrame, scratch: Scratch, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The table of files: bucket (a range of document ids), seq (place in it), n_tokens, blob."""
+    """The table of files: bucket (a range of document ids), seq (place in it), before (ids of the bucket's earlier files),
+    n_tokens, blob."""
     spark = docs.sparkSession
     n = parts(spark)
     key = F.coalesce("doc_id", F.lit(LEAST))
@@ -113,36 +114,34 @@ def write_token_files(docs: DataFrame, scratch: Scratch, path: str, end_id: int,
 
     def write(batches):
         held: list[tuple[int, bytes]] = []
-        bucket, seq, size = None, 0, 0
+        bucket, seq, size, before = None, 0, 0, 0
 
         def out():
             sizes = np.array([len(x) // 2 for _, x in held])
             blob = write_codes(np.frombuffer(b"".join(x for _, x in held), "<u2"), np.array([d for d, _ in held]), np.cumsum(sizes))
-            return pa.RecordBatch.from_pylist([{"bucket": bucket, "seq": seq, "n_tokens": int(sizes.sum()), "blob": blob}], schema=pa.schema([("bucket", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("blob", pa.binary())]))
+            return pa.RecordBatch.from_pylist([{"bucket": bucket, "seq": seq, "before": before, "n_tokens": int(sizes.sum()), "blob": blob}], schema=pa.schema([("bucket", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("blob", pa.binary())]))
 
         for b in batches:
             for k, d, x in zip(b.column("bucket").to_pylist(), b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
                 if held and (k != bucket or size + len(x) // 2 > FILE_TOKENS):
                     yield out()
-                    held, size, seq = [], 0, seq + 1
+                    held, size, seq, before = [], 0, seq + 1, before + size
                 if k != bucket:
-                    bucket, seq = k, 0
+                    bucket, seq, before = k, 0, 0
                 held.append((d, x))
                 size += len(x) // 2
         if held:
             yield out()
 
     coded = rows.mapInArrow(encode, "bucket int, doc_id long, ids binary").repartition(n, "bucket").sortWithinPartitions("bucket", "doc_id")
-    return scratch.table(coded.mapInArrow(write, "bucket int, seq int, n_tokens long, blob binary"), "files")
+    return scratch.table(coded.mapInArrow(write, "bucket int, seq int, before long, n_tokens long, blob binary"), "files")
 
 
 def read_token_files(files: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document, out of the files alone: doc_id, start, n_tokens, ids_crc32."""
     totals = files.groupBy("bucket").agg(F.sum("n_tokens").alias("n"))  # a row per range of ids
     offsets = totals.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("bucket_start"))
-    places = files.select("bucket", "seq", F.coalesce(F.sum("n_tokens").over(Window.partitionBy("bucket").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    places = scratch.table(places.join(offsets, "bucket").select("bucket", "seq", (F.col("bucket_start") + F.col("before")).alias("start")), "places")
-    placed = files.select("bucket", "seq", "blob").join(places, ["bucket", "seq"])
+    placed = files.join(F.broadcast(scratch.table(offsets, "offsets")), "bucket").withColumn("start", F.col("bucket_start") + F.col("before"))
 
     def read(batches):
         for b in batches:
