@@ -3,8 +3,8 @@
 Texts are split in Spark into the words of the tokenizer's pattern, which no token crosses; where a text has characters
 whose classes depend on the version of Unicode, into runs of white space with what follows up to the next.
 Every chunk of documents sends its distinct words to their owners, which encode each distinct word of the corpus once, by
-the tokenizers library, and answer with ids; in the chunk these go to every place by the word's number. Decoding joins ids to the table of pieces, whose size is
-that of the vocabulary, and reads the joined bytes as UTF-8.
+the tokenizers library, and answer with ids; in the chunk these go to every place by the word's number. Decoding joins
+ids to the table of pieces, whose size is that of the vocabulary, and reads the joined bytes as UTF-8.
 
 Cases: a null or empty text has no ids and decodes to the empty text; the special token's string in a text is that token,
 as in the library; repeated rows and ids are kept; very long texts are not cut; an empty table gives an empty result;
@@ -63,10 +63,16 @@ class Ragged:
         return self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(total)]
 
 
+@functools.cache
+def library_of(path: str) -> Tokenizer:
+    """One for each file and Python worker; a file loaded anew for every group leaves the worker's memory in pieces."""
+    return Tokenizer.from_file(path)
+
+
 @functools.cache
 def pieces(path: str) -> Ragged:
     """The bytes of every id, from the vocabulary of the file."""
-    library = Tokenizer.from_file(path)
+    library = library_of(path)
     letters = {c: b for b, c in byte_names().items()}
     special = {i: t.content for i, t in library.get_added_tokens_decoder().items()}
     out = [b""] * library.get_vocab_size()
@@ -89,15 +95,14 @@ def unpack_ids(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _encode(path: str):
     def run(messages: pa.Table) -> pa.Table:
         """An owner: every distinct word that is sent to it is encoded once, and every message is answered."""
-        library, known, out = Tokenizer.from_file(path), {}, []
+        library, known, out = library_of(path), {}, []
         if library.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         for blob in messages.column("blob"):
             words = unpack_words(blob.as_py())
-            fresh = [w for w in words if w not in known]
-            for i in range(0, len(fresh), 10_000):
-                part = fresh[i : i + 10_000]
-                known.update(zip(part, (array("H", x.ids).tobytes() for x in library.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            for w in words:  # one at a time: a batch holds much more for each word than its ids, on threads of its own
+                if w not in known:
+                    known[w] = array("H", library.encode(w, add_special_tokens=False).ids).tobytes()
             out.append(pack_ids([known[w] for w in words]))
         return pa.table({"chunk": messages.column("chunk"), "owner": messages.column("owner"), "blob": pa.array(out, pa.binary())})
 
