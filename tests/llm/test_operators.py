@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -392,6 +393,25 @@ def test_embeddings_recall(spark):
     assert sum(got.values()) >= 0.97 * n.sum()
 
 
+def test_embeddings_recall_many_cells(spark, tmp_path, monkeypatch):
+    """Pairs just over the threshold (0.90 to 0.92), over several hundred cells."""
+    from tidemark.llm import embeddings
+
+    x = np.array([r["embedding"] for r in pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pylist()], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rng = np.random.default_rng(12)
+    w = rng.normal(size=x.shape)
+    w -= (w * x).sum(1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    cos = rng.uniform(0.901, 0.92, (len(x), 1))
+    x = np.concatenate([x, cos * x + np.sqrt(1 - cos**2) * w])
+    n = sum(np.count_nonzero(x[i : i + 1024] @ x.T >= 0.9) for i in range(0, len(x), 1024)) - len(x)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), f"{tmp_path}/x.parquet")
+    monkeypatch.setattr(embeddings, "CELL", len(x) // 400)
+    got = sum(r["n_links"] for r in rows(embeddings.embedding_dedup(spark.read.parquet(f"{tmp_path}/x.parquet"))))
+    assert 0.985 * n <= got <= n
+
+
 def test_embeddings_awkward(spark):
     from tidemark.llm.embeddings import embedding_dedup
 
