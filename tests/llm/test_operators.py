@@ -315,6 +315,31 @@ def test_lm_base_and_gain(spark, awkward, empty, sf):
     assert rows(lm_scores(empty)) == []
 
 
+def test_lm_trains_on_all_documents(spark, tmp_path, monkeypatch):
+    """Every training document reaches the recurrent part in each round, also in a table of many documents, with repeated and null ids."""
+    from tidemark.llm import lm_scoring
+    from tidemark.llm.gru import Gru
+
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def fit(model, docs, end):
+        import uuid
+
+        (seen / uuid.uuid4().hex).write_text(" ".join(str(len(d)) for d in docs))
+        return sum(map(len, docs))
+
+    monkeypatch.setattr(lm_scoring, "fit", fit)
+    data = [(None if i % 5 == 0 else i % 700, i % 7 != 2, [1] * (i % 9) + [0]) for i in range(4_000)]
+    units = spark.createDataFrame([(d, flag, bytes(np.array(u, "<u2").tobytes())) for d, flag, u in data], "doc_id long, flag boolean, units binary")
+    want = Counter(len(u) for _, flag, u in data if flag)
+    for tokens, rounds in ((100, 1), (3 * lm_scoring.REPLICA_TOKENS, 2)):
+        before = {x.name for x in seen.iterdir()}
+        lm_scoring._train(units, Gru(lm_scoring.CLASSES, lm_scoring.IN_CLASS, 2), tokens, rounds)
+        got = Counter(int(n) for x in seen.iterdir() if x.name not in before for n in x.read_text().split())
+        assert got == Counter({n: rounds * k for n, k in want.items()})
+
+
 def check_base(got, docs):
     def tokens(text):
         return [*WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]

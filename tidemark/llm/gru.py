@@ -110,7 +110,9 @@ class Gru:
             d_rec += before.T @ da
             carry = (dh * z + da @ rec.T) * keep[t][:, None]
         grads["in"], grads["rec"] = np.zeros_like(self.p["in"]), d_rec
-        np.add.at(grads["in"], x.ravel(), d_in.reshape(-1, 3 * n))
+        order = np.argsort(x.ravel(), kind="stable")
+        used, begin = np.unique(x.ravel()[order], return_index=True)
+        grads["in"][used] = np.add.reduceat(d_in.reshape(-1, 3 * n)[order], begin)
         total = max(1, int(real.sum()))
         return hs[-1], {k: v / total for k, v in grads.items()}, -float(lp.sum()) / total
 
@@ -163,10 +165,13 @@ def score(model: Gru, docs: list[np.ndarray], end: int, most: int = 256) -> np.n
     return total
 
 
-def fit(model: Gru, docs: list[np.ndarray], end: int, most: int = 16, rate: float = 0.004) -> int:
-    """One pass over the documents with Adam; returns the tokens seen."""
+def fit(model: Gru, docs: list[np.ndarray], end: int, most: int = 64, rate: float = 0.004) -> int:
+    """One pass over the documents with Adam; returns the tokens seen. Lanes are as few as make them about equal, so that no
+    steps are left to a long document alone."""
     if not docs:
         return 0
+    sizes = [len(d) for d in docs]
+    most = max(1, min(most, sum(sizes) // max(sizes)))
     x, y, keep, doc, lengths = streams(docs, end, most)
     h = np.zeros((x.shape[1], model.h), np.float32)
     first, second, step = {k: np.zeros_like(v) for k, v in model.p.items()}, {k: np.zeros_like(v) for k, v in model.p.items()}, 0

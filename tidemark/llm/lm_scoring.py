@@ -3,8 +3,8 @@
 All training documents are counted: every word's count, the number of tokens and of distinct ones. The model's units are
 the most frequent words, one tail unit for each of 64 hashes of a word's first bytes, and the end. A word of the tail has
 its unit's probability times its share, by count, of all that fall to that unit, with one count kept for unseen words.
-The recurrent part is trained on a share of the training documents that follows the input: replicas run over equal parts
-of it, each in one task, and their parameters are averaged after every round. Words and counts meet by a join on distinct
+The recurrent part is trained on every training document, by the same rule at every size: replicas run over equal parts of
+them, each in one task, and their parameters are averaged after every round. Words and counts meet by a join on distinct
 words of each chunk of documents; whole documents are scored in one go, with the state carried from window to window.
 
 Cases: a null text is empty and has the end alone; with no training document every count is zero and the base score of
@@ -28,8 +28,7 @@ from .wordcodes import code_words, unpack_codes
 CLASSES, IN_CLASS, TAILS = 32, 32, 64
 END = 0
 TOP = CLASSES * IN_CLASS - TAILS - 1  # the most frequent words; units 1..TOP
-SHARE, LEAST_DOCS = 1 / 32, 2_000  # of the training documents; how many there are at least
-REPLICA_TOKENS = 400_000
+REPLICA_TOKENS = 1_000_000
 GROUP_TOKENS = 1_500_000  # scored side by side
 
 
@@ -69,11 +68,10 @@ def _units(blobs) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), "<u2").astype(np.int32) for x in blobs]
 
 
-def _train(units: DataFrame, model: Gru, share: float, tokens: int, rounds: int) -> Gru:
-    """Rounds of replicas over a share of the documents, averaged by their tokens."""
+def _train(units: DataFrame, model: Gru, tokens: int, rounds: int) -> Gru:
+    """Rounds of replicas over all training documents, averaged by their tokens."""
     spark = units.sparkSession
-    some = units.where("flag").where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) < int(share * (1 << 30))).select("units")
-    some = some.repartition(max(1, math.ceil(tokens * share / REPLICA_TOKENS)))
+    every = units.where("flag").select("units").repartition(max(1, math.ceil(tokens / REPLICA_TOKENS)))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model.flat())
 
@@ -86,7 +84,7 @@ def _train(units: DataFrame, model: Gru, share: float, tokens: int, rounds: int)
                     part = flat[i : i + (1 << 16)]
                     yield pa.RecordBatch.from_arrays([pa.array(np.arange(i, i + len(part), dtype=np.int32)), pa.array(part * weight), pa.array(np.full(len(part), weight, np.int64))], names=["i", "v", "w"])
 
-        mean = some.mapInArrow(run, "i int, v double, w long").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()  # a row per parameter
+        mean = every.mapInArrow(run, "i int, v double, w long").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()  # a row per parameter
         if len(mean):
             flat = np.zeros(len(mean))
             flat[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
@@ -117,7 +115,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     joined = scratch.table(joined, "joined")
     model = Gru(CLASSES, IN_CLASS, hidden)
     model.set_frequencies(np.concatenate([[ends], [x["c"] for x in top], np.zeros(TOP - len(top)), tails[:, 0]]))
-    model = _train(joined, model, min(1.0, max(SHARE, LEAST_DOCS / max(1, ends))), total, rounds)
+    model = _train(joined, model, total, rounds)
     shared = spark.sparkContext.broadcast(model.flat())
 
     def run(batches):
