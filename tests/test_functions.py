@@ -169,3 +169,32 @@ def test_trim_and_pad_blocks(spark):
     assert [b.text for b in one(spark, blocks.trim_trailing(a))] == ["a", "", "b"]
     rows = F.array(F.array(F.lit("a")), F.array(F.lit("b"), F.lit("c")))
     assert one(spark, blocks.rectangular(rows)) == [["a", ""], ["b", "c"]] and one(spark, blocks.rectangular(rows, rows_most=1)) is None
+
+
+def long_ole(name, n_fat, broken=False):
+    """A compound file of more than 109 allocation-table sectors: the table first, then its chain, the directory and data."""
+    n_more, total = -(-(n_fat - 109) // 127), n_fat * 128
+    chain = [n_fat + i for i in range(n_more)]
+    fat = [0xFFFFFFFD] * n_fat + [0xFFFFFFFC] * n_more + [0xFFFFFFFE] * (total - n_fat - n_more)
+    header = bytearray(512)
+    header[:8] = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
+    struct.pack_into("<HHHH", header, 24, 62, 3, 0xFFFE, 9)
+    directory = total - 1  # its entry stands in the last sector of the table
+    struct.pack_into("<II", header, 44, n_fat, directory)
+    struct.pack_into("<II", header, 68, chain[0], n_more)
+    struct.pack_into("<109I", header, 76, *range(109))
+    links = b""
+    for i, own in enumerate(chain):
+        places = [*range(109 + 127 * i, min(n_fat, 109 + 127 * (i + 1)))]
+        after = chain[i + 1] if i + 1 < n_more and not broken else own if broken else 0xFFFFFFFE
+        links += struct.pack("<128I", *places, *[0xFFFFFFFF] * (127 - len(places)), after)
+    entry = bytearray(512)
+    raw = name.encode("utf-16-le") + b"\0\0"
+    entry[: len(raw)] = raw
+    struct.pack_into("<HB", entry, 64, len(raw), 2)
+    return bytes(header) + struct.pack(f"<{total}I", *fat) + links + bytes(512 * (total - n_fat - n_more - 1)) + bytes(entry)
+
+
+def test_large_compound_files():
+    assert [binary.sniff(long_ole(n, k)) for n, k in (("WordDocument", 110), ("Workbook", 236), ("FileHeader", 237))] == ["doc", "xls", "hwp"]
+    assert binary.sniff(long_ole("WordDocument", 237, broken=True)) is None and binary.sniff(long_ole("WordDocument", 110)[:-512]) is None

@@ -43,10 +43,19 @@ def ole_streams(data: bytes) -> list[str] | None:
     if len(data) < 512 or struct.unpack_from("<H", data, 28)[0] != 0xFFFE:
         return None
     shift, n_fat, first = struct.unpack_from("<H", data, 30)[0], struct.unpack_from("<I", data, 44)[0], struct.unpack_from("<I", data, 48)[0]
-    if shift not in (9, 12) or not 0 < n_fat <= 109:
+    if shift not in (9, 12) or not 0 < n_fat < len(data) >> shift:
         return None
     size, fat = 1 << shift, []
-    for s in struct.unpack_from("<109I", data, 76)[:n_fat]:
+    places, (more, n_more) = list(struct.unpack_from("<109I", data, 76)), struct.unpack_from("<2I", data, 68)
+    chain: set[int] = set()
+    while len(places) < n_fat:  # the header has 109 places of the table's sectors; a chain of sectors has the others
+        at = (more + 1) * size
+        if more in chain or len(chain) >= n_more or at + size > len(data):
+            return None
+        chain.add(more)
+        *own, more = struct.unpack_from(f"<{size // 4}I", data, at)
+        places += own
+    for s in places[:n_fat]:
         at = (s + 1) * size
         if at + size > len(data):
             return None
