@@ -5,9 +5,12 @@ has the low chunk of every id, level 1 the next chunk of those that need one, an
 ids that go on, and a directory with the count of marks before every 64 bits turns a position on one level into that on
 the next. So any token or range is read from its own bytes, with no block to decode.
 
-Layout (little-endian): `DAC1`, documents u32, levels u32, then document ids i64 and end positions u64, then for each
-level: count u64, chunks u8 x count, marks u64 x ceil(count/64), directory u32 x (ceil(count/64)+1).
-Files are the `blob` values of a Parquet table written by Spark, so that any store Spark can write to will do.
+Layout (little-endian): `DAC2`, documents u32, levels u32, documents of null id u32 (they come first), then document ids
+i64 and end positions u64, then for each level: count u64, chunks u8 x count, marks u64 x ceil(count/64), directory u32 x
+(ceil(count/64)+1). Files are the `blob` values of a Parquet table written by Spark, without compression, so that any store
+Spark can write to will do and a code's bytes stand there as they are.
+
+Ranges of ids are cut at quantiles; where one id takes up several of these, its rows are dealt to all of its ranges.
 
 Cases: a null text is empty and has the end id alone; equal ids keep every row, in no set order; a null id sorts first;
 an empty table gives an empty result; a document is never divided, however long; other columns are not looked at.
@@ -25,12 +28,13 @@ from pyspark.sql import functions as F
 from .common import Scratch, parts, two
 from .tokens import WordEncoder
 
-MAGIC = b"DAC1"
+MAGIC = b"DAC2"
 FILE_TOKENS = 1 << 20
-LEAST = -(1 << 63)
+RANGES = 4  # of ids, for each task
+FILES = "bucket int, seq int, before long, n_tokens long, blob binary"
 
 
-def write_codes(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray) -> bytes:
+def write_codes(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray, nulls: int) -> bytes:
     levels, rest = [], ids.astype(np.uint32)
     while len(rest) or not levels:
         more = rest > 255
@@ -42,14 +46,15 @@ def write_codes(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray) -> bytes
         before = np.concatenate([[0], np.cumsum(np.bitwise_count(marks), dtype=np.int64)]).astype("<u4")
         levels.append(len(rest).to_bytes(8, "little") + (rest & 255).astype(np.uint8).tobytes() + marks.tobytes() + before.tobytes())
         rest = rest[more] >> 8
-    return b"".join([MAGIC, len(doc_ids).to_bytes(4, "little"), len(levels).to_bytes(4, "little"), doc_ids.astype("<i8").tobytes(), ends.astype("<u8").tobytes(), *levels])
+    return b"".join([MAGIC, len(doc_ids).to_bytes(4, "little"), len(levels).to_bytes(4, "little"), nulls.to_bytes(4, "little"), doc_ids.astype("<i8").tobytes(), ends.astype("<u8").tobytes(), *levels])
 
 
 class CodeFile:
     def __init__(self, blob: bytes):
         if blob[:4] != MAGIC:
             raise ValueError("not a file of directly addressable codes")
-        docs, levels, at = int.from_bytes(blob[4:8], "little"), int.from_bytes(blob[8:12], "little"), 12
+        docs, levels, self.nulls = np.frombuffer(blob, "<u4", 3, 4).tolist()
+        at = 16
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -93,48 +98,54 @@ class CodeFile:
         return out
 
 
-def write_token_files(docs: DataFrame, scratch: Scratch, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The table of files: bucket (a range of document ids), seq (place in it), before (ids of the bucket's earlier files),
-    n_tokens, blob."""
+def write_token_files(docs: DataFrame, path: str, end_id: int, out: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Writes the table of files to the folder `out` and returns it: bucket (a range of document ids), seq (place in it),
+    before (ids of the bucket's earlier files), n_tokens, blob."""
     spark = docs.sparkSession
-    n = parts(spark)
-    key = F.coalesce("doc_id", F.lit(LEAST))
-    rows = two(docs, id_col, text_col).select(key.alias("doc_id"), "text")
-    cuts = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else []
-    cuts = np.unique(np.array(cuts or [], np.int64))
+    n = RANGES * parts(spark)
+    rows = two(docs, id_col, text_col)
+    cuts = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0]
+    cuts = np.array(cuts or [], np.int64)  # in order; an id that stands there more than once is a hot one
 
     def encode(batches):
-        coder, end = WordEncoder.of(path), end_id.to_bytes(2, "little")
+        coder, end, turn = WordEncoder.of(path), end_id.to_bytes(2, "little"), 0
         for b in batches:
-            ids = b.column("doc_id").to_numpy()
+            none = b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            ids = b.column("doc_id").fill_null(0).to_numpy()
+            low, high = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
+            at = turn + np.arange(len(ids))
+            bucket = np.where(none, -1 - at % n, low + at % (high - low + 1)).astype(np.int32)  # null ids come first
+            turn += len(ids)
             for i in range(0, len(ids), 512):
                 packed = [coder.packed(x) + end for x in b.column("text").slice(i, 512).to_pylist()]
-                own = ids[i : i + 512]
-                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, own, "right").astype(np.int32)), pa.array(own), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "ids"])
+                part = slice(i, i + 512)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[part]), b.column("doc_id").slice(i, 512), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "ids"])
 
     def write(batches):
-        held: list[tuple[int, bytes]] = []
+        held: list[tuple[int | None, bytes]] = []
         bucket, seq, size, before = None, 0, 0, 0
 
-        def out():
+        def made():
             sizes = np.array([len(x) // 2 for _, x in held])
-            blob = write_codes(np.frombuffer(b"".join(x for _, x in held), "<u2"), np.array([d for d, _ in held]), np.cumsum(sizes))
+            nulls = sum(d is None for d, _ in held)
+            blob = write_codes(np.frombuffer(b"".join(x for _, x in held), "<u2"), np.array([d or 0 for d, _ in held], np.int64), np.cumsum(sizes), nulls)
             return pa.RecordBatch.from_pylist([{"bucket": bucket, "seq": seq, "before": before, "n_tokens": int(sizes.sum()), "blob": blob}], schema=pa.schema([("bucket", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("blob", pa.binary())]))
 
         for b in batches:
             for k, d, x in zip(b.column("bucket").to_pylist(), b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
                 if held and (k != bucket or size + len(x) // 2 > FILE_TOKENS):
-                    yield out()
+                    yield made()
                     held, size, seq, before = [], 0, seq + 1, before + size
                 if k != bucket:
                     bucket, seq, before = k, 0, 0
                 held.append((d, x))
                 size += len(x) // 2
         if held:
-            yield out()
+            yield made()
 
-    coded = rows.mapInArrow(encode, "bucket int, doc_id long, ids binary").repartition(n, "bucket").sortWithinPartitions("bucket", "doc_id")
-    return scratch.table(coded.mapInArrow(write, "bucket int, seq int, before long, n_tokens long, blob binary"), "files")
+    coded = rows.mapInArrow(encode, "bucket int, doc_id long, ids binary").repartition(parts(spark), "bucket").sortWithinPartitions("bucket", "doc_id")
+    coded.mapInArrow(write, FILES).write.option("compression", "none").parquet(out)
+    return spark.read.schema(FILES).parquet(out)
 
 
 def read_token_files(files: DataFrame, scratch: Scratch) -> DataFrame:
@@ -149,12 +160,13 @@ def read_token_files(files: DataFrame, scratch: Scratch) -> DataFrame:
                 f = CodeFile(blob.as_py())
                 begins = np.concatenate([[0], f.ends[:-1]]).astype(np.int64)
                 crc = [zlib.crc32(f.read(s, e).astype("<u4").tobytes()) for s, e in zip(begins.tolist(), f.ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids), pa.array(begins + start), pa.array(f.ends - begins), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                ids = pa.array(f.doc_ids, mask=np.arange(len(f.doc_ids)) < f.nulls)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(begins + start), pa.array(f.ends - begins), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    out = placed.select("start", "blob").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(LEAST)))
+    return placed.select("start", "blob").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The files written to scratch and read back."""
     scratch = Scratch(docs.sparkSession, "tokens")
-    return read_token_files(write_token_files(docs, scratch, path, end_id, id_col, text_col), scratch)
+    return read_token_files(write_token_files(docs, path, end_id, f"{scratch.path}/files", id_col, text_col), scratch)

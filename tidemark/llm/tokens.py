@@ -119,10 +119,12 @@ class WordEncoder:
         for cache, most in ((self.chunks, CHUNKS), (self.plain_chunks, CHUNKS // 4), (self.pieces, PIECES)):
             if len(cache) > most:
                 cache.clear()
+        if self.kind == "word" and self.specials and self.specials.search(text):
+            return self._plain(text)  # special tokens are found before letters are lowered
         latin = _is_latin(text)
         chunks = self.chunks if latin else self.plain_chunks
         if self.kind == "word":
-            if latin and "<|" not in text:
+            if latin:
                 text = text.lower()  # of these characters none is changed by NFC, and each is lowered for itself
             return b"".join(map(chunks.__getitem__, text.replace("\n", " ").split(" ")))
         spaces = SPACES[:10] if text.isascii() else SPACES
