@@ -14,13 +14,11 @@ import numpy as np
 WINDOW = 32
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+    """Of an array that is the caller's own: it is overwritten."""
+    x -= x.max(-1, keepdims=True)
+    x -= np.log(np.exp(x).sum(-1, keepdims=True))
+    return x
 
 
 class Gru:
@@ -50,140 +48,165 @@ class Gru:
             at += v.size
         return self
 
-    def states(self, h: np.ndarray, x: np.ndarray, keep: np.ndarray, held: list | None = None) -> np.ndarray:
-        """x, keep: (steps, lanes); keep is 0 where a document begins. States after each step; held gets what a step's
-        gradient needs."""
-        n, rec = self.h, self.p["rec"]
-        g = self.p["in"][x]
-        out = np.empty((*x.shape, n), np.float32)
-        for t in range(len(x)):
+    def states(self, h: np.ndarray, x: np.ndarray, keep: np.ndarray, held: dict | None = None) -> np.ndarray:
+        """x, keep: (steps, lanes); keep is 0 where a document begins. States after each step; held gets what the gradients
+        need: the state before each step, the candidate's part of it, both gates and the candidate."""
+        n, rec, table = self.h, self.p["rec"], self.p["in"]
+        out, (steps, lanes) = np.empty((*x.shape, n), h.dtype), x.shape
+        if held is not None:
+            held |= {"before": np.empty_like(out), "an": np.empty_like(out), "zr": np.empty((*x.shape, 2 * n), h.dtype), "m": np.empty_like(out)}
+        for t in range(steps):
+            g = table[x[t]]
             h = h * keep[t][:, None]
             a = h @ rec
-            zr = sigmoid(g[t, :, : 2 * n] + a[:, : 2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            m = np.tanh(g[t, :, 2 * n :] + r * a[:, 2 * n :])
+            zr, m, an = g[:, : 2 * n], g[:, 2 * n :], a[:, 2 * n :]
+            zr += a[:, : 2 * n]
+            zr *= 0.5
+            np.tanh(zr, out=zr)  # the logistic function, by way of tanh
+            zr *= 0.5
+            zr += 0.5
+            m += zr[:, n:] * an
+            np.tanh(m, out=m)
             if held is not None:
-                held.append((h, a[:, 2 * n :], z, r, m))
-            h = out[t] = m + z * (h - m)
+                held["before"][t], held["an"][t], held["zr"][t], held["m"][t] = h, an, zr, m
+            h = np.subtract(h, m, out=out[t])
+            h *= zr[:, :n]
+            h += m
         return out
 
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """h (n, hidden), y (n): natural logarithms of the units' probabilities; with grads, also the gradient of their
         negated sum by h, and those by the parameters put into grads."""
-        cls, word = y // self.s, y % self.s
+        order = np.argsort((y // self.s).astype(np.uint16), kind="stable")  # by class, so that each is one slice
+        cls, word = np.divmod(y[order], self.s)
+        at, h = np.arange(len(y)), h[order]
+        cuts = np.searchsorted(cls, np.arange(self.c + 1))
         lc = log_softmax(h @ self.p["class"] + self.p["class_bias"])
-        out, dh = lc[np.arange(len(y)), cls], None
+        lp, dh = lc[at, cls], None
         if grads is not None:
             d = np.exp(lc)
-            d[np.arange(len(y)), cls] -= 1
+            d[at, cls] -= 1
             grads["class"], grads["class_bias"], dh = h.T @ d, d.sum(0), d @ self.p["class"].T
             grads["word"], grads["word_bias"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["word_bias"])
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.c + 1))
         for c in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[c] : cuts[c + 1]]
-            lw = log_softmax(h[own] @ self.p["word"][c] + self.p["word_bias"][c])
-            out[own] += lw[np.arange(len(own)), word[own]]
+            own = slice(cuts[c], cuts[c + 1])
+            lw, of = log_softmax(h[own] @ self.p["word"][c] + self.p["word_bias"][c]), word[own]
+            lp[own] += lw[at[: len(of)], of]
             if grads is not None:
-                d = np.exp(lw)
-                d[np.arange(len(own)), word[own]] -= 1
+                d = np.exp(lw, out=lw)
+                d[at[: len(of)], of] -= 1
                 grads["word"][c], grads["word_bias"][c] = h[own].T @ d, d.sum(0)
                 dh[own] += d @ self.p["word"][c].T
+        out = np.empty_like(lp)
+        out[order] = lp
+        if grads is not None:
+            dh[order] = dh.copy()
         return out, dh
 
     def gradients(self, h: np.ndarray, x: np.ndarray, y: np.ndarray, keep: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, dict, float]:
         """One window of truncated backpropagation. real: which places hold a token. Returns the last state, gradients
         of the mean loss, and that loss."""
-        held, grads, n = [], {}, self.h
+        held, grads, n = {}, {}, self.h
         hs = self.states(h, x, keep, held)
         dhs = np.zeros_like(hs)
         lp, dhs[real] = self.log_probs(hs[real], y[real], grads)
-        rec, d_in, d_rec, carry = self.p["rec"], np.zeros((*x.shape, 3 * n), np.float32), np.zeros_like(self.p["rec"]), np.zeros_like(h)
+        before, an, m, z, r = held["before"], held["an"], held["m"], held["zr"][..., :n], held["zr"][..., n:]
+        by_m = (1 - z) * (1 - m * m)
+        by_z = (before - m) * z * (1 - z)
+        by_r = an * r * (1 - r)
+        back, carry = np.ascontiguousarray(self.p["rec"].T), np.zeros_like(h)
+        d_in, d_a = np.empty((*x.shape, 3 * n), h.dtype), np.empty((*x.shape, 3 * n), h.dtype)
         for t in range(len(x) - 1, -1, -1):
-            before, an, z, r, m = held[t]
-            dh = dhs[t] + carry
-            dm = dh * (1 - z) * (1 - m * m)
-            dz = dh * (before - m) * z * (1 - z)
-            dr = dm * an * r * (1 - r)
-            da = np.concatenate([dz, dr, dm * r], 1)
-            d_in[t] = np.concatenate([dz, dr, dm], 1)
-            d_rec += before.T @ da
-            carry = (dh * z + da @ rec.T) * keep[t][:, None]
-        grads["in"], grads["rec"] = np.zeros_like(self.p["in"]), d_rec
-        order = np.argsort(x.ravel(), kind="stable")
+            dh = dhs[t]
+            dh += carry
+            da, di = d_a[t], d_in[t]
+            dm = np.multiply(dh, by_m[t], out=di[:, 2 * n :])
+            np.multiply(dh, by_z[t], out=da[:, :n])
+            np.multiply(dm, by_r[t], out=da[:, n : 2 * n])
+            np.multiply(dm, r[t], out=da[:, 2 * n :])
+            di[:, : 2 * n] = da[:, : 2 * n]
+            carry = da @ back
+            carry += dh * z[t]
+            carry *= keep[t][:, None]
+        grads["in"], grads["rec"] = np.zeros_like(self.p["in"]), before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
+        order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
         used, begin = np.unique(x.ravel()[order], return_index=True)
         grads["in"][used] = np.add.reduceat(d_in.reshape(-1, 3 * n)[order], begin)
         total = max(1, int(real.sum()))
         return hs[-1], {k: v / total for k, v in grads.items()}, -float(lp.sum()) / total
 
 
-def lanes(sizes: list[int], most: int) -> list[list[int]]:
-    """Documents dealt to at most so many lanes, longest first to the shortest lane; lanes by falling length."""
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    heap = [(0, i) for i in range(min(most, len(sizes)))]
-    out: list[list[int]] = [[] for _ in heap]
-    for d in order:
-        load, i = heapq.heappop(heap)
-        out[i].append(d)
-        heapq.heappush(heap, (load + sizes[d], i))
-    return sorted(out, key=lambda own: -sum(sizes[d] for d in own))
-
-
-def streams(docs: list[np.ndarray], first: int, most: int):
-    """docs: units, the end unit last. For each lane its inputs, targets, keep flags and documents, as padded arrays
-    (steps, lanes), with the lanes' lengths."""
-    dealt = lanes([len(d) for d in docs], most)
-    lengths = np.array([sum(len(docs[d]) for d in own) for own in dealt])
-    steps = -(-int(lengths.max()) // WINDOW) * WINDOW
-    x, y = np.zeros((steps, len(dealt)), np.int32), np.zeros((steps, len(dealt)), np.int32)
-    keep, doc = np.ones((steps, len(dealt)), np.float32), np.full((steps, len(dealt)), -1, np.int32)
-    for lane, own in enumerate(dealt):
-        at = 0
-        for d in own:
-            n = len(docs[d])
-            y[at : at + n, lane], x[at, lane], x[at + 1 : at + n, lane] = docs[d], first, docs[d][:-1]
-            keep[at, lane], doc[at : at + n, lane] = 0, d
-            at += n
-    return x, y, keep, doc, lengths
-
-
-def score(model: Gru, docs: list[np.ndarray], end: int, most: int = 256) -> np.ndarray:
-    """The natural log-likelihood of each whole document."""
+class Lanes:
+    """Pieces of text side by side: pieces are dealt to at most so many lanes, the longest first to the shortest lane, and
+    stand one behind the other there. Windows are cut out as they are asked for, so that memory follows the tokens and
+    not the longest lane."""
+
+    def __init__(self, docs: list[np.ndarray], first: int, most: int, piece: int = 0):
+        """piece: documents are cut into pieces of so many tokens (0: they are not cut); every piece begins anew, but knows
+        the unit before it."""
+        cut = [(d, i, min(i + (piece or len(u)), len(u))) for d, u in enumerate(docs) for i in range(0, len(u), piece or len(u))]
+        sizes = np.array([b - a for _, a, b in cut], np.int64)
+        heap: list[tuple[int, int]] = [(0, i) for i in range(min(most, len(cut)))]
+        dealt: list[list[int]] = [[] for _ in heap]
+        for c in np.argsort(-sizes, kind="stable").tolist():
+            load, i = heapq.heappop(heap)
+            dealt[i].append(c)
+            heapq.heappush(heap, (load + int(sizes[c]), i))
+        dealt.sort(key=lambda own: -sum(sizes[c] for c in own))
+        order = [cut[c] for own in dealt for c in own]
+        self.y = np.concatenate([docs[d][a:b] for d, a, b in order]).astype(np.int32)
+        self.doc = np.repeat([d for d, _, _ in order], [b - a for _, a, b in order]).astype(np.int32)
+        begins = np.cumsum([0, *(b - a for _, a, b in order)])[:-1]
+        self.x = np.concatenate([[first], self.y[:-1]]).astype(np.int32)
+        self.x[begins] = [docs[d][a - 1] if a else first for d, a, _ in order]
+        self.keep = np.ones(len(self.y), np.float32)
+        self.keep[begins] = 0
+        self.lengths = np.array([sum(sizes[c] for c in own) for own in dealt], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def windows(self, cells: int = 0):
+        """(inputs, targets, keep, document, which are real), each (steps, lanes), of the lanes that still run. cells: windows
+        are longer where few lanes are left, so that they have about so many places."""
+        t, end = 0, int(self.lengths.max(initial=0))
+        while t < end:
+            k = int((self.lengths > t).sum())
+            steps = max(WINDOW, min(cells // k, end - t))
+            at = np.arange(t, t + steps)[:, None]
+            real = at < self.lengths[None, :k]
+            at = np.where(real, at + self.starts[None, :k], 0)
+            yield self.x[at], self.y[at], self.keep[at], self.doc[at], real
+            t += steps
+
+
+def score(model: Gru, docs: list[np.ndarray], end: int, most: int = 512) -> np.ndarray:
+    """The natural log-likelihood of each whole document. docs: units, the end unit last; none of them is empty."""
     total = np.zeros(len(docs))
     if not docs:
         return total
-    x, y, keep, doc, lengths = streams(docs, end, most)
-    h = np.zeros((x.shape[1], model.h), np.float32)
-    for t in range(0, len(x), WINDOW):
-        k = int((lengths > t).sum())  # lanes that still run stand first
-        part = slice(t, t + WINDOW), slice(0, k)
-        hs = model.states(h[:k], x[part], keep[part])
-        real = doc[part] >= 0
-        lp, _ = model.log_probs(hs[real], y[part][real])
-        total += np.bincount(doc[part][real], weights=lp, minlength=len(docs))
+    h = np.zeros((most, model.h), np.float32)
+    for x, y, keep, doc, real in Lanes(docs, end, most).windows(WINDOW * most // 2):
+        hs = model.states(h[: x.shape[1]], x, keep)
+        lp, _ = model.log_probs(hs[real], y[real])
+        total += np.bincount(doc[real], weights=lp, minlength=len(docs))
         h = hs[-1]
     return total
 
 
-def fit(model: Gru, docs: list[np.ndarray], end: int, most: int = 64, rate: float = 0.004) -> int:
-    """One pass over the documents with Adam; returns the tokens seen. Lanes are as few as make them about equal, so that no
-    steps are left to a long document alone."""
+def fit(model: Gru, docs: list[np.ndarray], end: int, most: int = 256, rate: float = 0.016, steps: int = 96, piece: int = 512) -> int:
+    """One pass over the documents with Adam; returns the tokens seen. As many lanes as give about so many steps."""
     if not docs:
         return 0
-    sizes = [len(d) for d in docs]
-    most = max(1, min(most, sum(sizes) // max(sizes)))
-    x, y, keep, doc, lengths = streams(docs, end, most)
-    h = np.zeros((x.shape[1], model.h), np.float32)
+    tokens = sum(map(len, docs))
+    lanes = Lanes(docs, end, max(1, min(most, tokens // (WINDOW * steps))), piece)
+    h = np.zeros((len(lanes.lengths), model.h), np.float32)
     first, second, step = {k: np.zeros_like(v) for k, v in model.p.items()}, {k: np.zeros_like(v) for k, v in model.p.items()}, 0
-    for t in range(0, len(x), WINDOW):
-        k = int((lengths > t).sum())
-        part = slice(t, t + WINDOW), slice(0, k)
-        h, grads, _ = model.gradients(h[:k], x[part], y[part], keep[part], doc[part] >= 0)
+    for x, y, keep, _, real in lanes.windows():
+        h, grads, _ = model.gradients(h[: x.shape[1]], x, y, keep, real)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         step += 1
         for name, g in grads.items():
-            g = g * min(1.0, 2.0 / (norm + 1e-9))
+            g *= min(1.0, 2.0 / (norm + 1e-9))
             first[name] += 0.1 * (g - first[name])
-            second[name] += 0.001 * (g * g - second[name])
-            model.p[name] = (model.p[name] - rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    return int(lengths.sum())
+            second[name] += 0.01 * (g * g - second[name])
+            model.p[name] -= (rate / (1 - 0.9**step) * first[name] / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    return tokens

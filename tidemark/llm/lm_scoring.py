@@ -3,9 +3,10 @@
 All training documents are counted: every word's count, the number of tokens and of distinct ones. The model's units are
 the most frequent words, one tail unit for each of 64 hashes of a word's first bytes, and the end. A word of the tail has
 its unit's probability times its share, by count, of all that fall to that unit, with one count kept for unseen words.
-The recurrent part is trained on every training document, by the same rule at every size: replicas run over equal parts of
-them, each in one task, and their parameters are averaged after every round. Words and counts meet by a join on distinct
-words of each chunk of documents; whole documents are scored in one go, with the state carried from window to window.
+The recurrent part is trained once on every training document, by the same rule at every size: the documents are dealt to
+a few rounds; in each, replicas run over equal parts of its documents, each in one task, and their parameters are averaged
+at its end. Words and counts meet by a join on distinct words of each chunk of documents; whole documents are scored in
+one go, with the state carried from window to window.
 
 Cases: a null text is empty and has the end alone; with no training document every count is zero and the base score of
 any text is 0; a null id counts as empty text for the fold; repeated rows are counted and scored each; very long texts
@@ -29,7 +30,7 @@ CLASSES, IN_CLASS, TAILS = 32, 32, 64
 END = 0
 TOP = CLASSES * IN_CLASS - TAILS - 1  # the most frequent words; units 1..TOP
 REPLICA_TOKENS = 1_000_000
-GROUP_TOKENS = 1_500_000  # scored side by side
+GROUP_TOKENS = 2_000_000  # scored side by side
 
 
 def _split(raw: bytes) -> list[bytes]:
@@ -54,12 +55,12 @@ def _join_counts(total: int, distinct: int, ends: int, tails: np.ndarray):
         tail = np.where(in_tail, lb - tail_base[np.where(in_tail, unit - TOP - 1, 0)], 0.0)
         end = math.log10(ends + 1) - base
         rows = []
-        for doc_id, flag, codes in zip(docs.column("doc_id").to_pylist(), docs.column("flag").to_pylist(), docs.column("codes"), strict=True):
+        for turn, (doc_id, flag, codes) in enumerate(zip(docs.column("doc_id").to_pylist(), docs.column("flag").to_pylist(), docs.column("codes"), strict=True)):
             c = unpack_codes(codes.as_py())
             units = np.append(unit[c], np.uint16(END))
-            rows.append((doc_id, flag, len(c) + 1, int((count[c] > 0).sum()) + (ends > 0), float(lb[c].sum() - base * len(c) + end), float(tail[c].sum()), units.astype("<u2").tobytes()))
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
-        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True) if rows else [()] * 7, kinds, strict=True)], names=["doc_id", "flag", "n_tokens", "n_known", "base_score", "tail", "units"])
+            rows.append((doc_id, flag, len(c) + 1, int((count[c] > 0).sum()) + (ends > 0), float(lb[c].sum() - base * len(c) + end), float(tail[c].sum()), units.astype("<u2").tobytes(), turn))
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int32())
+        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True) if rows else [()] * 8, kinds, strict=True)], names=["doc_id", "flag", "n_tokens", "n_known", "base_score", "tail", "units", "turn"])
 
     return run
 
@@ -69,10 +70,12 @@ def _units(blobs) -> list[np.ndarray]:
 
 
 def _train(units: DataFrame, model: Gru, tokens: int, rounds: int) -> Gru:
-    """Rounds of replicas over all training documents, averaged by their tokens."""
+    """One pass over all training documents in rounds of replicas, averaged by their tokens. A document's turn, its place in
+    its chunk, decides the round: copies and rows that share an id are spread over all of them."""
     spark = units.sparkSession
-    every = units.where("flag").select("units").repartition(max(1, math.ceil(tokens / REPLICA_TOKENS)))
-    for _ in range(rounds):
+    replicas = max(1, math.ceil(tokens / rounds / REPLICA_TOKENS))
+    for i in range(rounds):
+        own_turn = units.where(F.col("flag") & (F.col("turn") % rounds == i)).select("units").repartition(replicas)
         shared = spark.sparkContext.broadcast(model.flat())
 
         def run(batches, shared=shared):
@@ -84,7 +87,7 @@ def _train(units: DataFrame, model: Gru, tokens: int, rounds: int) -> Gru:
                     part = flat[i : i + (1 << 16)]
                     yield pa.RecordBatch.from_arrays([pa.array(np.arange(i, i + len(part), dtype=np.int32)), pa.array(part * weight), pa.array(np.full(len(part), weight, np.int64))], names=["i", "v", "w"])
 
-        mean = every.mapInArrow(run, "i int, v double, w long").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()  # a row per parameter
+        mean = own_turn.mapInArrow(run, "i int, v double, w long").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow()  # a row per parameter
         if len(mean):
             flat = np.zeros(len(mean))
             flat[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
@@ -92,7 +95,7 @@ def _train(units: DataFrame, model: Gru, tokens: int, rounds: int) -> Gru:
     return model
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, hidden: int = 32, rounds: int = 3) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, hidden: int = 32, rounds: int = 4) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
@@ -111,7 +114,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         tails[x["k"]] = x["c"], x["v"]
     named = words.select("chunk", "at", "word").join(scratch.shuffled(counts), "word", "left").join(F.broadcast(units), "word", "left")
     named = named.select("chunk", "at", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("unit", _tail("word") + TOP + 1).alias("unit"))
-    joined = coded.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(_join_counts(total, distinct, ends, tails), "doc_id long, flag boolean, n_tokens long, n_known long, base_score double, tail double, units binary")
+    joined = coded.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInArrow(_join_counts(total, distinct, ends, tails), "doc_id long, flag boolean, n_tokens long, n_known long, base_score double, tail double, units binary, turn int")
     joined = scratch.table(joined, "joined")
     model = Gru(CLASSES, IN_CLASS, hidden)
     model.set_frequencies(np.concatenate([[ends], [x["c"] for x in top], np.zeros(TOP - len(top)), tails[:, 0]]))

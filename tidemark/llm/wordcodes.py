@@ -1,7 +1,8 @@
 """Texts as numbers of words, with a table of distinct words for each chunk of documents.
 
 One pass over the documents writes two kinds of rows to a scratch table: for each document the numbers of its words, in
-order of place, and for each chunk (as many documents as share `words` distinct words) its words in order of number.
+order of place, and for each chunk (as many documents as share `words` distinct words or `tokens` words in all) its words
+in order of number.
 Only distinct words then take part in shuffles; what is found out about them comes back to the chunk by number.
 
 A dictionary comes as rows of words with their counts, or, if owners are asked for, as one packed message to each owner (a
@@ -65,7 +66,7 @@ def unpack_codes(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int = 800_000, owners: int = 0) -> tuple[DataFrame, DataFrame]:
+def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int = 800_000, tokens: int = 8_000_000, owners: int = 0) -> tuple[DataFrame, DataFrame]:
     """docs(doc_id, raw binary, flag boolean). split: from bytes to a list of bytes, or with owners of texts. Returns the
     coded documents (chunk, doc_id, flag, n, codes) and the dictionaries: (chunk, at, word, times), where times counts the
     word in documents whose flag is true, or with owners (chunk, owner, blob)."""
@@ -73,7 +74,7 @@ def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int =
 
     def run(batches):
         new = (lambda: _Owned(owners)) if owners else _Numbers
-        chunk, numbers, times = TaskContext.get().partitionId() << 32, new(), np.zeros(1 << 16, np.int64)
+        chunk, numbers, times, size = TaskContext.get().partitionId() << 32, new(), np.zeros(1 << 16, np.int64), 0
 
         def table():
             if owners:
@@ -100,12 +101,12 @@ def code_words(docs: DataFrame, split: Callable, scratch: Scratch, words: int =
                         else:
                             np.add.at(times, c, 1)
                     ids.append(doc_id), ns.append(len(c)), codes.append(pack_codes(c)), flags.append(flag)
-                k = len(ids)
+                k, size = len(ids), size + sum(ns)
                 given = [pa.array([chunk] * k, pa.int64()), pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(ns, pa.int32()), pa.array(codes, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*given, *(pa.nulls(k, f.type) for f in list(schema)[len(given) :])], schema=schema)
-                if len(numbers) > words:
+                if len(numbers) > words or size > tokens:
                     yield from table()
-                    chunk, numbers, times = chunk + 1, new(), np.zeros(1 << 16, np.int64)
+                    chunk, numbers, times, size = chunk + 1, new(), np.zeros(1 << 16, np.int64), 0
         if len(times) < len(numbers):
             times = np.concatenate([times, np.zeros(len(numbers), np.int64)])
         yield from table()
