@@ -1,11 +1,18 @@
 """Embedding near-dedup (operator 6): spherical k-means cells, blocked cosine products within cells.
 
-Equal vectors are one node with a count. Centroids come from a bounded sample; every vector goes to its nearest cell and,
-as a guest, to cells of a smaller number whose centroid is nearly as close (within `slack` of cosine). A pair is compared
-in the smaller of its two home cells and nowhere else, so nothing counts twice. A large cell is cut into blocks, and each
-pair of blocks is a task of its own. Products are in double precision. Blocks hand on link counts and a star per group.
+Equal vectors are one node with a count. Every vector has a home, the cell of its nearest centroid, and is a guest of each
+other cell whose border it lies near: two unit vectors with a cosine of at least `threshold` are at most an angle t apart,
+the arc between them crosses the border of their homes, and so one of the two lies within t/2 of it. A pair is compared
+where one of the two is at home, so none is missed, whatever the centroids are; they decide the work alone. Where both
+meet in both homes, the smaller cell counts.
 
-Pairs whose members' homes are farther apart than `slack` are missed; the tests measure recall against brute force.
+Cells that hold many vectors are cut again in the same way: the centroids of the first level come from a sample on the
+driver, those of the second from a sample of each cell, in one task for each. A cell that is still large, as one of near
+copies, is cut into blocks, and each pair of blocks is a task of its own. Products are in double precision. Blocks hand on
+link counts and a star per group.
+
+Work: vectors that lie in clusters are guests of few cells; without clusters (unrelated vectors of 64 dimensions) they are
+guests of about half of all cells, and rows and products grow nearly with the square of the vectors.
 
 Cases: null, zero and non-finite vectors, and empty ones, link with nothing; vectors of different lengths do not link;
 equal and repeated vectors link with each other; an empty table gives an empty result; other columns are not looked at.
@@ -15,16 +22,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  for pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 from .components import components, local_roots
 
-CELL = 256  # vectors a cell should hold
-MAX_CELLS = 4_096
+CELL = 1_024  # vectors that should have their home in a cell
+FIRST = 256  # cells of the first level, or the square root of all cells if that is more
+SECOND = 1_024  # cells of the second level in one of the first, at most; what they hold too many of goes into blocks
 PER_CELL = 24  # sampled vectors for each cell
 BLOCK = 4_096
+DEALT = "rep long, times long, vec {vec}, top int, home_top int, tops array<int>"
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
@@ -53,54 +63,116 @@ def _unit(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _assign(cells, slack: float):
+def reach(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's home, and as two arrays the rows and the cells where they are at home or guests."""
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * c @ c.T)) * math.sqrt((1 - threshold) / 2) + 1e-9
+    homes, rows, cells = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in range(0, len(x), 1024):
+        s = x[i : i + 1024] @ c.T
+        home = s.argmax(1)
+        row, cell = np.nonzero(s[np.arange(len(s)), home][:, None] - s <= apart[home])
+        homes.append(home), rows.append(row + i), cells.append(cell)
+    return np.concatenate(homes), np.concatenate(rows), np.concatenate(cells)
+
+
+def _lists(rows: np.ndarray, values: np.ndarray, n: int, kind) -> pa.Array:
+    """For each of n rows the list of its values; rows ascend."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)), pa.array(values.astype(kind)))
+
+
+def _first(cells, threshold: float):
     def run(batches):
         for b in batches:
-            out = []
             dims = b.column("dim").to_numpy()
             for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                x = _unit(b.column("vec").take(pa.array(at)))
+                own = b.take(pa.array(np.flatnonzero(dims == dim)))
                 c, first = cells.value[dim]
-                s = x @ c.T
-                home = s.argmax(1)
-                near = (s >= s[np.arange(len(s)), home][:, None] - slack) & (np.arange(len(c))[None, :] <= home[:, None])
-                i, cell = np.nonzero(near)
-                out.append((at[i], cell + first, home[i] + first))
-            at, cell, home = (np.concatenate(z) for z in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(home.astype(np.int32)), b.column("rep").take(take), b.column("times").take(take), b.column("vec").take(take)], names=["cell", "home", "rep", "times", "vec"])
+                home, row, cell = reach(_unit(own.column("vec")), c, threshold)
+                tops, at = _lists(row, cell + first, len(own), np.int32), pa.array(row)
+                yield pa.RecordBatch.from_arrays([own.column("rep").take(at), own.column("times").take(at), own.column("vec").take(at), pa.array((cell + first).astype(np.int32)), pa.array((home[row] + first).astype(np.int32)), tops.take(at)], names=["rep", "times", "vec", "top", "home_top", "tops"])
 
     return run
 
 
+def _centroids(group: pa.Table) -> pa.Table:
+    """Of the sampled vectors of one cell of the first level."""
+    group = group.combine_chunks().sort_by("rep")
+    c = spherical_kmeans(_unit(group.column("vec").combine_chunks()), min(len(group), group.column("k")[0].as_py()))
+    return pa.table({"top": group.column("top").slice(0, 1), "flat": pa.array([c.ravel().tolist()], pa.list_(pa.float64()))})
+
+
+def _second(threshold: float):
+    def run(rows: pa.Table, centroids: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        x = _unit(rows.column("vec").combine_chunks()) if len(rows) else np.zeros((0, 1))
+        c = np.array(centroids.column("flat")[0].as_py()).reshape(-1, x.shape[1]) if len(centroids) and len(rows) else np.zeros((1, x.shape[1]))
+        home, row, cell = reach(x, c, threshold)
+        base, at = rows.column("top").to_numpy().astype(np.int64) * SECOND, pa.array(row)
+        leaves = _lists(row, cell + base[row], len(rows), np.int64)
+        more = {"leaf": pa.array(cell + base[row]), "home_leaf": pa.array((home + base)[row]), "leaves": leaves.take(at)}
+        return pa.table({n: rows.column(n).take(at) for n in ("rep", "times", "vec", "top", "home_top", "tops")} | more)
+
+    return run
+
+
+def _told_elsewhere(u: np.ndarray, v: np.ndarray, here: int, home: np.ndarray, visits: pa.ChunkedArray) -> np.ndarray:
+    """Of pairs that meet here: whether they also meet in a smaller cell, the home of one, where the other is a guest."""
+    homes, at = np.unique(home, return_inverse=True)
+    flat, sizes = visits.combine_chunks().flatten().to_numpy(), pa.compute.list_value_length(visits).to_numpy()
+    place = np.minimum(np.searchsorted(homes, flat), len(homes) - 1)
+    met = homes[place] == flat
+    there = np.zeros((len(home), len(homes)), bool)
+    there[np.repeat(np.arange(len(home)), sizes)[met], place[met]] = True
+    there[:, homes >= here] = False
+    return ((home[u] == here) & there[u, at[v]]) | ((home[v] == here) & there[v, at[u]])
+
+
 def _compare(threshold: float):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        cell, i, j = (x.as_py() for x in key)
+        leaf, i, j = (x.as_py() for x in key)
         group = group.combine_chunks().sort_by("rep")
+        top = group.column("top")[0].as_py()
         x = _unit(group.column("vec").combine_chunks())
-        rep, times, home, block = (group.column(n).to_numpy() for n in ("rep", "times", "home", "block"))
-        n = len(rep)
-        links, us, vs = np.zeros(n, np.int64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for p in range(0, len(a), 256):
-            rows = a[p : p + 256]
-            close = x[rows] @ x[b].T >= threshold
-            close &= (home[rows] == cell)[:, None] | (home[b] == cell)[None, :]
-            close &= (rows[:, None] != b[None, :]) if i == j else True
-            links[rows] += close @ times[b]
-            if i != j:
-                links[b] += close.T @ times[rows]
-            u, v = np.nonzero(close)
-            us.append(rows[u]), vs.append(b[v])
-        root = local_roots(n, np.concatenate(us), np.concatenate(vs))
+        rep, times, block, home_top, home_leaf = (group.column(n).to_numpy() for n in ("rep", "times", "block", "home_top", "home_leaf"))
+        n, in_top, in_leaf = len(rep), home_top == top, home_leaf == leaf
+        links, us, vs, held, root = np.zeros(n, np.int64), [], [], 0, np.arange(n)
+
+        def kind(which: int, t: bool, l: bool) -> np.ndarray:
+            return np.flatnonzero((block == which) & (in_top == t) & (in_leaf == l))
+
+        def meet(a: np.ndarray, b: np.ndarray, same: bool = False) -> None:
+            nonlocal links, held, root
+            for p in range(0, len(a), 256):
+                r, q = np.nonzero(x[a[p : p + 256]] @ x[b].T >= threshold)
+                u, v = a[p + r], b[q]
+                if same:
+                    u, v = u[u < v], v[u < v]
+                if not len(u):
+                    continue
+                new = ~_told_elsewhere(u, v, top, home_top, group.column("tops")) & ~_told_elsewhere(u, v, leaf, home_leaf, group.column("leaves"))
+                u, v = u[new], v[new]
+                links += np.bincount(u, times[v], n).astype(np.int64) + np.bincount(v, times[u], n).astype(np.int64)
+                us.append(u), vs.append(v)
+                held += len(u)
+                if held > 2_000_000:  # a dense cell: keep what the pairs join, not the pairs
+                    root, held = local_roots(n, np.concatenate([np.arange(n), *us]), np.concatenate([root, *vs])), 0
+                    us.clear(), vs.clear()
+
+        both, of_top, of_leaf, guests = ([kind(w, t, l) for w in (i, j)] for t, l in ((True, True), (True, False), (False, True), (False, False)))
+        meet(both[0], both[1], i == j)
+        meet(both[0], np.concatenate([of_top[1], of_leaf[1], guests[1]]))
+        meet(of_top[0], of_leaf[1])
+        if i != j:
+            meet(np.concatenate([of_top[0], of_leaf[0], guests[0]]), both[1])
+            meet(of_leaf[0], of_top[1])
+        root = local_roots(n, np.concatenate([np.arange(n), *us]), np.concatenate([root, *vs]))
         told = links > 0
         return pa.table({"rep": rep[told], "links": links[told], "root": rep[root[told]]})
 
     return run
 
 
-def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0.2, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embeddings")
@@ -110,19 +182,35 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, slack: float = 0
     rows = scratch.table(rows.withColumn("ok", F.col("vec_id").isNotNull() & F.coalesce(~bad, F.lit(False))), "rows")
     good = rows.where("ok").select("vec_id", "vec")
     nodes = scratch.table(good.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times")).withColumn("dim", F.size("vec")), "nodes")
+    sampled = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / (1 << 30)
     cells, first = {}, 0
     for dim, n in sorted(nodes.groupBy("dim").count().collect()):  # one row per vector length
-        k = min(MAX_CELLS, max(1, math.ceil(n / CELL)))
-        share = min(1.0, 1.1 * PER_CELL * k / n)
-        some = nodes.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < math.ceil(share * (1 << 30)))).select("rep", "vec").toArrow().sort_by("rep")
-        c = spherical_kmeans(_unit(some.column("vec").combine_chunks()), k) if len(some) else np.eye(1, dim)
+        k = math.ceil(n / CELL)
+        k = min(k, max(FIRST, math.isqrt(k)))
+        some = nodes.where((F.col("dim") == dim) & (sampled < 1.1 * PER_CELL * k / n)).select("rep", "vec").toArrow().sort_by("rep")
+        c = spherical_kmeans(_unit(some.column("vec").combine_chunks()), min(k, len(some))) if len(some) else np.eye(1, dim)
         cells[dim], first = (c, first), first + len(c)
-    shared = spark.sparkContext.broadcast(cells)  # at most MAX_CELLS centroids for each length
-    dealt = scratch.table(nodes.mapInArrow(_assign(shared, slack), f"cell int, home int, rep long, times long, vec {nodes.schema['vec'].dataType.simpleString()}"), "dealt")
-    blocks = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cut = dealt.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))  # a row per cell
-    tasks = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "home", "rep", "times", "vec")
-    found = scratch.table(tasks.groupBy("cell", "i", "j").applyInArrow(_compare(threshold), "rep long, links long, root long"), "found")
+    shared = spark.sparkContext.broadcast(cells)  # FIRST or the square root of n / CELL centroids for each length
+    kind = nodes.schema["vec"].dataType.simpleString()
+    dealt = scratch.table(nodes.mapInArrow(_first(shared, threshold), DEALT.format(vec=kind)), "dealt")
+    sizes = dealt.groupBy("top").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("top") == F.col("home_top"), 1)).alias("homes"))
+    sizes = scratch.table(sizes.select("top", F.least(F.lit(SECOND), F.ceil(F.col("homes") / CELL)).cast("int").alias("k"), F.ceil(F.col("n") / (4 * BLOCK)).cast("int").alias("salts")), "sizes")  # a row for each cell
+    cut = dealt.join(F.broadcast(sizes.where("k > 1")), "top")  # those that are cut again
+    some = cut.where((F.col("top") == F.col("home_top")) & (sampled < 1.1 * PER_CELL / CELL)).select("top", "rep", "vec", "k")
+    centroids = some.groupBy("top").applyInArrow(_centroids, "top int, flat array<double>")
+    many = centroids.join(F.broadcast(sizes), "top").select("top", "flat", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("salts")).cast("int")).drop("k", "salts")
+    wide = DEALT.format(vec=kind) + ", leaf long, home_leaf long, leaves array<long>"
+    under = salted.groupBy("top", "salt").cogroup(many.groupBy("top", "salt")).applyInArrow(_second(threshold), wide)
+    leaf = F.col("top").cast("long") * SECOND
+    whole = dealt.join(F.broadcast(sizes.where("k <= 1").select("top")), "top").select(*dealt.columns, leaf.alias("leaf"), leaf.alias("home_leaf"), F.array(leaf).alias("leaves"))
+    placed = scratch.table(whole.unionByName(under), "placed")
+    blocks = scratch.table(placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+    many = placed.join(scratch.shuffled(blocks.where("blocks > 1")), "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    many = many.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    tasks = many.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tasks = tasks.select("leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "times", "vec", "top", "home_top", "tops", "home_leaf", "leaves")
+    found = scratch.table(tasks.groupBy("leaf", "i", "j").applyInArrow(_compare(threshold), "rep long, links long, root long"), "found")
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")), scratch)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = nodes.join(scratch.shuffled(links), "rep", "left").join(scratch.shuffled(roots).withColumnRenamed("node", "rep"), "rep", "left")
