@@ -3,27 +3,45 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
+import time
 import uuid
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: A bitmap of hashes has so many bits (8 MB), whatever the data; one that is a quarter full tells too little to be used.
+BITS, BLOCK_BITS = 1 << 26, 1 << 15
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one is set only where the setting is missing (tests)."""
+    """The folder named in spark.checkpoint.dir. Where the setting is missing, a local master gets a temporary folder; on a
+    cluster, whose executors would not see that, it is an error."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def _delete(spark: SparkSession, conf, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
 class Scratch:
-    """Tables written once and read again. They cut lineage and outlive lost executors; they go when the session ends."""
+    """Tables written once and read again. They cut lineage and outlive lost executors. They go when the program ends, also
+    after the session was stopped; those of a program that was killed are taken away by `sweep`."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+        self.spark, self.conf = spark, spark.sparkContext._jsc.hadoopConfiguration()
         self.path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
         self.tables: list[str] = []
         atexit.register(self.drop)
@@ -47,16 +65,59 @@ class Scratch:
         self.tables.append(table)
         return self.spark.table(table), self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str = "") -> None:
-        try:
-            jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        except Exception:  # the session has ended, and its folder with it
-            return
-        if not name:
+    def drop(self) -> None:
+        with contextlib.suppress(Exception):  # where the session has ended, its catalog of temporary tables has too
             for table in self.tables:
                 self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
-        path.getFileSystem(conf).delete(path, True)
+        with contextlib.suppress(Exception):  # the JVM has ended before the program
+            _delete(self.spark, self.conf, self.path)
+
+
+def sweep(spark: SparkSession, hours: float = 48) -> int:
+    """Takes away scratch folders, and tables over them, that no program has touched for so long; returns how many."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    top = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = top.getFileSystem(conf)
+    old = [s.getPath() for s in (fs.listStatus(top) if fs.exists(top) else []) if s.getPath().getName().startswith("tidemark-") and s.getModificationTime() < (time.time() - 3600 * hours) * 1000]
+    gone = {p.getName().replace("-", "_") for p in old}
+    for t in spark.catalog.listTables():
+        if any(t.name.startswith(f"{name.lower()}_") for name in gone):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
+def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray | None:
+    """hashes: one column of longs. A bitmap of them, built in blocks by Spark; None if it is too full to be of use, so that
+    all rows count as possible. Its size is fixed, so it can be handed to every task."""
+
+    def pack(group: pa.Table) -> pa.Table:
+        marks = np.zeros(BLOCK_BITS, np.uint8)
+        marks[group.column("bit").to_numpy()] = 1
+        return pa.table({"block": group.column("block").slice(0, 1), "marks": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
+
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+    blocks = hashes.select(at.alias("at")).distinct().select((F.col("at") / BLOCK_BITS).cast("int").alias("block"), (F.col("at") % BLOCK_BITS).cast("int").alias("bit"))
+    told = blocks.groupBy("block").applyInArrow(pack, "block int, marks binary").toArrow()  # at most bits / BLOCK_BITS rows of 4 KB
+    out = np.zeros((-(-bits // BLOCK_BITS), BLOCK_BITS // 8), np.uint8)
+    for block, marks in zip(told.column("block").to_pylist(), told.column("marks"), strict=True):
+        out[block] = np.frombuffer(marks.as_py(), np.uint8)
+    return out.ravel() if 4 * int(np.bitwise_count(out).sum()) <= bits else None
+
+
+def possible(spark: SparkSession, marks: np.ndarray | None, h: Column, bits: int = BITS) -> Column:
+    """Whether a hash may be among those of the bitmap: true for all of them, and for one in four others at most."""
+    if marks is None:
+        return F.lit(True)
+    shared = spark.sparkContext.broadcast(marks)  # BITS / 8 bytes
+
+    @F.pandas_udf("boolean")
+    def found(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return found(F.pmod(h, F.lit(bits)))
 
 
 def parts(spark: SparkSession) -> int:

@@ -39,14 +39,17 @@ def _star(e: DataFrame, scratch: Scratch, name: str, large: bool) -> DataFrame:
     return scratch.table(out.where("u != v").distinct(), name)
 
 
-def components(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str = "cc", most: int = 200) -> DataFrame:
     """links(u, v): undirected, of longs. Returns (node, root) for every node that is not the least of its component."""
+    # the number of rounds grows with the logarithm of the nodes; one that has not ended by then is a fault, and is told
     e = scratch.table(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0")
     state = None
-    for i in range(1, 1000):
+    for i in range(1, most + 1):
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
             break
         state = now
         e = _star(_star(e, scratch, f"{name}-{i}l", True), scratch, f"{name}-{i}s", False)
+    else:
+        raise RuntimeError(f"components have not converged in {most} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

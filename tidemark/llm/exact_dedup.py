@@ -2,8 +2,9 @@
 
 Every input partition sorts its distinct 48-bit fingerprints and sends each owner (a range of fingerprints) one
 Golomb-Rice coded message. The owner answers with a bitmap: which of them another partition has too. A partition
-flags those and its own repeats as suspects; only the suspects' texts are shuffled, and equality is settled on their
-bytes by grouping. Everything else is unique without its text having moved.
+flags those and its own repeats as suspects. The documents are then read again: a bitmap of the suspects' text hashes, of
+fixed size, keeps the others' texts where they are; suspects' texts are shuffled, and equality is settled on their bytes
+by grouping. Where there are so many suspects that the bitmap would tell nothing, all texts take part in that join.
 
 Cases: a null text counts as empty; texts of white space alone are equal to the empty one; of equal texts the row with
 the most code points stays, then the smallest id (a null id sorts first); repeated rows form a group like any other; an
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, parts, two
+from .common import BITS, Scratch, bitmap, parts, possible, two
 
 SPACE = b" \t\n\x0b\x0c\r"
 FP_BITS = 48
@@ -98,9 +99,9 @@ def _flag(docs: pa.Table, answers: pa.Table) -> pa.Table:
     return docs.select(["doc_id", "text_hash", "n_chars", "fp", "sha"]).append_column("suspect", pa.array(named[back] if len(back) else np.empty(0, bool)))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space), and text_hash,
-    XXH64 of the text as it is."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None, bits: int = BITS) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space), text_hash, XXH64
+    of the text as it is, and stays: kept, and of rows that share the id that stays, with the text that stays."""
     spark = docs.sparkSession
     scratch, owners = Scratch(spark, "exact"), owners or parts(spark)
     rows = two(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
@@ -112,11 +113,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     suspects = flagged.where("suspect")
     bare = F.translate("text", SPACE.decode(), "").alias("bare")
     told = suspects.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_chars", "fp", "sha").distinct()
-    texts = rows.join(scratch.shuffled(told), rows.doc_id.eqNullSafe(told.id) & (rows.text_hash == told.hash)).select("doc_id", "n_chars", "fp", "sha", bare)
-    groups = texts.groupBy("fp", "bare").agg(F.min(F.struct((-F.col("n_chars")).alias("x"), "doc_id")).alias("best"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
-    groups = scratch.table(groups.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.x").alias("most"), "group_size"), "groups")
+    likely = rows.where(possible(spark, bitmap(suspects.select("text_hash"), bits), F.col("text_hash"), bits))
+    texts = likely.join(scratch.shuffled(told), likely.doc_id.eqNullSafe(told.id) & (likely.text_hash == told.hash)).select("doc_id", "text_hash", "n_chars", "fp", "sha", bare)
+    groups = texts.groupBy("fp", "bare").agg(F.min(F.struct((-F.col("n_chars")).alias("x"), "doc_id", "text_hash")).alias("best"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
+    groups = scratch.table(groups.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.text_hash").alias("keep_hash"), "group_size"), "groups")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
-    of_group = suspects.join(scratch.shuffled(groups), ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed, "text_hash")
-    alone = flagged.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), hexed, "text_hash")
+    of_group = suspects.join(scratch.shuffled(groups), ["fp", "sha"]).select("doc_id", "keep_id", "group_size", hexed, "text_hash", "keep_hash")
+    alone = flagged.where("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), hexed, "text_hash", F.col("text_hash").alias("keep_hash"))
     both = of_group.unionByName(alone)
-    return both.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "text_hash")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return both.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "text_hash", (kept & (F.col("text_hash") == F.col("keep_hash"))).alias("stays"))

@@ -164,6 +164,18 @@ def train(docs: DataFrame, sample_docs: int = 2_000, epochs: int = 3, id_col: st
     return LanguageModel(langs, w[:SIZE] * idf[:, None], w[SIZE], temperature(logits, np.array([data[k][2] for k in held], int)))
 
 
+def accept(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs, as they are, whose text has a language with a score of `least` or more."""
+    at, shared = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in batches:
+            told = [shared.value.predict(x.as_py()) for x in b.column(at)]
+            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in told], pa.bool_()))
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+
+
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
     """All columns of docs, then the language and the score under names that docs must not have."""
     names = docs.columns

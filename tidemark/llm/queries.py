@@ -61,7 +61,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
-    return exact_dedup(load(spark, sf_dir)).drop("text_hash")
+    return exact_dedup(load(spark, sf_dir)).drop("text_hash", "stays")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
