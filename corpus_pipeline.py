@@ -6,12 +6,14 @@ share an id with others do not share their fate; rows alike in both are repeats,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, bitmap, possible
 from tidemark.llm.exact_dedup import exact_dedup
-from tidemark.llm.langid import identify, train
+from tidemark.llm.langid import accept, train
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.queries import tokenizer
 from tidemark.llm.secrets import redact
@@ -20,23 +22,28 @@ from tidemark.llm.simhash import fingerprints, near_groups
 LEAST_SCORE = 0.5  # calibrated probability of the language; below it a document is rejected
 
 
-def _stay(docs: DataFrame, keep: DataFrame, once: bool = False) -> DataFrame:
-    """The rows of docs whose id and text hash are in keep(id, hash); with once, one of those that repeat."""
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = rows.join(keep, rows.doc_id.eqNullSafe(keep.id) & (F.col("_text_hash") == keep.hash), "left_semi")
-    return (rows.dropDuplicates(["doc_id", "_text_hash"]) if once else rows).select(*docs.columns)
+def _stay(spark: SparkSession, docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """groups(doc_id, text_hash, stays): the rows of all groups of more than one. Rows of docs in none of them stay, and a
+    bitmap of the groups' text hashes leaves their texts where they are; the others are joined by id and text hash, and of
+    those that repeat in both one stays."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    own = groups.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "stays").distinct()
+    own = Scratch(spark, "stay").table(own, "groups")
+    marks = bitmap(own.select("own_hash"))
+    near = rows.where(possible(spark, marks, F.col("hash"))).join(own.hint("merge"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("hash") == F.col("own_hash")), "left")
+    near = near.where("stays IS NULL OR stays").dropDuplicates(["id", "hash"])
+    far = rows.where(~possible(spark, marks, F.col("hash")))
+    return near.select("row.*").unionByName(far.select("row.*"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no letter in the text, or no language likelier than not."""
-    found = identify(docs, train(docs), lang_as="_lang", score_as="_score")
-    return found.where((F.col("_lang") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    return accept(docs, train(docs), LEAST_SCORE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document of those whose texts differ in white space at most."""
-    keep = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    return _stay(docs, keep, once=True)
+    return _stay(spark, docs, exact_dedup(docs).where("group_size > 1"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
