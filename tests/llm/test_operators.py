@@ -530,7 +530,7 @@ def test_embeddings_recall_many_cells(spark, tmp_path, monkeypatch, cells, first
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     n = (x @ x.T >= 0.9).sum(1) - 1
     pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), f"{tmp_path}/x.parquet")
-    for name, value in (("CELL", len(x) // cells), ("FIRST", first), ("SECOND", second), ("BLOCK", 256 if second < 10 else 4_096)):
+    for name, value in (("CELL", len(x) // cells), ("FIRST", first), ("SECOND", second), ("BLOCK", 256 if second < 10 else 32_768)):
         monkeypatch.setattr(embeddings, name, value)
     got = {r["vec_id"]: r["n_links"] for r in rows(embeddings.embedding_dedup(spark.read.parquet(f"{tmp_path}/x.parquet")))}
     assert [got[i] for i in range(len(n))] == n.tolist() and n.sum() > 3_000
