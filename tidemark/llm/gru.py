@@ -14,11 +14,15 @@ import numpy as np
 WINDOW = 32
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    """Of an array that is the caller's own: it is overwritten."""
-    x -= x.max(-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(-1, keepdims=True))
-    return x
+def normalise(x: np.ndarray, bound: float) -> np.ndarray:
+    """x: logits in rows; becomes their exponentials, and the logarithms of the sums are returned, of what they are above
+    each row's greatest if `bound`, the greatest size a logit can have, says that they might overflow."""
+    top = x.max(-1, keepdims=True) if bound > 60 else None
+    if top is not None:
+        x -= top
+    np.exp(x, out=x)
+    out = np.log(x @ np.ones(x.shape[1], x.dtype))
+    return out if top is None else out + top[:, 0]
 
 
 class Gru:
@@ -48,6 +52,10 @@ class Gru:
             at += v.size
         return self
 
+    def _bound(self, weights: np.ndarray, bias: np.ndarray) -> float:
+        """States lie between -1 and 1."""
+        return float((np.abs(weights).sum(0) + np.abs(bias)).max())
+
     def states(self, h: np.ndarray, x: np.ndarray, keep: np.ndarray, held: dict | None = None) -> np.ndarray:
         """x, keep: (steps, lanes); keep is 0 where a document begins. States after each step; held gets what the gradients
         need: the state before each step, the candidate's part of it, both gates and the candidate."""
@@ -81,22 +89,28 @@ class Gru:
         cls, word = np.divmod(y[order], self.s)
         at, h = np.arange(len(y)), h[order]
         cuts = np.searchsorted(cls, np.arange(self.c + 1))
-        lc = log_softmax(h @ self.p["class"] + self.p["class_bias"])
-        lp, dh = lc[at, cls], None
+        logits = h @ self.p["class"]
+        logits += self.p["class_bias"]
+        lp, dh = logits[at, cls], None
+        total = normalise(logits, self._bound(self.p["class"], self.p["class_bias"]))
+        lp -= total
         if grads is not None:
-            d = np.exp(lc)
-            d[at, cls] -= 1
-            grads["class"], grads["class_bias"], dh = h.T @ d, d.sum(0), d @ self.p["class"].T
+            logits /= logits.sum(1, keepdims=True)
+            logits[at, cls] -= 1
+            grads["class"], grads["class_bias"], dh = h.T @ logits, logits.sum(0), logits @ self.p["class"].T
             grads["word"], grads["word_bias"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["word_bias"])
         for c in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[c], cuts[c + 1])
-            lw, of = log_softmax(h[own] @ self.p["word"][c] + self.p["word_bias"][c]), word[own]
-            lp[own] += lw[at[: len(of)], of]
+            of, hc = word[own], h[own]
+            logits = hc @ self.p["word"][c]
+            logits += self.p["word_bias"][c]
+            lp[own] += logits[at[: len(of)], of]
+            lp[own] -= normalise(logits, self._bound(self.p["word"][c], self.p["word_bias"][c]))
             if grads is not None:
-                d = np.exp(lw, out=lw)
-                d[at[: len(of)], of] -= 1
-                grads["word"][c], grads["word_bias"][c] = h[own].T @ d, d.sum(0)
-                dh[own] += d @ self.p["word"][c].T
+                logits /= logits.sum(1, keepdims=True)
+                logits[at[: len(of)], of] -= 1
+                grads["word"][c], grads["word_bias"][c] = hc.T @ logits, logits.sum(0)
+                dh[own] += logits @ self.p["word"][c].T
         out = np.empty_like(lp)
         out[order] = lp
         if grads is not None:

@@ -95,7 +95,7 @@ def _train(units: DataFrame, model: Gru, tokens: int, rounds: int) -> Gru:
     return model
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, hidden: int = 32, rounds: int = 4) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, hidden: int = 16, rounds: int = 4) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
