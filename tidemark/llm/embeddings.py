@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .components import components, local_roots
 
-CELL = 1_024  # vectors that should have their home in a cell
+CELL = 4_096  # vectors that should have their home in a cell; a copy of a vector costs as much as some hundred products
 FIRST = 256  # cells of the first level, or the square root of all cells if that is more
 SECOND = 1_024  # cells of the second level in one of the first, at most; what they hold too many of goes into blocks
 PER_CELL = 24  # sampled vectors for each cell
-BLOCK = 4_096
+BLOCK = 32_768  # rows of a cell, guests too, that one task takes against as many others
 DEALT = "rep long, times long, vec {vec}, top int, home_top int, tops array<int>"
 
 
@@ -80,6 +80,24 @@ def _lists(rows: np.ndarray, values: np.ndarray, n: int, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)), pa.array(values.astype(kind)))
 
 
+def _count(cells, threshold: float):
+    """How many vectors each cell of the first level will have, and how many of them at home."""
+
+    def run(batches):
+        size = sum(len(c) for c, _ in cells.value.values())
+        n, homes = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for b in batches:
+            dims = b.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                c, first = cells.value[dim]
+                home, _, cell = reach(_unit(b.column("vec").take(pa.array(np.flatnonzero(dims == dim)))), c, threshold)
+                n[first : first + len(c)] += np.bincount(cell, minlength=len(c))
+                homes[first : first + len(c)] += np.bincount(home, minlength=len(c))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(n), pa.array(homes)], names=["top", "n", "homes"])
+
+    return run
+
+
 def _first(cells, threshold: float):
     def run(batches):
         for b in batches:
@@ -172,6 +190,20 @@ def _compare(threshold: float):
     return run
 
 
+def _cut_again(dealt: DataFrame, sizes: DataFrame, scratch: Scratch, threshold: float, kind: str) -> DataFrame:
+    """Rows of cells that hold too many, in cells of the second level, with the number of blocks of each."""
+    cut = scratch.table(dealt.join(F.broadcast(sizes.withColumnRenamed("blocks", "salts")), "top"), "cut")
+    sampled = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(1 << 30)) < math.ceil(min(1.0, 1.1 * PER_CELL / CELL) * (1 << 30))
+    some = cut.where((F.col("top") == F.col("home_top")) & sampled).select("top", "rep", "vec", "k")
+    centroids = scratch.table(some.groupBy("top").applyInArrow(_centroids, "top int, flat array<double>"), "centroids")
+    many = centroids.join(F.broadcast(sizes), "top").select("top", "flat", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("salts")).cast("int")).drop("k", "salts")
+    wide = DEALT.format(vec=kind) + ", leaf long, home_leaf long, leaves array<long>"
+    under = scratch.table(salted.groupBy("top", "salt").cogroup(many.groupBy("top", "salt")).applyInArrow(_second(threshold), wide), "under")
+    blocks = scratch.table(under.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+    return under.join(scratch.shuffled(blocks.where("blocks > 1")), "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+
 def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
@@ -182,31 +214,22 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     rows = scratch.table(rows.withColumn("ok", F.col("vec_id").isNotNull() & F.coalesce(~bad, F.lit(False))), "rows")
     good = rows.where("ok").select("vec_id", "vec")
     nodes = scratch.table(good.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("times")).withColumn("dim", F.size("vec")), "nodes")
-    sampled = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / (1 << 30)
     cells, first = {}, 0
     for dim, n in sorted(nodes.groupBy("dim").count().collect()):  # one row per vector length
         k = math.ceil(n / CELL)
         k = min(k, max(FIRST, math.isqrt(k)))
-        some = nodes.where((F.col("dim") == dim) & (sampled < 1.1 * PER_CELL * k / n)).select("rep", "vec").toArrow().sort_by("rep")
+        some = nodes.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < math.ceil(min(1.0, 1.1 * PER_CELL * k / n) * (1 << 30)))).select("rep", "vec").toArrow().sort_by("rep")
         c = spherical_kmeans(_unit(some.column("vec").combine_chunks()), min(k, len(some))) if len(some) else np.eye(1, dim)
         cells[dim], first = (c, first), first + len(c)
     shared = spark.sparkContext.broadcast(cells)  # FIRST or the square root of n / CELL centroids for each length
     kind = nodes.schema["vec"].dataType.simpleString()
-    dealt = scratch.table(nodes.mapInArrow(_first(shared, threshold), DEALT.format(vec=kind)), "dealt")
-    sizes = dealt.groupBy("top").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("top") == F.col("home_top"), 1)).alias("homes"))
-    sizes = scratch.table(sizes.select("top", F.least(F.lit(SECOND), F.ceil(F.col("homes") / CELL)).cast("int").alias("k"), F.ceil(F.col("n") / (4 * BLOCK)).cast("int").alias("salts")), "sizes")  # a row for each cell
-    cut = dealt.join(F.broadcast(sizes.where("k > 1")), "top")  # those that are cut again
-    some = cut.where((F.col("top") == F.col("home_top")) & (sampled < 1.1 * PER_CELL / CELL)).select("top", "rep", "vec", "k")
-    centroids = some.groupBy("top").applyInArrow(_centroids, "top int, flat array<double>")
-    many = centroids.join(F.broadcast(sizes), "top").select("top", "flat", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("salts")).cast("int")).drop("k", "salts")
-    wide = DEALT.format(vec=kind) + ", leaf long, home_leaf long, leaves array<long>"
-    under = salted.groupBy("top", "salt").cogroup(many.groupBy("top", "salt")).applyInArrow(_second(threshold), wide)
+    dealt = nodes.mapInArrow(_first(shared, threshold), DEALT.format(vec=kind))
+    sizes = nodes.select("vec", "dim").mapInArrow(_count(shared, threshold), "top int, n long, homes long").groupBy("top").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
+    cut_up = F.least(F.lit(SECOND), F.ceil(F.col("homes") / CELL)).cast("int")
+    sizes = scratch.table(sizes.select("top", cut_up.alias("k"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sizes")  # a row for each cell
     leaf = F.col("top").cast("long") * SECOND
-    whole = dealt.join(F.broadcast(sizes.where("k <= 1").select("top")), "top").select(*dealt.columns, leaf.alias("leaf"), leaf.alias("home_leaf"), F.array(leaf).alias("leaves"))
-    placed = scratch.table(whole.unionByName(under), "placed")
-    blocks = scratch.table(placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
-    many = placed.join(scratch.shuffled(blocks.where("blocks > 1")), "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    whole = dealt.join(F.broadcast(sizes.where("k <= 1").drop("k")), "top").select(*dealt.columns, leaf.alias("leaf"), leaf.alias("home_leaf"), F.array(leaf).alias("leaves"), "blocks")
+    many = whole.unionByName(_cut_again(dealt, sizes.where("k > 1"), scratch, threshold, kind)) if sizes.where("k > 1").count() else whole
     many = many.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     tasks = many.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     tasks = tasks.select("leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "times", "vec", "top", "home_top", "tops", "home_leaf", "leaves")
