@@ -30,7 +30,7 @@ def test_title_label(spark, raw, want):
     assert one(spark, text.title_label(F.lit(raw))) == want
 
 
-@pytest.mark.parametrize("raw, want", [("see https://u:p@h.x/a/b?token=1 now", "see h.x/a/b now"), ("api_key = abc123", "api_key = [REDACTED]"), ("Bearer abcdefgh12", "[REDACTED]"), ("id 0123abcd-0123-0123-0123-0123456789ab.", "id [ID].")])
+@pytest.mark.parametrize("raw, want", [("see https://u:p@h.x/a/b?token=1 now", "see h.x/a/b now"), ("api_key = abc123", "api_key = [REDACTED]"), ("Bearer abcdefgh12", "[REDACTED]"), ("id 0123abcd-0123-0123-0123-0123456789ab.", "id [ID]."), ("Authorization: Basic dXNlcjpwYXNz", "Authorization: [REDACTED]"), ("Cookie: a=1; sid=abc123\nnext", "Cookie: [REDACTED]\nnext"), ("{'Set-Cookie': 'a=1; b=2', 'x': 1}", "{'Set-Cookie': [REDACTED], 'x': 1}"), ("access_token=abc123&x=1", "access_token=[REDACTED]&x=1"), ("refresh_token: 'abc'", "refresh_token: '[REDACTED]'"), ("signature=q1w2", "signature=[REDACTED]"), ("ghp_abcdefgh12", "[REDACTED]"), ("github_pat_abcdefgh12 x", "[REDACTED] x"), ("sk-abcdefgh12", "[REDACTED]"), ("ntn_abcdefgh12", "[REDACTED]"), ("the design: blue", "the design: blue")])
 def test_redact(spark, raw, want):
     assert one(spark, text.redact(F.lit(raw))) == want
 
@@ -198,3 +198,28 @@ def long_ole(name, n_fat, broken=False):
 def test_large_compound_files():
     assert [binary.sniff(long_ole(n, k)) for n, k in (("WordDocument", 110), ("Workbook", 236), ("FileHeader", 237))] == ["doc", "xls", "hwp"]
     assert binary.sniff(long_ole("WordDocument", 237, broken=True)) is None and binary.sniff(long_ole("WordDocument", 110)[:-512]) is None
+
+
+@pytest.mark.parametrize("raw, want", [("120", 120.0), ("-5", 0.0), ("soon", None), (None, None), ("nan", None), ("9e9", 604800.0), ("Thu, 01 Feb 2024 00:10:00 GMT", 600.0), ("Thu, 1 Feb 2024 09:10:00 +0900", 600.0), ("01 Jan 2024 00:00:00 GMT", 0.0)])
+def test_retry_after(spark, raw, want):
+    assert one(spark, values.retry_after(F.lit(raw).cast("string"), F.lit("2024-02-01 00:00:00").cast("timestamp"))) == want
+
+
+@pytest.mark.parametrize("page, loading, content", [("<article class='downloading'><p></p></article>", False, False), ("<div class='x is-loading y'>", True, False), ("<div aria-busy='TRUE'>", True, False), ("<div id='page_spinner'>", True, False), ("<article><img src='a.png'></article>", False, True), ("<article><iframe src='https://v/1'></iframe></article>", False, True), ("<article><img></article>", False, False), ("<div aria-hidden='TRUE' class='loading'></div>", False, False)])
+def test_signals(spark, page, loading, content):
+    s = one(spark, html.page_signals(F.lit(page)))
+    assert (s.loading, s.has_content) == (loading, content)
+
+
+def test_a_table_too_large_is_told(spark):
+    rows = "".join("<tr><td>x</td></tr>" for _ in range(201))
+    kinds = [b.type if hasattr(b, "type") else b[1] for b in one(spark, html.body_blocks(F.lit(f"<article><table>{rows}</table></article>")))]
+    assert "omitted_table" in kinds
+
+
+@pytest.mark.parametrize("origin, kind, status, code, message, want", [("source", "access_block", None, "", "", "security_policy"), ("source", "", 500, "", "", "source_upstream"), ("destination", "contract", None, "", "", "destination_contract"), ("destination", "", 429, "", "", "destination_rate_limit"), ("destination", "", 403, "", "", "destination_auth"), ("destination", "", 404, "", "", "destination_contract"), ("destination", "", None, "object_not_found", "", "destination_contract"), ("destination", "", 502, "", "", "destination"), ("config", "destination_auth", None, "", "", "destination_auth"), ("config", "other", None, "", "", "internal"), ("", "", None, "", "URLopen failed", "network"), ("", "", None, "", "Security check", "security_policy"), (None, None, None, None, None, "internal")])
+def test_failure_category(spark, origin, kind, status, code, message, want):
+    from tidemark.operators.states import failure_category
+
+    text = lambda x: F.lit(x).cast("string")
+    assert one(spark, failure_category(text(origin), text(kind), F.lit(status).cast("int"), text(code), text(message))) == want

@@ -70,6 +70,36 @@ def test_versions_conflict_crash_and_rollback(spark, tmp_path):
     assert sorted(tuple(r) for r in t2.read().collect()) == [(1, "a"), (2, "b")]
 
 
+def test_a_writer_that_dies_after_its_claim_is_followed(spark, tmp_path, monkeypatch):
+    """At each step: after the files, after the claim, before the rename. The next writer comes through once the claim is old."""
+    path = f"file://{tmp_path}/t"
+    t = sinks.VersionedTable(spark, path)
+    one = spark.createDataFrame([(1, "a")], "id int, x string")
+    v1 = t.write(one, None)
+    kept = sinks.VersionedTable._claimed
+
+    def die(self, number):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks.VersionedTable, "_claimed", die)
+    with pytest.raises(KeyboardInterrupt):
+        t.write(one, v1)
+    monkeypatch.setattr(sinks.VersionedTable, "_claimed", kept)
+    assert t.version() == v1
+    with pytest.raises(sinks.Conflict):  # the claim may be that of a writer at work
+        t.write(one, v1)
+    late = sinks.VersionedTable(spark, path, stale=0)
+    v2 = late.write(spark.createDataFrame([(2, "b")], "id int, x string"), v1)
+    assert t.version() == v2 and [tuple(r) for r in t.read().collect()] == [(2, "b")]
+
+
+def test_other_rows_than_were_written_are_told(spark):
+    a = spark.createDataFrame([(1, "a")], "id int, x string")
+    assert sinks.differences(a, a, "v") == ""
+    assert "other rows" in sinks.differences(a, a.where("id = 2"), "v")
+    assert "read back" in sinks.differences(a, a.select(F.raise_error(F.lit("gone")).cast("int").alias("id"), "x"), "v")
+
+
 def test_upsert_leaves_absent_columns_alone(spark):
     old = spark.createDataFrame([(1, "a", "p")], "id int, x string, y string")
     out = sinks.upsert(old, spark.createDataFrame([(1, None), (2, "n")], "id int, x string"), ["id"])

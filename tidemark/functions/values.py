@@ -41,10 +41,14 @@ def source_date(c: Column) -> Column:
     return F.when(day & (~full | ((time(13) < 60) & (time(11) < 60))), made)
 
 
-def retry_after(c: Column) -> Column:
-    """Seconds to wait, between none and a week, from a number."""
-    x = c.try_cast("double")
-    return F.when(x.isNotNull() & ~F.isnan(x), F.greatest(F.lit(0.0), F.least(F.lit(604800.0), x)))
+def retry_after(c: Column, now: Column) -> Column:
+    """Seconds to wait, between none and a week, from a number or from a date of HTTP's form."""
+    x = F.trim(c).try_cast("double")
+    day = r"^(?:[A-Za-z]{3,9}, *)?(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2})(?: *(?:GMT|UTC|([+-]\d{4})))?$"
+    zone = F.coalesce(F.nullif(F.regexp_extract(F.trim(c), day, 2), F.lit("")), F.lit("+0000"))
+    at = F.try_to_timestamp(F.concat_ws(" ", F.nullif(F.regexp_extract(F.trim(c), day, 1), F.lit("")), zone), F.lit("d MMM yyyy HH:mm:ss Z"))
+    x = F.coalesce(F.when(~F.isnan(x), x), (F.unix_micros(at) - F.unix_micros(now)) / 1e6)
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(604800.0), x)))
 
 
 def css_colour(c: Column) -> Column:

@@ -20,9 +20,11 @@ def repeated_pages(signed: DataFrame, source: str, page: str) -> DataFrame:
 
 
 def backfill_window(rows: DataFrame, known: DataFrame, source: str, key: str, order: list[str], limit: int = 20) -> DataFrame:
-    """Unknown rows with their place in list order; the first `limit` of a source are read, the rest are left for later."""
+    """The first `limit` unknown rows of a source in list order, which are read, and the one after them, where to resume. The
+    filter on the place lets every task keep that many rows of a source before the shuffle, so no source is sorted whole."""
     unknown = rows.join(known.select(source, key).distinct(), [source, key], "left_anti")
-    return unknown.withColumn("nth", F.row_number().over(Window.partitionBy(source).orderBy(*order)).cast("bigint")).withColumn("read", F.col("nth") <= limit)
+    nth = F.row_number().over(Window.partitionBy(source).orderBy(*order))
+    return unknown.withColumn("nth", nth).where(F.col("nth") <= limit + 1).withColumn("nth", F.col("nth").cast("bigint")).withColumn("read", F.col("nth") <= limit)
 
 
 def checkpoint_overlap(pages: DataFrame, source: str, page: str) -> DataFrame:

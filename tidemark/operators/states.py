@@ -75,3 +75,20 @@ def incidents(rows: DataFrame, text: Column, at: str, window: int = 21_600) -> D
     gap = F.col("t") - F.lag("t").over(Window.partitionBy("fingerprint").orderBy("t"))
     x = x.withColumn("new", (gap.isNull() | (gap >= window)).cast("bigint"))
     return x.groupBy("fingerprint").agg(F.sum("n").alias("n"), F.sum("new").alias("signals"), F.max("t").alias("last_at"))
+
+
+# Words in a message that tell a category, where nothing else does.
+BLOCKED, NETWORK = ("security", "blocked", "차단"), ("timeout", "urlopen", "network")
+CONTRACT_CODES = ("validation_error", "object_not_found")
+
+
+def failure_category(origin: Column, kind: Column, status: Column, code: Column, message: Column) -> Column:
+    """STA-06. origin: `source`, `destination`, or `config` for a wrong setting, whose kind is then the category itself;
+    anything else is told by its message."""
+    says = lambda words: F.coalesce(F.lower(message).rlike("|".join(words)), F.lit(False))
+    refused = F.coalesce(status.between(400, 499), F.lit(False)) | F.coalesce(code.isin(*CONTRACT_CODES), F.lit(False))
+    is_ = lambda c, *v: F.coalesce(c.isin(*v), F.lit(False))
+    at_dest = F.when(is_(kind, "contract"), "destination_contract").when(is_(status, 429), "destination_rate_limit").when(is_(status, 401, 403), "destination_auth").when(refused, "destination_contract").otherwise("destination")
+    config = F.when(is_(kind, "destination_auth", "destination_contract", "source_contract"), kind).otherwise("internal")
+    by_text = F.when(says(BLOCKED), "security_policy").when(says(NETWORK), "network").otherwise("internal")
+    return F.when(is_(origin, "config"), config).when(is_(origin, "source"), F.when(is_(kind, "access_block"), "security_policy").otherwise("source_upstream")).when(is_(origin, "destination"), at_dest).otherwise(by_text)

@@ -55,10 +55,10 @@ def last_runs_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("conv_id", F.element_at("a", 1).alias("first_kept"), F.size("a").alias("n"))
 
 
-@query("SELECT conv_id, turn, role FROM conversations WHERE turn % 2 = 0")
+@query("SELECT conv_id, turn, role FROM conversations")
 def drop_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-07, DED-08: a field dropped from every struct of an array, and arrays compared without it."""
-    c = table(spark, sf_dir, "conversations").where("turn % 2 = 0")
+    c = table(spark, sf_dir, "conversations")
     a = c.select("conv_id", F.array(F.struct("turn", "role", F.col("text").alias("generation_id"))).alias("a"))
     bare = F.transform("a", lambda x: x.dropFields("generation_id"))
     return a.select("conv_id", F.explode(bare).alias("x")).select("conv_id", "x.*")
@@ -195,11 +195,12 @@ def quarantine_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.join(have, "source", "left_anti").select("source", F.lit("destination_pending_quarantine").alias("code"), F.lit(True).alias("fatal"))
 
 
-@query("SELECT o_orderkey, o_orderstatus = 'O' AND o_orderkey % 3 = 0 AS pending, o_orderpriority = '1-URGENT' AND o_orderkey % 5 <> 0 AS keeps_pin FROM orders WHERE o_custkey % 2 = 0")
+@query("SELECT o_orderkey, o_custkey % 2 = 0 AS owned, o_custkey % 2 = 0 AND o_orderstatus = 'O' AND o_orderkey % 3 = 0 AS pending, o_orderpriority = '1-URGENT' AND o_orderkey % 5 <> 0 AS keeps_pin FROM orders")
 def pending_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CDC-10, FLT-11, FLT-16: owned rows that are pending, and pins that a plan leaves alone."""
     k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").where("o_custkey % 2 = 0").select("o_orderkey", ((F.col("o_orderstatus") == "O") & (k % 3 == 0)).alias("pending"), ((F.col("o_orderpriority") == "1-URGENT") & (k % 5 != 0)).alias("keeps_pin"))
+    owned = F.col("o_custkey") % 2 == 0
+    return table(spark, sf_dir, "orders").select("o_orderkey", owned.alias("owned"), (owned & (F.col("o_orderstatus") == "O") & (k % 3 == 0)).alias("pending"), ((F.col("o_orderpriority") == "1-URGENT") & (k % 5 != 0)).alias("keeps_pin"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE epoch_us(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate ELSE o_orderdate - INTERVAL 9 HOUR END) END AS us FROM orders")

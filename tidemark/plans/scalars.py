@@ -110,11 +110,12 @@ def css_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", V.css_colour(text).alias("colour"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE greatest(0.0, least(604800.0, CAST((p_partkey - 10) * 1000 AS DOUBLE))) END AS wait_s FROM part")
+@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN CAST(least(604800, 86400 * (p_partkey % 28)) AS DOUBLE) ELSE greatest(0.0, least(604800.0, CAST((p_partkey - 10) * 1000 AS DOUBLE))) END AS wait_s FROM part")
 def retry_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DAT-05: seconds to wait, within bounds."""
+    """DAT-05: seconds to wait, within bounds, from a number or a date."""
     k = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select("p_partkey", V.retry_after(F.when(k % 5 == 0, "soon").otherwise(((k - 10) * 1000).cast("string"))).alias("wait_s"))
+    date = F.concat(F.lit("Thu, "), F.lpad((1 + k % 28).cast("string"), 2, "0"), F.lit(" Feb 2024 00:00:00 GMT"))
+    return table(spark, sf_dir, "part").select("p_partkey", V.retry_after(F.when(k % 5 == 0, "soon").when(k % 5 == 1, date).otherwise(((k - 10) * 1000).cast("string")), F.lit("2024-02-01 00:00:00").cast("timestamp")).alias("wait_s"))
 
 
 @query("""

@@ -60,7 +60,8 @@ def backfill_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-01: the first twenty unknown rows of a source are read; the page of the next one is where to resume."""
     r = list_rows(spark, sf_dir).where("NOT pinned")
     w = S.backfill_window(r, r.where("item_id % 3 <> 0"), "source", "item_id", ["page_no", "pos"])
-    return w.groupBy("source").agg(F.count(F.lit(1)).alias("unknown"), F.min(F.when(~F.col("read"), F.col("page_no"))).alias("resume_page"), F.sum(F.when(F.col("read"), F.col("item_id"))).alias("read_ids"))
+    many = r.where("item_id % 3 = 0").groupBy("source").agg(F.count(F.lit(1)).alias("unknown"))
+    return many.join(w.groupBy("source").agg(F.min(F.when(~F.col("read"), F.col("page_no"))).alias("resume_page"), F.sum(F.when(F.col("read"), F.col("item_id"))).alias("read_ids")), "source")
 
 
 @query(f"""

@@ -23,23 +23,25 @@ def _due(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = lambda n: F.timestamp_seconds(F.unix_timestamp(now) - n)
     o = table(spark, sf_dir, "orders").withColumn("published", F.col("o_orderdate").cast("timestamp"))
     due = S.refresh_due(k.cast("string"), F.col("published"), k % 6 == 0, F.when(k % 3 == 0, back(k % 200 * 3600)), F.when(k % 3 == 1, back(k % 7 * 86400)), now)
-    return o.select("o_orderkey", S.refresh_interval(F.col("published"), now).cast("bigint").alias("step"), due.alias("due"))
+    return o.select("o_orderkey", "o_custkey", S.refresh_interval(F.col("published"), now).cast("bigint").alias("step"), due.alias("due"))
 
 
 @query(f"WITH {ORDERS} SELECT o_orderkey, CAST(step AS BIGINT) AS step, due FROM d")
 def refresh_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-06: which records are due for another reading, by change, age and last reading."""
-    return _due(spark, sf_dir)
+    return _due(spark, sf_dir).drop("o_custkey")
 
 
-@query(f"WITH {ORDERS} SELECT id, row_number() OVER (ORDER BY length(id), id) AS nth FROM d WHERE due ORDER BY length(id), id LIMIT 500")
+@query(f"WITH {ORDERS}, n AS (SELECT o_custkey AS source, id, row_number() OVER (PARTITION BY o_custkey ORDER BY length(id), id) AS nth FROM d JOIN orders USING (o_orderkey) WHERE due) SELECT *, nth <= 20 AS read FROM n")
 def refresh_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-03, WIN-04: the first 500 due ids in the order of digit strings; numbered after the top-k."""
+    """WIN-03, WIN-04: all due ids with their place in their source, in the order of digit strings, and the first twenty of each
+    marked to be read."""
     from pyspark.sql import Window
 
     key = F.col("o_orderkey").cast("string")
-    first = _due(spark, sf_dir).where("due").select(key.alias("id")).orderBy(F.length("id"), "id").limit(500)
-    return first.withColumn("nth", F.row_number().over(Window.orderBy(F.length("id"), "id")).cast("bigint"))
+    due = _due(spark, sf_dir).where("due").select(F.col("o_custkey").alias("source"), key.alias("id"))
+    place = F.row_number().over(Window.partitionBy("source").orderBy(F.length("id"), "id")).cast("bigint")
+    return due.select("source", "id", place.alias("nth")).withColumn("read", F.col("nth") <= 20)
 
 
 @query("SELECT doc_id, CAST(CAST(('0x' || left(sha256(CAST(doc_id AS VARCHAR)), 8)) AS BIGINT) % 7 AS INT) AS bucket FROM documents")
@@ -124,11 +126,17 @@ def incident_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'timeout' WHEN o_orderkey % 4 = 1 THEN 'blocked' WHEN o_orderkey % 4 = 2 THEN 'schema' ELSE 'unknown' END AS category FROM orders
+WITH e AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'source' WHEN 1 THEN 'destination' ELSE '' END AS origin, CASE WHEN o_custkey % 5 = 0 THEN 'access_block' WHEN o_custkey % 5 = 1 THEN 'contract' ELSE '' END AS kind,
+  CASE o_custkey % 7 WHEN 0 THEN 429 WHEN 1 THEN 401 WHEN 2 THEN 404 WHEN 3 THEN 500 END AS status, lower(o_comment) AS m FROM (SELECT *, o_orderpriority || CASE o_orderkey % 3 WHEN 0 THEN ' read Timeout' WHEN 1 THEN ' Blocked by policy' ELSE '' END AS o_comment FROM orders))
+SELECT o_orderkey, CASE WHEN origin = 'source' THEN CASE WHEN kind = 'access_block' THEN 'security_policy' ELSE 'source_upstream' END
+  WHEN origin = 'destination' THEN CASE WHEN kind = 'contract' THEN 'destination_contract' WHEN status = 429 THEN 'destination_rate_limit' WHEN status IN (401, 403) THEN 'destination_auth' WHEN status BETWEEN 400 AND 499 THEN 'destination_contract' ELSE 'destination' END
+  WHEN contains(m, 'blocked') THEN 'security_policy' WHEN contains(m, 'timeout') THEN 'network' ELSE 'internal' END AS category FROM e
 """)
 def error_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA-06: a category for an error text, by the first rule that fits."""
-    text = F.when(F.col("o_orderkey") % 4 == 0, "read Timed out").when(F.col("o_orderkey") % 4 == 1, "HTTP 403 blocked").when(F.col("o_orderkey") % 4 == 2, "missing property title").otherwise("?")
-    low = F.lower(text)
-    found = F.when(low.rlike("timed? ?out"), "timeout").when(low.rlike("403|429|blocked"), "blocked").when(low.rlike("property|schema"), "schema").otherwise("unknown")
-    return table(spark, sf_dir, "orders").select("o_orderkey", found.alias("category"))
+    """STA-06: the category of a failure, by where it came from, its kind and its status, else by its message."""
+    k, c, none = F.col("o_orderkey"), F.col("o_custkey"), F.lit("")
+    origin = F.when(k % 4 == 0, "source").when(k % 4 == 1, "destination").otherwise(none)
+    kind = F.when(c % 5 == 0, "access_block").when(c % 5 == 1, "contract").otherwise(none)
+    status = F.when(c % 7 == 0, 429).when(c % 7 == 1, 401).when(c % 7 == 2, 404).when(c % 7 == 3, 500)
+    text = F.concat("o_orderpriority", F.when(k % 3 == 0, " read Timeout").when(k % 3 == 1, " Blocked by policy").otherwise(none))
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.failure_category(origin, kind, status, none, text).alias("category"))

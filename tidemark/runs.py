@@ -41,7 +41,7 @@ def run(space: Workspace, items: DataFrame, run_id: str, logical_id: str, now: s
     state, at_state = space.read("state", STATE)
     held, at_held = space.read("candidates", CANDIDATES)
     log, at_log = space.read("runs", RUNS)
-    last = log.orderBy(F.desc("at"), F.desc("run_id")).limit(1).collect()
+    last = log.where("status = 'success'").orderBy(F.desc("at"), F.desc("run_id")).limit(1).collect()
     latest, latest_logical = (last[0].run_id, last[0].logical_id) if last else ("", "")
     time = F.lit(now).cast("timestamp")
     ok = changes.consecutive(F.col("run_id"), F.lit(latest), F.col("logical_id"), F.lit(latest_logical), F.lit(logical_id), F.col("seen_at"), time)
@@ -51,6 +51,10 @@ def run(space: Workspace, items: DataFrame, run_id: str, logical_id: str, now: s
     if dry_run:
         return plan
     control.check(writes=True)
+    # the record comes first, as pending, and last, as done: a run that dies between leaves word of it
+    record = lambda status: space.spark.sql("SELECT :r AS run_id, :l AS logical_id, CAST(:t AS TIMESTAMP) AS at, :s AS status", args={"r": run_id, "l": logical_id, "t": now, "s": status})
+    before = log.where(F.col("run_id") != run_id)
+    at_log = space.table("runs").write(before.unionByName(record("pending")), at_log)
     plan = done.read(done.write(plan.withColumn("run_id", F.lit(run_id)), at_plan)).drop("run_id")
     writes = plan.where("kind IN ('create', 'update_properties', 'replace_body')")
     new = items.join(writes.select("source", "item_id").distinct(), ["source", "item_id"], "left_semi")
@@ -61,6 +65,5 @@ def run(space: Workspace, items: DataFrame, run_id: str, logical_id: str, now: s
     space.table("candidates").write(waiting.select("source", "item_id", "body_hash", F.lit(run_id).alias("run_id"), F.lit(logical_id).alias("logical_id"), time.alias("seen_at")), at_held)
     seen = items.select("source", "item_id", F.col("body_hash").alias("fingerprint"), F.lit(None).cast("timestamp").alias("published_at"), time.alias("first_seen_at"), time.alias("last_detail_at"))
     space.table("state").write(states.fold_observations(state, seen, ["source", "item_id"]), at_state)
-    record = space.spark.sql("SELECT :r AS run_id, :l AS logical_id, CAST(:t AS TIMESTAMP) AS at, 'success' AS status", args={"r": run_id, "l": logical_id, "t": now})
-    space.table("runs").write(states.last_runs(log.unionByName(record), "run_id", "at"), at_log)
+    space.table("runs").write(states.last_runs(before.unionByName(record("success")), "run_id", "at"), at_log)
     return plan

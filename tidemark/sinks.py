@@ -1,27 +1,30 @@
-"""Versioned tables: a version is written in full, checked by reading it back, and made current by one rename.
+"""Versioned tables: a version is written in full, checked against its seal by reading it back, and made current by one rename.
 
 Everything goes through Spark's writers and the Hadoop file system of the path, so any store will do whose rename is
-atomic. A reader sees the old version or the new one; a run that dies leaves the old one and a folder nobody points to.
+atomic. A reader sees the old version or the new one; a run that dies leaves the old one, a folder nobody points to, and
+perhaps a claim on a number, which the next writer takes over once it is old.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = 50
-
 
 class Conflict(Exception):
     """The table has changed since it was read."""
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, stale: float = 3_600):
+        """stale: seconds after which a claim on a version that was not made current counts as that of a dead writer."""
+        self.spark, self.path, self.stale = spark, path.rstrip("/"), stale
 
     def _fs(self, path: str):
         jvm = self.spark._jvm
@@ -48,7 +51,7 @@ class VersionedTable:
             raise Conflict(f"{self.path} is at {self.version()}, not at {expected}")
         name = f"{int(expected.split('-')[0]) + 1 if expected else 1}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(f"{self.path}/{name}")
-        if (lost := differences(df.sparkSession.read.schema(df.schema).parquet(f"{self.path}/{name}"), name)):
+        if (lost := differences(df, df.sparkSession.read.schema(df.schema).parquet(f"{self.path}/{name}"), name)):
             raise Conflict(lost)
         return self.commit(name, expected)
 
@@ -58,28 +61,56 @@ class VersionedTable:
         fs, aside = self._fs(f"{self.path}/_pending/{name}")
         fs.mkdirs(aside.getParent())
         fs.create(aside, True).close()
-        _, claim = self._fs(f"{self.path}/_claims/{number}")
-        fs.mkdirs(claim.getParent())
-        if self.version() != expected or not fs.createNewFile(claim):
-            raise Conflict(f"{self.path}: another run has written version {number}")
+        if self.version() != expected or not self._claim(number, name):
+            raise Conflict(f"{self.path}: another run has written version {number}, or is writing it")
         _, to = self._fs(f"{self.path}/_current/{name}")
         fs.mkdirs(to.getParent())
+        if self._claimed(number) != name:
+            raise Conflict(f"{self.path}: version {number} was taken over by another run")
         if not fs.rename(aside, to):
             raise Conflict(f"{self.path}: version {number} could not be made current")
         return name
 
+    def _claimed(self, number: str) -> str:
+        fs, claim = self._fs(f"{self.path}/_claims/{number}")
+        stream = fs.open(claim)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _claim(self, number: str, name: str) -> bool:
+        """One writer at a time has a number. A claim that is old and led to no version is put aside by one rename, which one
+        writer alone can do; then all of them may claim anew."""
+        fs, claim = self._fs(f"{self.path}/_claims/{number}")
+        fs.mkdirs(claim.getParent())
+        for _ in range(2):
+            try:
+                stream = fs.create(claim, False)
+            except Py4JJavaError:  # it is there
+                if time.time() - fs.getFileStatus(claim).getModificationTime() / 1000 < self.stale:
+                    return False
+                _, aside = self._fs(f"{self.path}/_claims/stale-{number}-{uuid.uuid4().hex[:8]}")
+                if not fs.rename(claim, aside):
+                    return False
+                continue
+            stream.write(bytearray(name.encode()))
+            stream.close()
+            return True
+        return False
+
     def rollback(self, version: str) -> str:
         """An earlier version made current again, as a new one."""
         return self.write(self.read(version), self.version())
 
 
-def differences(df: DataFrame, name: str) -> str:
-    """Empty if the files of a version can be read whole."""
+def differences(written: DataFrame, read: DataFrame, name: str) -> str:
+    """Empty if the files of a version hold the rows that were to be written."""
     try:
-        df.agg(F.count(F.lit(1))).first()
-        return ""
+        same = seal(written, written.columns) == seal(read, written.columns)
     except Exception as e:  # what the store says goes into the conflict
         return f"{name} cannot be read back: {e}"
+    return "" if same else f"{name} holds other rows than were written"
 
 
 def upsert(old: DataFrame, changes: DataFrame, keys: list[str], deleted: str | None = None) -> DataFrame:
@@ -117,6 +148,4 @@ def seal(df: DataFrame, columns: list[str]) -> str:
     """A hash over all rows, whatever their order: a count and two sums of row hashes, kept whole as decimals."""
     x = df.select(F.xxhash64(*columns, F.lit(1)).cast("decimal(38,0)").alias("a"), F.xxhash64(*columns, F.lit(2)).cast("decimal(38,0)").alias("b"))
     n, a, b = x.agg(F.count(F.lit(1)), F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
-    import hashlib
-
     return hashlib.sha256(f"{n}:{a}:{b}".encode()).hexdigest()
