@@ -3,12 +3,15 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 
-from .test_operators import AWKWARD, DDL, brute_simhash, components
+from .test_operators import AWKWARD, DDL, WORDS, components
 
 
 @pytest.fixture(scope="module")
@@ -39,13 +42,43 @@ def test_exact_stage(steps):
     assert sorted(steps[2].doc_id) == sorted(min(own)[1] for own in groups.values())
 
 
+def shingle_set(text):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def jaccard_components(texts):
+    sets = [shingle_set(t) for t in texts]
+    return components(len(texts), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+
+
 def test_near_stage(steps):
     docs = sorted(zip(steps[2].doc_id, steps[2].text, strict=True))
-    fp = [brute_simhash(t) for _, t in docs]
-    root = components(len(docs), lambda i, j: (fp[i] ^ fp[j]).bit_count() <= 2)
+    root = jaccard_components([t for _, t in docs])
     assert sorted(steps[3].doc_id) == [d for i, (d, _) in enumerate(docs) if root[i] == i]
 
 
+def test_near_stage_on_edited_copies(spark, tmp_path):
+    """Copies with a few words changed, chains of them, a passage that many share, repeated rows and null ids."""
+    rng, docs = np.random.default_rng(6), []
+    passage = [f"p{i}" for i in range(60)]
+    for g in range(25):
+        base = [f"w{x}" for x in rng.integers(0, 3_000, int(rng.integers(30, 260)))]
+        base = passage + base if g % 3 == 0 else base
+        for _ in range(int(rng.integers(1, 7))):
+            words = list(base)
+            for at in rng.integers(0, len(words), int(rng.integers(0, 1 + len(words) // 70))):
+                words[at] = f"e{rng.integers(0, 9)}"
+            docs.append((len(docs) + 1, " ".join(words)))
+    docs += [(900, "x y"), (901, "X  y"), (902, " "), (903, None), (None, docs[0][1]), (904, docs[3][1]), (904, docs[3][1]), (905, "alone here"), (905, "alone too")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    got = P.near(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path)).collect()
+    order = sorted(docs, key=lambda x: (x[0] is None, x[0] or 0))
+    root = jaccard_components([t for _, t in order])
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((d, t or "") for i, (d, t) in enumerate(order) if root[i] == i)
+    assert len(got) < 0.6 * len(docs)
+
+
 def test_secret_stage(steps):
     from tidemark.llm.secrets import base_spans, mask
 
@@ -70,5 +103,10 @@ def test_awkward_rows(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     once = P.exact(spark, docs, str(tmp_path))
     assert once.count() == len({re.sub("[\x20\x09-\x0d]", "", t or "") for _, t in AWKWARD})
+    names = ["_text_hash", "_lang", "row", "id", "hash", "stays"]
+    clash = docs.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    for stage in (P.language, P.exact, P.near, P.secrets):
+        out = stage(spark, clash, str(tmp_path))
+        assert out.columns == clash.columns and all([r[n] for n in names] == list(range(6)) for r in out.collect())
     P.run(spark, str(tmp_path)).count()
     assert P.near(spark, docs.limit(0), str(tmp_path)).count() == 0
