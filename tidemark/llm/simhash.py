@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, two
+from .common import Scratch, bitmap, possible, two
 from .components import components, local_roots
 
 SEED = 42
@@ -30,25 +30,34 @@ SHARD = 2_000  # distinct fingerprints a shard should hold
 SAMPLED = 14  # levels of the dealing tree that come from a sample: at most 2^14 nodes, so that it stays bounded
 PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
+SAMPLES = 12  # fingerprints of samples of a document's shingles
 
 
-def simhash(raw: bytes, words: int = 3) -> int:
+def shingles(raw: bytes, words: int) -> np.ndarray:
+    """XXH64 of every run of so many words; of the whole sequence if it is shorter; none without a word."""
     tokens = raw.lower().split()  # bytes: only A-Z change, only ASCII white space divides
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(tokens)
     ends = np.cumsum([len(x) + 1 for x in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
-    ends = ends.tolist()
     k = min(words, len(tokens))
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[k - 1 :], strict=False)], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=False)], np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """A bit is set if it is in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
+def simhash(raw: bytes, words: int = 3) -> int:
+    return majority(shingles(raw, words))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """doc_id, text_hash (XXH64 of the text as it is) and fp, the 64 bits as a signed long."""
 
@@ -173,3 +182,78 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     prints = Scratch(docs.sparkSession, "prints").table(fingerprints(docs, id_col, text_col, words), "prints")
     return near_groups(prints, radius).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def sample_prints(u: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """SimHashes of samples: the three shingles that come first under each of so many permutations. Two documents of Jaccard
+    similarity J have about J^3 of them in common, bit by bit."""
+    if len(u) < 3:
+        u = np.resize(u, 3)
+    turn = np.arange(1, samples + 1, dtype=np.uint64)[:, None]
+    p = ((u[None, :] ^ (turn * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)) ^ turn
+    a, b, c = np.take_along_axis(np.broadcast_to(u, p.shape), np.argpartition(p, 2, axis=1)[:, :3], 1).T
+    return ((a & b) | (a & c) | (b & c)) ^ (turn[:, 0] * np.uint64(0xA0761D6478BD642F))  # majority; told apart by turn
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of every group of more than one document: doc_id, text_hash, stays. Documents are linked if their sets of
+    shingles have a Jaccard similarity of at least `similarity`; of those that links join, the smallest id stays (null ids
+    last, then the smallest text hash).
+
+    A whole document's fingerprint moves by about ten bits at a similarity of 0.8, where a vantage-point tree prunes
+    nothing; so the tree finds what lies within `radius` bits, and fingerprints of samples, equal bit by bit, find the
+    rest: at 0.8 one pair in three thousand shares none of twelve. Each group of equal or near fingerprints proposes its
+    members against its first, never all pairs, and every proposal is settled on the two sets of shingles.
+
+    Texts without a word are alike; equal texts are one node."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "near")
+    rows = two(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+
+    def sets(raw: bytes) -> np.ndarray:
+        return np.unique(shingles(raw, words)) if raw.strip() else np.zeros(1, np.uint64)
+
+    def sketch(batches):
+        for b in batches:
+            out = [(majority(u := sets(x.as_py())), len(u), sample_prints(u, samples).view(np.int64)) for x in b.column("raw")]
+            fp = pa.array(np.array([x[0] for x in out], np.uint64).view(np.int64))
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * samples), pa.array(np.concatenate([np.empty(0, np.int64), *(x[2] for x in out)])))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp, pa.array([x[1] for x in out], pa.int64()), keys], names=["doc_id", "text_hash", "fp", "size", "keys"])
+
+    raw = rows.select("doc_id", "text_hash", F.col("text").cast("binary").alias("raw"))
+    prints = scratch.table(raw.mapInArrow(sketch, "doc_id long, text_hash long, fp long, size long, keys array<long>"), "prints")
+    keyed = prints.select(F.col("text_hash").alias("u"), "size", F.explode("keys").alias("key")).distinct()
+    first = keyed.groupBy("key").agg(F.min(F.struct(F.col("u"), F.col("size"))).alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "v")
+    told = keyed.join(scratch.shuffled(scratch.table(first, "first")), "key").select("u", F.col("v.u").alias("v"), "size", F.col("v.size").alias("other"))
+    near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
+    alike = told.where((F.col("u") != F.col("v")) & (F.least("size", "other") >= similarity * F.greatest("size", "other"))).select("u", "v")
+    pairs = scratch.table(alike.unionByName(near).distinct(), "pairs")
+    need = scratch.table(pairs.select(F.explode(F.array("u", "v")).alias("hash")).distinct(), "need")
+
+    def spell(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in b.column("raw")], pa.binary())], names=["hash", "shingles"])
+
+    likely = raw.where(possible(spark, bitmap(need), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw")
+    spelt = likely.mapInArrow(spell, "hash long, shingles binary").join(scratch.shuffled(need), "hash", "left_semi")
+    spelt = scratch.table(spelt.dropDuplicates(["hash"]), "spelt")
+    both = pairs.join(scratch.shuffled(spelt.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(spelt.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
+
+    def settle(batches):
+        for b in batches:
+            linked = []
+            for x, y in zip(b.column("a"), b.column("b"), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(common >= similarity * (len(x) + len(y) - common))
+            yield b.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+
+    links = scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), "links")
+    roots = components(links, scratch)
+    copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
+    groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
+    groups = scratch.table(groups.join(scratch.shuffled(roots), groups.hash == roots.node, "left").select("hash", F.coalesce("root", "hash").alias("label")), "labels")
+    own = scratch.table(prints.select("doc_id", "text_hash").join(scratch.shuffled(groups), F.col("text_hash") == F.col("hash")).select("doc_id", "text_hash", "label"), "own")
+    best = own.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
+    out = own.join(scratch.shuffled(scratch.table(best, "best")), "label")
+    return out.select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("stays"))
