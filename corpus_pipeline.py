@@ -6,9 +6,7 @@ share an id with others do not share their fate; rows alike in both are repeats,
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, bitmap, possible
@@ -17,7 +15,7 @@ from tidemark.llm.langid import accept, train
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.queries import tokenizer
 from tidemark.llm.secrets import redact
-from tidemark.llm.simhash import fingerprints, near_groups
+from tidemark.llm.simhash import near_duplicates
 
 LEAST_SCORE = 0.5  # calibrated probability of the language; below it a document is rejected
 
@@ -47,10 +45,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document, that of the smallest id, of each SimHash group."""
-    prints = Scratch(spark, "stage").table(fingerprints(docs), "prints")
-    keep = near_groups(prints).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    return _stay(docs, keep)
+    """Leaves one document, that of the smallest id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return _stay(spark, docs, near_duplicates(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
