@@ -9,7 +9,6 @@ import time
 import uuid
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,10 +111,10 @@ def possible(spark: SparkSession, marks: np.ndarray | None, h: Column, bits: int
         return F.lit(True)
     shared = spark.sparkContext.broadcast(marks)  # BITS / 8 bytes
 
-    @F.pandas_udf("boolean")
-    def found(at: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def found(at: pa.Array) -> pa.Array:
         at = at.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+        return pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
 
     return found(F.pmod(h, F.lit(bits)))
 

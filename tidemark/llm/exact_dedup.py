@@ -59,7 +59,7 @@ def owner_of(fp: np.ndarray, owners: int) -> np.ndarray:
 def _send(owners: int):
     def run(batches):
         pid, seen = TaskContext.get().partitionId(), [np.empty(0, np.int64)]
-        for b in batches:
+        for b in (whole.slice(i, 1024) for whole in batches for i in range(0, len(whole), 1024)):
             shas = [hashlib.sha256(x.translate(None, SPACE)).digest() for x in b.column("raw").to_pylist()]
             fp = np.frombuffer(b"".join(x[:8] for x in shas), ">u8") >> np.uint64(64 - FP_BITS)
             seen.append(np.unique(fp.astype(np.int64)))

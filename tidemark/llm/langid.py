@@ -169,9 +169,11 @@ def accept(docs: DataFrame, model: LanguageModel, least: float, text_col: str =
     at, shared = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
-            told = [shared.value.predict(x.as_py()) for x in b.column(at)]
-            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in told], pa.bool_()))
+        for whole in batches:
+            for i in range(0, len(whole), 512):
+                b = whole.slice(i, 512)
+                told = [shared.value.predict(x.as_py()) for x in b.column(at)]
+                yield b.filter(pa.array([lang != "und" and score >= least for lang, score in told], pa.bool_()))
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))
 

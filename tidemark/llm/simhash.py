@@ -30,6 +30,7 @@ SHARD = 2_000  # distinct fingerprints a shard should hold
 SAMPLED = 14  # levels of the dealing tree that come from a sample: at most 2^14 nodes, so that it stays bounded
 PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
+BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
 
 
@@ -40,10 +41,14 @@ def shingles(raw: bytes, words: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     line = b" ".join(tokens)
     ends = np.cumsum([len(x) + 1 for x in tokens]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
-    k = min(words, len(tokens))
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=False)], np.uint64)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    k, digest = min(words, len(tokens)), xxhash.xxh64_intdigest
+    del tokens
+    starts, ends = starts[: len(starts) - k + 1], ends[k - 1 :]
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(out), BATCH):  # in parts, so that a very long text does not stand in memory as so many numbers
+        out[i : i + BATCH] = [digest(line[a:b], SEED) for a, b in zip(starts[i : i + BATCH].tolist(), ends[i : i + BATCH].tolist(), strict=True)]
+    return out
 
 
 def majority(h: np.ndarray) -> int:
@@ -189,7 +194,11 @@ def sample_prints(u: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     similarity J have about J^3 of them in common, bit by bit."""
     if len(u) < 3:
         u = np.resize(u, 3)
-    turn = np.arange(1, samples + 1, dtype=np.uint64)[:, None]
+    turns = np.arange(1, samples + 1, dtype=np.uint64)
+    return np.concatenate([_samples_of(u, x[:, None]) for x in np.array_split(turns, samples if len(u) > BATCH else 1)])
+
+
+def _samples_of(u: np.ndarray, turn: np.ndarray) -> np.ndarray:
     p = ((u[None, :] ^ (turn * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)) ^ turn
     a, b, c = np.take_along_axis(np.broadcast_to(u, p.shape), np.argpartition(p, 2, axis=1)[:, :3], 1).T
     return ((a & b) | (a & c) | (b & c)) ^ (turn[:, 0] * np.uint64(0xA0761D6478BD642F))  # majority; told apart by turn
@@ -216,6 +225,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     def sketch(batches):
         for b in batches:
             out = [(majority(u := sets(x.as_py())), len(u), sample_prints(u, samples).view(np.int64)) for x in b.column("raw")]
+            u = None
             fp = pa.array(np.array([x[0] for x in out], np.uint64).view(np.int64))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * samples), pa.array(np.concatenate([np.empty(0, np.int64), *(x[2] for x in out)])))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp, pa.array([x[1] for x in out], pa.int64()), keys], names=["doc_id", "text_hash", "fp", "size", "keys"])
@@ -232,7 +242,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
     def spell(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in b.column("raw")], pa.binary())], names=["hash", "shingles"])
+            for i in range(0, len(b), 512):
+                part = b.slice(i, 512)
+                yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in part.column("raw")], pa.binary())], names=["hash", "shingles"])
 
     likely = raw.where(possible(spark, bitmap(need), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw")
     spelt = likely.mapInArrow(spell, "hash long, shingles binary").join(scratch.shuffled(need), "hash", "left_semi")
