@@ -127,7 +127,11 @@ class LanguageModel:
         h = ngrams(text or "") if self.langs else ()
         if not len(h):
             return "und", 0.0
-        s = self.weights[h].sum(0, dtype=np.float64) * (float(SCALE) / len(h)) + self.bias
+        if len(h) <= SIZE:
+            total = self.weights[h].sum(0, dtype=np.float64)
+        else:  # a very long text: by counts, so that no row of weights is taken for each of its n-grams
+            total = np.bincount(h, minlength=SIZE) @ self.weights.astype(np.float64)
+        s = total * (float(SCALE) / len(h)) + self.bias
         p = softmax(s / self.heat)
         k = int(p.argmax())
         return self.langs[k], float(min(1.0, p[k]))
@@ -174,6 +178,7 @@ def accept(docs: DataFrame, model: LanguageModel, least: float, text_col: str =
                 b = whole.slice(i, 512)
                 told = [shared.value.predict(x.as_py()) for x in b.column(at)]
                 yield b.filter(pa.array([lang != "und" and score >= least for lang, score in told], pa.bool_()))
+        pa.default_memory_pool().release_unused()  # the worker lives on for later stages
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))
 

@@ -25,7 +25,7 @@ assert sys.byteorder == "little"
 SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 #: Characters whose classes are the same in all versions of Unicode in use; a word with any other is left to the library.
 SETTLED = regex.compile(r"[\x00-\u024f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
-CHUNKS, PIECES = 700_000, 400_000  # entries in a worker's caches, about 300 MB when full
+CHUNKS, PIECES = 400_000, 250_000  # entries in a worker's caches, about 180 MB when full
 ENDS = frozenset(".,;:!?")
 
 
