@@ -79,6 +79,27 @@ def test_near_stage_on_edited_copies(spark, tmp_path):
     assert len(got) < 0.6 * len(docs)
 
 
+def test_near_stage_finds_copies_by_their_original(spark, tmp_path):
+    """Copies edited each in its own places are like the original alone, not like one another."""
+    rng, docs = np.random.default_rng(12), []
+    for g in range(4):
+        base = [f"g{g}w{x}" for x in rng.integers(0, 5_000, 300)]
+        docs.append(" ".join(base))
+        for i in range(50):
+            words = list(base)
+            for at in range(i * 5, 300, 60):
+                words[at] = f"e{i}"
+            docs.append(" ".join(words))
+    rng.shuffle(docs)
+    docs = list(enumerate(docs, 1))
+    sets = [shingle_set(t) for _, t in docs]
+    root = jaccard_components([t for _, t in docs])
+    assert len(set(root)) == 4 and sum(len(a & b) < 0.8 * len(a | b) for a in sets[:20] for b in sets[:20]) > 300
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    got = P.near(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == [d for i, (d, _) in enumerate(docs) if root[i] == i]
+
+
 def test_secret_stage(steps):
     from tidemark.llm.secrets import base_spans, mask
 

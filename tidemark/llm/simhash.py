@@ -32,6 +32,7 @@ PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
 BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
+ROUNDS, LEADS = 2, 4  # further rounds of proposals within groups of equal samples, and leads of a group in each
 
 
 def shingles(raw: bytes, words: int) -> np.ndarray:
@@ -204,15 +205,18 @@ def _samples_of(u: np.ndarray, turn: np.ndarray) -> np.ndarray:
     return ((a & b) | (a & c) | (b & c)) ^ (turn[:, 0] * np.uint64(0xA0761D6478BD642F))  # majority; told apart by turn
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of every group of more than one document: doc_id, text_hash, stays. Documents are linked if their sets of
     shingles have a Jaccard similarity of at least `similarity`; of those that links join, the smallest id stays (null ids
     last, then the smallest text hash).
 
     A whole document's fingerprint moves by about ten bits at a similarity of 0.8, where a vantage-point tree prunes
     nothing; so the tree finds what lies within `radius` bits, and fingerprints of samples, equal bit by bit, find the
-    rest: at 0.8 one pair in three thousand shares none of twelve. Each group of equal or near fingerprints proposes its
-    members against its first, never all pairs, and every proposal is settled on the two sets of shingles.
+    rest: at 0.8 one pair in three thousand shares none of twelve. A group of equal samples proposes its members against
+    its leads, never all pairs: at first its smallest hash and the member whose samples reach most others (the text that
+    the others are copies of), then, in `rounds` more, leads drawn by hash, and only members not yet joined to them. Every
+    proposal is settled on the two sets of shingles, so none is wrong; what no lead is like may be missed, and the README
+    has the measured recall.
 
     Texts without a word are alike; equal texts are one node."""
     spark = docs.sparkSession
@@ -233,13 +237,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
     raw = rows.select("doc_id", "text_hash", F.col("text").cast("binary").alias("raw"))
     prints = scratch.table(raw.mapInArrow(sketch, "doc_id long, text_hash long, fp long, size long, keys array<long>"), "prints")
-    keyed = prints.select(F.col("text_hash").alias("u"), "size", F.explode("keys").alias("key")).distinct()
-    first = keyed.groupBy("key").agg(F.min(F.struct(F.col("u"), F.col("size"))).alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "v")
-    told = keyed.join(scratch.shuffled(scratch.table(first, "first")), "key").select("u", F.col("v.u").alias("v"), "size", F.col("v.size").alias("other"))
+    keyed = scratch.table(prints.select(F.col("text_hash").alias("u"), "size", F.explode("keys").alias("key")).distinct(), "keyed")
+    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = scratch.table(keyed.join(scratch.shuffled(scratch.table(many, "many")), "key"), "members")
+    reach = scratch.table(members.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("reach")), "reach")
+    members = scratch.table(members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "u", "size", "reach"), "reached")
     near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
-    alike = told.where((F.col("u") != F.col("v")) & (F.least("size", "other") >= similarity * F.greatest("size", "other"))).select("u", "v")
-    pairs = scratch.table(alike.unionByName(near).distinct(), "pairs")
-    need = scratch.table(pairs.select(F.explode(F.array("u", "v")).alias("hash")).distinct(), "need")
+    near = scratch.table(near, "near")
+    need = scratch.table(members.select(F.col("u").alias("hash")).union(near.select(F.explode(F.array("u", "v")))).distinct(), "need")
 
     def spell(batches):
         for b in batches:
@@ -251,7 +256,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     likely = raw.where(possible(spark, bitmap(need), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw")
     spelt = likely.mapInArrow(spell, "hash long, shingles binary").join(scratch.shuffled(need), "hash", "left_semi")
     spelt = scratch.table(spelt.dropDuplicates(["hash"]), "spelt")
-    both = pairs.join(scratch.shuffled(spelt.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(spelt.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
 
     def settle(batches):
         for b in batches:
@@ -262,7 +266,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
                 linked.append(common >= similarity * (len(x) + len(y) - common))
             yield b.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    links = scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), "links")
+    def settled(proposals: DataFrame, name: str) -> DataFrame:
+        pairs = scratch.table(proposals.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"pairs-{name}")
+        asked = spelt.where(possible(spark, bitmap(pairs.select(F.explode(F.array("u", "v"))).distinct()), F.col("hash")))
+        both = pairs.join(scratch.shuffled(asked.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(asked.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
+        return scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
+
+    def proposed(members: DataFrame, leads: list, name: str) -> DataFrame:
+        """Every member of a group with each lead of it, where sizes allow the similarity and labels differ."""
+        led = members.groupBy("key").agg(F.array_distinct(F.array(*leads)).alias("leads"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        led = scratch.table(led.select("key", F.explode("leads").alias("v")), f"leads-{name}")
+        told = members.join(scratch.shuffled(led), "key").where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
+        return told.select("u", F.col("v.u").alias("v"))
+
+    who, alone = F.struct("u", "size", "label"), members.withColumn("label", F.col("u"))
+    links = settled(proposed(alone, [F.min_by(who, "u"), F.max_by(who, F.struct("reach", "u"))], "first").unionByName(near), "first")
+    for turn in range(rounds):
+        own = scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}")
+        joined = members.join(scratch.shuffled(own), F.col("u") == F.col("node"), "left").select("key", "u", "size", F.coalesce("root", "u").alias("label"))
+        joined = scratch.table(joined, f"members-{turn}")
+        leads = [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)]
+        links = links.unionByName(settled(proposed(joined, leads, str(turn)), str(turn)))
     roots = components(links, scratch)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
     groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
