@@ -32,7 +32,7 @@ PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
 BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
-ROUNDS, LEADS = 2, 4  # further rounds of proposals within groups of equal samples, and leads of a group in each
+ROUNDS, LEADS = 2, 8  # further rounds of proposals within groups of equal samples, and leads of a group in each
 
 
 def shingles(raw: bytes, words: int) -> np.ndarray:
