@@ -1,13 +1,17 @@
-"""Connected components by alternating large-star and small-star steps, each step written to a scratch table."""
+"""Connected components by alternating large-star and small-star steps, each step written to a scratch table. Tasks join
+what links they hold before they write them, so that few steps are left to the cluster."""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
+HELD = 1 << 20  # links that a task joins at a time
+
 
 def local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 and links u-v: the smallest node of each one's component."""
@@ -26,6 +30,31 @@ def local_roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return root
 
 
+def folded(links: DataFrame, held: int = HELD) -> DataFrame:
+    """links(u, v) as stars of what each task has at hand: every node with the least one that so many links lead it to. The
+    components are the same, and no node's least neighbour grows, so the steps between which this is done end as before."""
+
+    def star(batches: list) -> pa.RecordBatch:
+        u, v = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in (0, 1))
+        nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        root = local_roots(len(nodes), at[: len(u)], at[len(u) :])
+        told = root != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[told]), pa.array(nodes[root[told]])], names=["u", "v"])
+
+    def run(batches):
+        own, n = [], 0
+        for b in batches:
+            own.append(b)
+            n += len(b)
+            if n >= held:
+                yield star(own)
+                own, n = [], 0
+        if own:
+            yield star(own)
+
+    return links.select("u", "v").mapInArrow(run, "u long, v long")
+
+
 def _star(e: DataFrame, scratch: Scratch, name: str, large: bool) -> DataFrame:
     """One step. The least neighbour of every node is written first, so that both sides of the join that follows are
     plain exchanges, which adaptive execution can split where one node has very many links."""
@@ -36,13 +65,14 @@ def _star(e: DataFrame, scratch: Scratch, name: str, large: bool) -> DataFrame:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return scratch.table(out.where("u != v").distinct(), name)
+    out = out.where("u != v").distinct()
+    return scratch.table(out if large else folded(out), name)
 
 
 def components(links: DataFrame, scratch: Scratch, name: str = "cc", most: int = 200) -> DataFrame:
     """links(u, v): undirected, of longs. Returns (node, root) for every node that is not the least of its component."""
     # the number of rounds grows with the logarithm of the nodes; one that has not ended by then is a fault, and is told
-    e = scratch.table(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0")
+    e = scratch.table(folded(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), f"{name}-0")
     state = None
     for i in range(1, most + 1):
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
