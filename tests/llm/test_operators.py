@@ -618,6 +618,35 @@ def test_components_that_do_not_converge_are_told(spark):
         components(chain, Scratch(spark, "t"), most=1)
 
 
+@pytest.mark.parametrize("held", [1, 3, 1 << 20])
+def test_links_folded_in_tasks_keep_their_components(spark, held):
+    from tidemark.llm.common import Scratch
+    from tidemark.llm.components import components as joined
+    from tidemark.llm.components import folded
+
+    rng = np.random.default_rng(3)
+    links = [tuple(map(int, x)) for x in rng.integers(0, 90, (70, 2))] + [(200 + i, 201 + i) for i in range(40)] + [(300, 400 + i) for i in range(50)]
+    df = spark.createDataFrame(links, "u long, v long").where("u <> v").repartition(4)
+    linked = {frozenset(x) for x in links}
+    root = components(500, lambda i, j: frozenset((i, j)) in linked)
+    after = {frozenset(x) for x in folded(df, held).collect()}
+    assert components(500, lambda i, j: frozenset((i, j)) in after) == root
+    assert all(u > v for u, v in folded(df, held).collect())
+    assert dict(map(tuple, joined(df, Scratch(spark, "t")).collect())) == {i: r for i, r in enumerate(root) if i != r}
+    assert folded(df.limit(0), held).count() == 0
+
+
+def test_an_encoder_forgets_its_words_and_not_its_ids(tmp_path):
+    from tidemark.llm.queries import tokenizer
+    from tidemark.llm.tokens import WordEncoder
+
+    coder = WordEncoder(tokenizer("byte_bpe_50k.json"))
+    texts = ["to be or not to be", "a  b\n\nc", "żółw", ""]
+    before = [coder.packed(x) for x in texts]
+    coder.forget()
+    assert not (coder.chunks or coder.plain_chunks or coder.pieces) and [coder.packed(x) for x in texts] == before
+
+
 def test_scratch_goes_and_is_swept(spark, tmp_path):
     from tidemark.llm import common
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import time
 import uuid
@@ -119,6 +120,14 @@ def possible(spark: SparkSession, marks: np.ndarray | None, h: Column, bits: int
     return found(F.pmod(h, F.lit(bits)))
 
 
+def give_back() -> None:
+    """For the end of a task whose Python worker lives on for later stages: what its batches and caches took and set free
+    goes back to the system, where the C library has a way to do so."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold
+from .common import fold, give_back
 
 BITS = 16
 SIZE = 1 << BITS
@@ -178,7 +178,7 @@ def accept(docs: DataFrame, model: LanguageModel, least: float, text_col: str =
                 b = whole.slice(i, 512)
                 told = [shared.value.predict(x.as_py()) for x in b.column(at)]
                 yield b.filter(pa.array([lang != "und" and score >= least for lang, score in told], pa.bool_()))
-        pa.default_memory_pool().release_unused()  # the worker lives on for later stages
+        give_back()
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))
 

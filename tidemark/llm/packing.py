@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, parts, two
+from .common import Scratch, give_back, parts, two
 from .tokens import WordEncoder
 
 
@@ -38,6 +38,8 @@ def cut_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = 2048, id
                     rows.append((d, p, at, n, zlib.crc32(ids[at : at + n].tobytes())))
                     at += n
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        coder.forget()
+        give_back()
 
     return two(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

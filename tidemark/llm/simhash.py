@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bitmap, possible, two
+from .common import Scratch, bitmap, give_back, possible, two
 from .components import components, local_roots
 
 SEED = 42
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
             fp = pa.array(np.array([x[0] for x in out], np.uint64).view(np.int64))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * samples), pa.array(np.concatenate([np.empty(0, np.int64), *(x[2] for x in out)])))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp, pa.array([x[1] for x in out], pa.int64()), keys], names=["doc_id", "text_hash", "fp", "size", "keys"])
-        pa.default_memory_pool().release_unused()  # the worker lives on for later stages
+        give_back()
 
     raw = rows.select("doc_id", "text_hash", F.col("text").cast("binary").alias("raw"))
     prints = scratch.table(raw.mapInArrow(sketch, "doc_id long, text_hash long, fp long, size long, keys array<long>"), "prints")
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
             for i in range(0, len(b), 512):
                 part = b.slice(i, 512)
                 yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in part.column("raw")], pa.binary())], names=["hash", "shingles"])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     likely = raw.where(possible(spark, bitmap(need), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw")
     spelt = likely.mapInArrow(spell, "hash long, shingles binary").join(scratch.shuffled(need), "hash", "left_semi")

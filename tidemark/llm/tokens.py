@@ -133,5 +133,10 @@ class WordEncoder:
         first, *words = text.split(" ")
         return self._plain(first) + b"".join(map(chunks.__getitem__, words))
 
+    def forget(self) -> None:
+        """Empties the caches, at the end of a task."""
+        for cache in (self.chunks, self.plain_chunks, self.pieces):
+            cache.clear()
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.packed(text), "<u2")
