@@ -76,6 +76,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(load(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import repaired_conversations
+
+    return repaired_conversations(load(spark, sf_dir, "conversations"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import lexical_search
+
+    return lexical_search(load(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+
+    return token_counts(load(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 EXACT_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[ \t-\r]', '', 'g')) AS s FROM documents
@@ -95,10 +113,26 @@ c AS (SELECT u, min(w) AS component_id FROM r GROUP BY 1), k AS (SELECT u, count
 SELECT v.vec_id, coalesce(k.n_links, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c ON c.u = v.vec_id LEFT JOIN k ON k.u = v.vec_id
 """
 
+LEXICAL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL
+), n AS (SELECT doc_id, t, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+p AS (SELECT doc_id, n, unnest(t) AS term FROM n),
+f AS (SELECT doc_id, n, term, count(*) AS tf FROM p GROUP BY doc_id, n, term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, c GROUP BY term, docs),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN f USING (term), c GROUP BY item_id, doc_id
+), r AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_embedding_near_dedup": VECTORS_SQL, "op8_exact_dedup": EXACT_SQL}
+    return {"op6_embedding_near_dedup": VECTORS_SQL, "op8_exact_dedup": EXACT_SQL, "op12_lexical_search": LEXICAL_SQL}
