@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import hash_bucket
+from .signals import repeat_signals
 
 HOUR, DAY = 3_600, 86_400
 
@@ -36,9 +40,8 @@ def fold_observations(state: DataFrame, seen: DataFrame, key: list[str], full: b
     sighting stays, a detail time is taken over only where there is a new one; what is no longer seen goes only on a
     full snapshot."""
     s, n = state.alias("s"), seen.alias("n")
-    on = [F.col(f"s.{k}") == F.col(f"n.{k}") for k in key]
-    cond = on[0] if len(on) == 1 else on[0] & on[1]
-    out = s.join(n, cond, "right" if full else "full")
+    on = [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key]
+    out = s.join(n, reduce(and_, on), "right" if full else "full")
     pick = lambda c, first: F.coalesce(F.col(f"{first}.{c}"), F.col(f"{'n' if first == 's' else 's'}.{c}")).alias(c)
     return out.select(*(pick(k, "n") for k in key), pick("fingerprint", "n"), pick("published_at", "n"), pick("first_seen_at", "s"), pick("last_detail_at", "n"))
 
@@ -66,15 +69,25 @@ def last_runs(runs: DataFrame, key: str, order: str, keep: int = 100) -> DataFra
     return latest.orderBy(F.desc(order), F.desc(key)).limit(keep)
 
 
-def incidents(rows: DataFrame, text: Column, at: str, window: int = 21_600) -> DataFrame:
-    """Messages grouped by what stays when addresses, hex strings and numbers are taken out; `signals` counts those that
-    come at least `window` seconds after the one before."""
-    stable = F.regexp_replace(F.regexp_replace(F.lower(text), r"https?://\S+", "<url>"), r"\b(?:[0-9a-f]{8,}|\d+)\b", "<value>")
-    x = rows.select(F.sha2(stable, 256).alias("fingerprint"), F.unix_timestamp(at).alias("t"))
-    x = x.groupBy("fingerprint", "t").agg(F.count(F.lit(1)).alias("n"))
-    gap = F.col("t") - F.lag("t").over(Window.partitionBy("fingerprint").orderBy("t"))
-    x = x.withColumn("new", (gap.isNull() | (gap >= window)).cast("bigint"))
-    return x.groupBy("fingerprint").agg(F.sum("n").alias("n"), F.sum("new").alias("signals"), F.max("t").alias("last_at"))
+# What differs between messages of one incident, and what stands in its place.
+CHANGING = ((r"https?://\S+", "<url>"), (r"\b(?:[0-9a-f]{8,}|\d+)\b", "<value>"))
+
+
+def incident_key(text: Column) -> Column:
+    """A hash of what stays of a message when addresses, hex strings and numbers are taken out."""
+    text = F.lower(text)
+    for pattern, to in CHANGING:
+        text = F.regexp_replace(text, pattern, to)
+    return F.sha2(text, 256)
+
+
+def incidents(rows: DataFrame, text: Column, at: str, window: int = 21_600, delivered: str | None = None) -> DataFrame:
+    """Messages by incident: how many there were, how many of them signal (see `repeat_signals`), how many signals got
+    through, and when the last message and the last such signal came."""
+    x = rows.select(incident_key(text).alias("fingerprint"), F.unix_timestamp(at).alias("t"), F.col(delivered).alias("delivered") if delivered else F.lit(True).alias("delivered"))
+    x = repeat_signals(x, ["fingerprint"], "t", window, "delivered")
+    through = F.col("signals") & F.col("delivered")
+    return x.groupBy("fingerprint").agg(F.sum("n").alias("n"), F.count_if("signals").alias("signals"), F.count_if(through).alias("delivered"), F.max("t").alias("last_at"), F.max(F.when(through, F.col("t"))).alias("last_signal_at"))
 
 
 # Words in a message that tell a category, where nothing else does.

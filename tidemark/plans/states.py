@@ -10,6 +10,7 @@ from ..operators import states as S
 from .registry import query, table
 
 NOW = "2001-08-05 00:00:00"
+FAILURE = "concat(event_type, ' failed for user ', user_id, ' at http://h/', event_id)"
 ORDERS = f"""
 o AS (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS id, epoch(o_orderdate) AS p, epoch(TIMESTAMP '{NOW}') AS now, o_orderkey % 6 = 0 AS changed,
   CASE WHEN o_orderkey % 3 = 0 THEN epoch(TIMESTAMP '{NOW}') - (o_orderkey % 200) * 3600 END AS detail, CASE WHEN o_orderkey % 3 = 1 THEN epoch(TIMESTAMP '{NOW}') - (o_orderkey % 7) * 86400 END AS seen FROM orders),
@@ -18,6 +19,11 @@ d AS (SELECT *, CASE WHEN changed THEN true WHEN detail IS NOT NULL THEN now - d
 """
 
 
+def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of failure; a signal at one gets through if its value is above five."""
+    return table(spark, sf_dir, "events").where("event_type IN ('error', 'signup')").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", "event_id", (F.col("value") > 5).alias("delivered"))
+
+
 def _due(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, now = F.col("o_orderkey"), F.lit(NOW).cast("timestamp")
     back = lambda n: F.timestamp_seconds(F.unix_timestamp(now) - n)
@@ -113,16 +119,29 @@ def run_upsert_last_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.last_runs(e, "run", "seq")
 
 
-@query(r"""
-WITH m AS (SELECT sha256(regexp_replace(regexp_replace(lower(event_type || ' failed for user ' || user_id || ' at http://h/' || event_id), 'https?://\S+', '<url>', 'g'), '\b(?:[0-9a-f]{8,}|\d+)\b', '<value>', 'g')) AS fingerprint, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events WHERE event_type IN ('error', 'signup')),
-g AS (SELECT fingerprint, t, count(*) AS n FROM m GROUP BY 1, 2), w AS (SELECT *, t - lag(t) OVER (PARTITION BY fingerprint ORDER BY t) AS gap FROM g)
-SELECT fingerprint, CAST(sum(n) AS BIGINT) AS n, count(*) FILTER (gap IS NULL OR gap >= 900) AS signals, max(t) AS last_at FROM w GROUP BY 1
+#: A chain of delivered signals for each incident: the first that gets through, then always the first a window later.
+SIGNALS = r"""
+WITH RECURSIVE m AS (SELECT sha256(regexp_replace(regexp_replace(lower(event_type || ' failed for user ' || user_id || ' at http://h/' || event_id), 'https?://\S+', '<url>', 'g'), '\b(?:[0-9a-f]{8,}|\d+)\b', '<value>', 'g')) AS fingerprint, CAST(floor(epoch(ts)) AS BIGINT) AS t, value > 5 AS d FROM events WHERE event_type IN ('error', 'signup')),
+g AS (SELECT fingerprint, t, count(*) AS n, bool_or(d) AS delivered FROM m GROUP BY 1, 2),
+c(fingerprint, t) AS (SELECT fingerprint, min(t) FROM g WHERE delivered GROUP BY 1 UNION ALL SELECT c.fingerprint, min(g.t) FROM c JOIN g ON g.fingerprint = c.fingerprint AND g.delivered AND g.t >= c.t + 900 GROUP BY 1),
+s AS (SELECT g.*, NOT coalesce(g.t - c.t < 900, false) AS signals FROM g ASOF LEFT JOIN c ON g.fingerprint = c.fingerprint AND g.t > c.t)
+"""
+
+
+@query(SIGNALS + """
+SELECT fingerprint, CAST(sum(n) AS BIGINT) AS n, count(*) FILTER (signals) AS signals, count(*) FILTER (signals AND delivered) AS delivered, max(t) AS last_at, max(t) FILTER (signals AND delivered) AS last_signal_at FROM s GROUP BY 1
 """)
 def incident_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA-05: incidents by what is stable in their messages, repeats within a time not signalled again."""
-    e = table(spark, sf_dir, "events").where("event_type IN ('error', 'signup')").withColumn("ts", F.col("ts").cast("timestamp"))
-    text = F.concat("event_type", F.lit(" failed for user "), "user_id", F.lit(" at http://h/"), "event_id")
-    return S.incidents(e, text, "ts", 900)
+    """STA-05: incidents by what is stable in their messages; one is signalled again when a time has gone by since the last
+    signal that got through."""
+    return S.incidents(_failures(spark, sf_dir), F.expr(FAILURE), "ts", 900, "delivered")
+
+
+@query(SIGNALS + "SELECT fingerprint, t, n, delivered FROM s WHERE signals")
+def incident_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA-05, STA-09: the messages that signal, and whether that got through."""
+    x = _failures(spark, sf_dir).select(S.incident_key(F.expr(FAILURE)).alias("fingerprint"), F.unix_timestamp("ts").alias("t"), "delivered")
+    return S.repeat_signals(x, ["fingerprint"], "t", 900, "delivered").where("signals").drop("signals")
 
 
 @query("""
