@@ -106,6 +106,22 @@ def test_upsert_leaves_absent_columns_alone(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, None, "p"), (2, "n", None)]
 
 
+def test_upsert_refuses_null_keys_and_two_changes_of_one(spark):
+    old = spark.createDataFrame([(1, "a")], "id int, x string")
+    for rows in ([(None, "n")], [(2, "n"), (2, "m")]):
+        with pytest.raises(ValueError, match="null or changed twice"):
+            sinks.upsert(old, spark.createDataFrame(rows, "id int, x string"), ["id"])
+
+
+def test_an_empty_version_and_a_folder_that_is_there(spark, tmp_path):
+    t = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    v1 = t.write(spark.createDataFrame([], "id int, x array<string>"), None)
+    assert t.version() == v1 and t.read().count() == 0
+    (tmp_path / "t" / "_current" / "2" / "2-other").mkdir(parents=True)  # a store that puts the folder inside another's
+    with pytest.raises((sinks.Conflict, StopIteration)):
+        t.write(t.read(), v1)
+
+
 def test_schema_patch(spark):
     df = spark.createDataFrame([(1,)], "id int")
     want = T.StructType.fromDDL("id int, at timestamp")
@@ -121,6 +137,12 @@ def test_seal_ignores_order_and_tells_repeats(spark):
     assert sinks.seal(a, ["id", "x"]) == sinks.seal(b, ["id", "x"]) != sinks.seal(c, ["id", "x"])
 
 
+def test_seal_tells_a_value_that_moved_to_another_column(spark):
+    ddl, other = "x string, y string, a array<string>", ["p", None]
+    seals = {sinks.seal(spark.createDataFrame([row], ddl), ["x", "y", "a"]) for row in ((None, "v", other), ("v", None, other), (None, "v", other[::-1]), ("", "v", other))}
+    assert len(seals) == 4
+
+
 def test_observe_confirm_apply_noop(spark):
     """A changed body is held in the first run, applied in the second, and gives no action after that."""
     item = lambda h: spark.createDataFrame([("s", 1, "t", h)], "source string, item_id long, title string, body_hash string")

@@ -20,7 +20,8 @@ VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "l
 BREAKS = frozenset({"p", "div", "br", "li", "tr", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "ul", "ol", "nav", "footer", "header", "blockquote"})
 MARKS = {"b": "bold", "strong": "bold", "i": "italic", "em": "italic", "u": "underline", "s": "strikethrough", "del": "strikethrough", "code": "code"}
 ATTACHMENT_WORDS = ("attachment", "download", "file")
-LOADING = re.compile(r"(?:^|[\s_-])(?:loading|spinner|skeleton)(?:$|[\s_-])")
+LOADING_PARTS = frozenset({"skeleton", "loading", "spinner"})
+NAME_PARTS = str.maketrans("_-", "  ")
 
 ROW = "array<struct<row_ix:int,cells:array<string>,href:string,pinned:boolean>>"
 BLOCK = "array<struct<block_ix:int,type:string,text:string,url:string,segments:array<struct<text:string,marks:string,link:string>>,rows:array<array<string>>>>"
@@ -254,7 +255,7 @@ class _Signals(_Walker):
             self.x["container"], self.depth = True, len(self.stack)
         self.x["title"] |= tag in ("h1", "h2")
         self.x["table"] |= tag == "table"
-        self.x["loading"] |= attrs.get("aria-busy", "").lower() == "true" or bool(LOADING.search(f"{name} {attrs.get('id', '').lower()}"))
+        self.x["loading"] |= attrs.get("aria-busy", "").lower() == "true" or not LOADING_PARTS.isdisjoint(f"{name} {attrs.get('id', '').lower()}".translate(NAME_PARTS).split())
         shown = tag in ("img", "iframe", "embed", "object", "video") and attrs.get("src", attrs.get("data", "")) or tag == "a" and attrs.get("href")
         self.x["content"] |= self.x["container"] and not self.x["closed"] and bool(shown)
         if tag == "a":

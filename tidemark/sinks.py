@@ -10,9 +10,11 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
+from functools import reduce
+from operator import or_
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,12 +34,15 @@ class VersionedTable:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def version(self) -> str | None:
-        """The current version, or None. Versions are names of the form n-id; the pointer is the greatest n committed."""
+        """The current version, or None. Versions are names of the form n-id; the pointer is the greatest n committed, a
+        folder that holds the name."""
         fs, p = self._fs(f"{self.path}/_current")
-        if not fs.exists(p):
-            return None
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return max(names, key=lambda n: int(n.split("-")[0])) if names else None
+        numbers = [int(s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
+        return self._marked(max(numbers)) if numbers else None
+
+    def _marked(self, number: int | str) -> str:
+        fs, p = self._fs(f"{self.path}/_current/{number}")
+        return next(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
 
     def read(self, version: str | None = None) -> DataFrame:
         version = version or self.version()
@@ -50,24 +55,27 @@ class VersionedTable:
         if self.version() != expected:
             raise Conflict(f"{self.path} is at {self.version()}, not at {expected}")
         name = f"{int(expected.split('-')[0]) + 1 if expected else 1}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(f"{self.path}/{name}")
-        if (lost := differences(df, df.sparkSession.read.schema(df.schema).parquet(f"{self.path}/{name}"), name)):
+        written = Observation()
+        df.observe(written, *seal_sums(df, df.columns)).write.mode("errorifexists").parquet(f"{self.path}/{name}")
+        if (lost := differences(written.get, df.sparkSession.read.schema(df.schema).parquet(f"{self.path}/{name}"), name)):
             raise Conflict(lost)
         return self.commit(name, expected)
 
     def commit(self, name: str, expected: str | None) -> str:
-        """The mark of a version is made aside and renamed into place; one number can be taken once only."""
+        """The mark of a version, a folder with its name, is made aside and renamed into the place of its number, which a
+        store gives to one writer only: a folder that is there is not replaced."""
         number = name.split("-")[0]
-        fs, aside = self._fs(f"{self.path}/_pending/{name}")
-        fs.mkdirs(aside.getParent())
-        fs.create(aside, True).close()
+        fs, mark = self._fs(f"{self.path}/_pending/{name}/{name}")
+        aside = mark.getParent()
+        fs.mkdirs(aside)
+        fs.create(mark, True).close()
         if self.version() != expected or not self._claim(number, name):
             raise Conflict(f"{self.path}: another run has written version {number}, or is writing it")
-        _, to = self._fs(f"{self.path}/_current/{name}")
+        _, to = self._fs(f"{self.path}/_current/{number}")
         fs.mkdirs(to.getParent())
         if self._claimed(number) != name:
             raise Conflict(f"{self.path}: version {number} was taken over by another run")
-        if not fs.rename(aside, to):
+        if not fs.rename(aside, to) or self._marked(number) != name:
             raise Conflict(f"{self.path}: version {number} could not be made current")
         return name
 
@@ -104,18 +112,23 @@ class VersionedTable:
         return self.write(self.read(version), self.version())
 
 
-def differences(written: DataFrame, read: DataFrame, name: str) -> str:
-    """Empty if the files of a version hold the rows that were to be written."""
+def differences(written: DataFrame | dict, read: DataFrame, name: str) -> str:
+    """Empty if the files of a version hold the rows that were written, by their sums (`seal_sums`, as a rule observed while
+    they were written, so that nothing is computed twice)."""
     try:
-        same = seal(written, written.columns) == seal(read, written.columns)
+        sums = [x if isinstance(x, dict) else x.agg(*seal_sums(x, x.columns)).first().asDict() for x in (written, read)]
     except Exception as e:  # what the store says goes into the conflict
         return f"{name} cannot be read back: {e}"
+    same = len({tuple(x.get(k) or 0 for k in ("n", "a", "b")) for x in sums}) == 1
     return "" if same else f"{name} holds other rows than were written"
 
 
 def upsert(old: DataFrame, changes: DataFrame, keys: list[str], deleted: str | None = None) -> DataFrame:
     """old with the rows of changes put in by key; a column that changes lacks keeps its value. deleted: a boolean column
-    of changes that takes a row away."""
+    of changes that takes a row away. Two changes of one key, and null keys, are refused."""
+    null = reduce(or_, [F.col(k).isNull() for k in keys])
+    if wrong := changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(null | (F.col("_n") > 1)).take(1):
+        raise ValueError(f"a key is null or changed twice: {wrong[0].asDict()}")
     o, c = old.alias("o"), changes.alias("c")
     there = F.col(f"c.{keys[0]}").isNotNull()
     cond = F.lit(True)
@@ -144,8 +157,19 @@ def migrate(df: DataFrame, want: T.StructType, allowed: bool) -> DataFrame:
     return df.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in add))
 
 
+def seal_sums(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Aggregates that tell rows, whatever their order: a count and two sums of row hashes, kept whole as decimals. Every
+    field is hashed with a mark of whether it is null, and nested ones as JSON with their nulls, since the hash skips nulls."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    fields = []
+    for c in columns:
+        own = F.col(f"`{c}`")
+        fields += [own.isNull(), F.to_json(F.struct(own), {"ignoreNullFields": "false"}) if isinstance(df.schema[c].dataType, nested) else own]
+    row = lambda salt: F.xxhash64(*fields, F.lit(salt)).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("n"), F.sum(row(1)).alias("a"), F.sum(row(2)).alias("b")]
+
+
 def seal(df: DataFrame, columns: list[str]) -> str:
-    """A hash over all rows, whatever their order: a count and two sums of row hashes, kept whole as decimals."""
-    x = df.select(F.xxhash64(*columns, F.lit(1)).cast("decimal(38,0)").alias("a"), F.xxhash64(*columns, F.lit(2)).cast("decimal(38,0)").alias("b"))
-    n, a, b = x.agg(F.count(F.lit(1)), F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
-    return hashlib.sha256(f"{n}:{a}:{b}".encode()).hexdigest()
+    """A hash over all rows, whatever their order."""
+    n, a, b = df.agg(*seal_sums(df, columns)).first()
+    return hashlib.sha256(f"{n}:{a or 0}:{b or 0}".encode()).hexdigest()
