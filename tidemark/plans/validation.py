@@ -50,29 +50,30 @@ def validate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RESULTS = """
 s AS (SELECT source, CAST(substr(source, 4) AS BIGINT) AS k, count(*) AS n_items FROM documents GROUP BY 1),
-res AS (SELECT source, k % 2 = 0 AS required, k % 5 <> 0 AS write_safe, k % 3 = 0 AS reconcile, k % 4 <> 0 AS terminal, k % 6 = 0 AS full_snapshot,
+res AS (SELECT source, k % 2 = 0 AS required, k % 5 <> 0 AS write_safe, k % 3 <> 1 AS reconcile, k % 4 <> 0 AS covered, CASE WHEN k = 4 THEN 'backfill_window' ELSE 'natural_end' END AS termination, k % 6 = 0 AS full_snapshot,
   CASE WHEN k = 9 THEN 'confirmed_empty' ELSE 'success' END AS status, n_items FROM s WHERE k <> 1 UNION ALL
-  SELECT source, k % 2 = 0, k % 5 <> 0, k % 3 = 0, k % 4 <> 0, k % 6 = 0, 'success', n_items FROM s WHERE k = 8),
-ex AS (SELECT source FROM s WHERE k <> 2), pr AS (SELECT source, CASE WHEN k % 7 = 0 THEN n_items * 5 ELSE n_items END AS was FROM s),
+  SELECT source, k % 2 = 0, k % 5 <> 0, k % 3 <> 1, k % 4 <> 0, 'natural_end', k % 6 = 0, 'success', n_items FROM s WHERE k = 8),
+ex AS (SELECT source FROM s WHERE k <> 2), pr AS (SELECT source, CASE WHEN k % 7 < 2 THEN n_items * 5 ELSE n_items END AS was FROM s),
 si AS (
   SELECT source, 'missing_source_result' AS code FROM ex WHERE source NOT IN (SELECT source FROM res)
   UNION ALL SELECT DISTINCT source, 'unexpected_source_result' FROM res WHERE source NOT IN (SELECT source FROM ex)
   UNION ALL SELECT source, 'duplicate_source' FROM res GROUP BY source HAVING count(*) > 1
   UNION ALL SELECT source, 'required_source_unsafe' FROM res WHERE required AND NOT write_safe
-  UNION ALL SELECT source, 'reconcile_incomplete' FROM res WHERE reconcile AND NOT (terminal AND write_safe)
-  UNION ALL SELECT source, 'atomic_snapshot_unavailable' FROM res WHERE reconcile AND write_safe AND NOT full_snapshot
+  UNION ALL SELECT source, 'reconcile_incomplete' FROM res WHERE reconcile AND write_safe AND NOT covered AND termination <> 'backfill_window'
+  UNION ALL SELECT source, 'atomic_snapshot_unavailable' FROM res WHERE reconcile AND write_safe AND covered AND NOT full_snapshot
   UNION ALL SELECT source, 'unexpected_empty_source' FROM res WHERE status = 'confirmed_empty'
-  UNION ALL SELECT source, 'source_count_collapse' FROM res JOIN pr USING (source) WHERE was >= 5 AND n_items < was * 0.25)
+  UNION ALL SELECT source, 'source_count_collapse' FROM res JOIN pr USING (source) WHERE status = 'success' AND covered AND was >= 5 AND n_items < was * 0.25)
 """
 
 
 def results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     s = table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_items")).withColumn("k", F.substring("source", 4, 9).cast("bigint"))
     k = F.col("k")
-    cols = [F.col("source"), (k % 2 == 0).alias("required"), (k % 5 != 0).alias("write_safe"), (k % 3 == 0).alias("reconcile"), (k % 4 != 0).alias("terminal"), (k % 6 == 0).alias("full_snapshot")]
-    res = s.where("k <> 1").select(*cols, F.when(k == 9, "confirmed_empty").otherwise("success").alias("status"), "n_items")
-    res = res.unionByName(s.where("k = 8").select(*cols, F.lit("success").alias("status"), "n_items"))
-    previous = s.select("source", F.when(k % 7 == 0, F.col("n_items") * 5).otherwise(F.col("n_items")).alias("n_items"))
+    cols = [F.col("source"), (k % 2 == 0).alias("required"), (k % 5 != 0).alias("write_safe"), (k % 3 != 1).alias("reconcile"), (k % 4 != 0).alias("covered"), (k % 6 == 0).alias("full_snapshot"), "n_items"]
+    ended = F.when(k == 4, "backfill_window").otherwise("natural_end").alias("termination")
+    res = s.where("k <> 1").select(*cols, ended, F.when(k == 9, "confirmed_empty").otherwise("success").alias("status"))
+    res = res.unionByName(s.where("k = 8").select(*cols, ended, F.lit("success").alias("status")))
+    previous = s.select("source", F.when(k % 7 < 2, F.col("n_items") * 5).otherwise(F.col("n_items")).alias("n_items"))
     return res, s.where("k <> 2").select("source"), previous
 
 
@@ -82,6 +83,40 @@ def source_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.source_issues(*results(spark, sf_dir)).select("source", "code", "fatal")
 
 
+#: Pins are the line items of small quantity, an order's place being theirs; a high discount breaks a pin's address.
+PINS = """
+l AS (SELECT l_suppkey AS source, CAST(l_partkey AS VARCHAR) AS id, l_orderkey * 10 + l_linenumber AS ord, l_quantity AS q, l_discount AS d, l_tax AS tax FROM lineitem),
+v AS (SELECT source, avg(q) > 25.5 AS pins_verified FROM l GROUP BY 1),
+p AS (SELECT source, ord, CASE WHEN d < 0.1 OR source % 4 <> 3 THEN id END AS pin_id FROM l JOIN v USING (source) WHERE pins_verified AND q < 3),
+f AS (SELECT source, min(ord) AS ord, pin_id FROM p WHERE pin_id IS NOT NULL GROUP BY 1, 3),
+t AS (SELECT source, id FROM l JOIN v USING (source) WHERE pins_verified AND tax > 0.07 AND q < 4),
+pi AS (
+  SELECT source, NULL AS item_id, 'invalid_top_snapshot_url' AS code FROM p WHERE pin_id IS NULL
+  UNION ALL SELECT p.source, p.pin_id, 'duplicate_top_snapshot_id' FROM p JOIN f USING (source, pin_id) WHERE p.ord > f.ord
+  UNION ALL SELECT source, id, 'top_snapshot_item_mismatch' FROM t WHERE (source, id) NOT IN (SELECT source, pin_id FROM f))
+"""
+
+
+def _pins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source"), F.col("l_partkey").cast("string").alias("item_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pin_ord"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.col("l_tax").alias("tax"))
+    verified = l.groupBy("source").agg((F.avg("q") > 25.5).alias("pins_verified"))
+    pins = l.where("q < 3").select("source", "pin_ord", F.when((F.col("d") < 0.1) | (F.col("source") % 4 != 3), F.col("item_id")).alias("pin_id"))
+    return verified, pins, l.where("q < 4").select("source", "item_id", (F.col("tax") > 0.07).alias("pinned"))
+
+
+@query(f"WITH {PINS} SELECT source, item_id, code, false AS fatal FROM pi")
+def snapshot_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-03: the three codes of pinned-list snapshots: wrong addresses, repeated ids, pinned items the snapshot lacks."""
+    return V.snapshot_issues(*_pins(spark, sf_dir))
+
+
+@query(f"WITH {PINS} SELECT source, pins_verified AND source NOT IN (SELECT source FROM pi) AS pins_verified FROM v")
+def snapshot_revoked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-03: a source whose snapshot has a fault no longer counts as verified."""
+    verified, pins, items = _pins(spark, sf_dir)
+    return V.revoke_snapshots(verified, V.snapshot_issues(verified, pins, items)).select("source", "pins_verified")
+
+
 @query(f"WITH {RESULTS} SELECT DISTINCT source FROM res WHERE write_safe AND source NOT IN (SELECT source FROM si WHERE code NOT IN ('atomic_snapshot_unavailable', 'duplicate_source')) AND source NOT IN (SELECT source FROM si WHERE code = 'duplicate_source')")
 def safe_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-04, FLT-05: sources that may be written; here a repeated source counts as its own fault only."""
@@ -91,11 +126,15 @@ def safe_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.safe_sources(res, own)
 
 
-@query(f"WITH {RESULTS} SELECT source FROM res WHERE false")
+@query(f"""
+WITH {RESULTS}, fatal AS (SELECT DISTINCT source, code FROM si WHERE code <> 'atomic_snapshot_unavailable'), g AS (SELECT count(*) > 0 AS stopped FROM fatal WHERE code IN ('duplicate_source', 'cross_source_url_collision')),
+o AS (SELECT source, bool_or(write_safe) AS write_safe, source IN (SELECT source FROM fatal) AS faulty FROM res GROUP BY 1)
+SELECT source, faulty, stopped, write_safe AND NOT faulty AND NOT stopped AS safe FROM o, g
+""")
 def global_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-05: a fatal global code leaves no source safe."""
+    """FLT-05: which sources have faults of their own, and whether a fatal global code, as a repeated source is, stops all."""
     res, expected, previous = results(spark, sf_dir)
-    return V.safe_sources(res, V.source_issues(res, expected, previous))
+    return V.source_safety(res, V.source_issues(res, expected, previous))
 
 
 @query("SELECT r_name AS name, 'missing' AS side FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation WHERE n_nationkey % 5 <> 2) UNION ALL SELECT DISTINCT n_name, 'unexpected' FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 3)")
