@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK = 4_096  # numbers of a source that are sorted together
+
 
 def page_signatures(rows: DataFrame, keys: list[str], fields: list[str], order: str) -> DataFrame:
     """One row per page: a hash of its rows' fields in list order, and whether an earlier page of the source had it."""
@@ -27,13 +29,35 @@ def backfill_window(rows: DataFrame, known: DataFrame, source: str, key: str, or
     return unknown.withColumn("nth", nth).where(F.col("nth") <= limit + 1).withColumn("nth", F.col("nth").cast("bigint")).withColumn("read", F.col("nth") <= limit)
 
 
-def checkpoint_overlap(pages: DataFrame, source: str, page: str) -> DataFrame:
+def trailing_runs(rows: DataFrame, source: str, at: str, good: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """Adds how many rows in a row, up to and with each, are good, in the order of `at`, a whole number that is unique in its
+    source. It is a row's place less that of the last row that is not good. Both are summed by blocks of `at`, so that no
+    sort has more than `block` rows of a source: within blocks, over the blocks of a block of blocks, and over these, of
+    which a source has one for `block` * `block` numbers."""
+    part = lambda size: F.floor(F.col(at) / size)
+    x = rows.select("*", F.coalesce(good, F.lit(False)).alias("_good"), part(block * block).alias("_over"), part(block).alias("_block"))
+    own = Window.partitionBy(source, "_over", "_block").orderBy(at)
+    x = x.withColumn("_nth", F.row_number().over(own)).withColumn("_bad", F.max(F.when(~F.col("_good"), F.col("_nth"))).over(own))
+
+    def before(sums: DataFrame, keys: list[str], order: str, n: str, bad: str) -> DataFrame:
+        """sums(_n, _last): rows, and the place of the last bad one. The same of all blocks before each."""
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        y = sums.withColumn(n, F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        return y.withColumn(bad, F.max(F.col(n) + F.col("_last")).over(earlier))
+
+    blocks = x.groupBy(source, "_over", "_block").agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(~F.col("_good"), F.col("_nth"))).alias("_last"))
+    blocks = before(blocks, [source, "_over"], "_block", "_n1", "_bad1")
+    overs = blocks.groupBy(source, "_over").agg(F.sum("_n").alias("_n"), F.max(F.col("_n1") + F.col("_last")).alias("_last"))
+    overs = before(overs, [source], "_over", "_n2", "_bad2").select(source, "_over", "_n2", "_bad2")
+    x = x.join(blocks.join(overs, [source, "_over"]).select(source, "_over", "_block", "_n1", "_bad1", "_n2", "_bad2"), [source, "_over", "_block"])
+    last = F.coalesce(F.col("_n2") + F.col("_n1") + F.col("_bad"), F.col("_n2") + F.col("_bad1"), F.col("_bad2"), F.lit(0))
+    return x.select(*rows.columns, (F.col("_n2") + F.col("_n1") + F.col("_nth") - last).alias(name))
+
+
+def checkpoint_overlap(pages: DataFrame, source: str, page: str, block: int = BLOCK) -> DataFrame:
     """pages(source, page, known, unknown: counts of rows): for each page how many pages in a row, up to it, have a known
     row and no unknown one. Two or more close an incremental scan."""
-    good = (F.col("known") > 0) & (F.col("unknown") == 0)
-    w = Window.partitionBy(source).orderBy(page)
-    broken = F.sum((~good).cast("int")).over(w)
-    return pages.withColumn("run", broken).withColumn("overlap", F.sum(good.cast("bigint")).over(Window.partitionBy(source, "run").orderBy(page))).drop("run")
+    return trailing_runs(pages, source, page, (F.col("known") > 0) & (F.col("unknown") == 0), "overlap", block)
 
 
 def totals_satisfied(rows: DataFrame, source: str, key: str, pinned: str, declared: DataFrame) -> DataFrame:
