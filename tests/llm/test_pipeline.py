@@ -100,6 +100,46 @@ def test_near_stage_finds_copies_by_their_original(spark, tmp_path):
     assert sorted(r.doc_id for r in got) == [d for i, (d, _) in enumerate(docs) if root[i] == i]
 
 
+@pytest.mark.parametrize("pairs", [40, 300, 1_200])
+def test_near_stage_finds_pairs_that_share_a_passage_with_all(spark, tmp_path, pairs):
+    """Every text has one long passage; a pair has a part of its own words in common, and is alike by that alone."""
+    rng = np.random.default_rng(pairs)
+    passage, docs = [f"p{i}" for i in range(200)], []
+    for g in range(pairs):
+        own = [f"g{g}w{i}" for i in range(32)]
+        docs.append(" ".join(passage + own))
+        docs.append(" ".join(passage + own[:16] + [f"h{g}w{i}" for i in range(16)]))
+    sets = [shingle_set(t) for t in docs]
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert like(sets[0], sets[1]) > 0.85 and like(sets[0], sets[2]) < 0.8 and like(sets[1], sets[3]) < 0.8
+    order = rng.permutation(len(docs))
+    spark.createDataFrame([(int(i) + 1, docs[i]) for i in order], "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    got = {r.doc_id for r in P.near(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path)).collect()}
+    found = sum(2 * g + 2 not in got for g in range(pairs))
+    assert all(2 * g + 1 in got for g in range(pairs)) and found >= 0.99 * pairs
+
+
+def test_near_stage_on_templates_of_many_kinds(spark, tmp_path):
+    """Texts out of shared passages of several lengths and own words, some of them edited copies: the same as brute force."""
+    rng, docs = np.random.default_rng(31), []
+    passages = [[f"q{p}w{i}" for i in range(int(rng.integers(40, 220)))] for p in range(4)]
+    for _ in range(260):
+        words = [w for p in rng.permutation(4)[: rng.integers(1, 3)] for w in passages[p]]
+        words += [f"o{rng.integers(0, 4_000)}" for _ in range(int(rng.integers(0, 40)))]
+        docs.append(words)
+    for _ in range(240):
+        words = list(docs[rng.integers(0, len(docs))])
+        for at in rng.integers(0, len(words), int(rng.integers(0, 6))):
+            words[at] = f"e{rng.integers(0, 50)}"
+        docs.append(words)
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs, 1)]
+    root = jaccard_components([t for _, t in docs])
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/d")
+    got = sorted(r.doc_id for r in P.near(spark, spark.read.parquet(f"{tmp_path}/d"), str(tmp_path)).collect())
+    want = [d for i, (d, _) in enumerate(docs) if root[i] == i]
+    assert set(want) <= set(got) and len(got) - len(want) <= 0.01 * (len(docs) - len(want))
+
+
 def test_secret_stage(steps):
     from tidemark.llm.secrets import base_spans, mask
 

@@ -32,7 +32,9 @@ PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
 BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
-ROUNDS, LEADS = 2, 8  # further rounds of proposals within groups of equal samples, and leads of a group in each
+ROUNDS, LEADS = 2, 8  # further rounds of proposals within large groups of equal samples, and leads of a group in each
+GROUP = 32  # members of a group that are compared with each other; larger groups are split by rare shingles, and led
+COUNTERS = 1 << 24  # of the sketch of how frequent shingles are, at most (32 MB)
 
 
 def shingles(raw: bytes, words: int) -> np.ndarray:
@@ -205,6 +207,41 @@ def _samples_of(u: np.ndarray, turn: np.ndarray) -> np.ndarray:
     return ((a & b) | (a & c) | (b & c)) ^ (turn[:, 0] * np.uint64(0xA0761D6478BD642F))  # majority; told apart by turn
 
 
+def _counter(h: np.ndarray, counters: int) -> np.ndarray:
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - counters.bit_length())).astype(np.int64)
+
+
+def shingle_counts(spelt: DataFrame, most: int = COUNTERS) -> np.ndarray:
+    """spelt(shingles: binary): how many sets hold a shingle, at least so many as do, in counters that shingles share by hash:
+    four for each shingle, or `most`. Added up in Spark by blocks; the order they give is one order, however full they are."""
+    total = int(spelt.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) // 8
+    counters = min(most, 1 << max(16, (4 * total).bit_length()))
+    step, top = 1 << 15, np.iinfo(np.uint16).max
+
+    def count(batches):
+        own = np.zeros(counters, np.uint32)
+        for b in batches:
+            for x in b.column("shingles"):
+                x = np.frombuffer(x.as_py(), np.uint64)
+                for i in range(0, len(x), 1 << 20):
+                    np.add.at(own, _counter(x[i : i + (1 << 20)], counters), 1)
+        for i in range(0, counters, step):
+            if own[i : i + step].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // step], pa.int32()), pa.array([np.minimum(own[i : i + step], top).astype("<u2").tobytes()], pa.binary())], names=["block", "counts"])
+
+    def add(blocks: pa.Table) -> pa.Table:
+        own = np.zeros(step, np.uint32)
+        for x in blocks.column("counts"):
+            own = np.minimum(own + np.frombuffer(x.as_py(), "<u2"), top)
+        return pa.table({"block": blocks.column("block").slice(0, 1), "counts": pa.array([own.astype("<u2").tobytes()], pa.binary())})
+
+    told = spelt.select("shingles").mapInArrow(count, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()  # 2 * COUNTERS bytes at most
+    out = np.zeros(counters, np.uint16)
+    for block, x in zip(told.column("block").to_pylist(), told.column("counts"), strict=True):
+        out[block * step : (block + 1) * step] = np.frombuffer(x.as_py(), "<u2")
+    return out
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of every group of more than one document: doc_id, text_hash, stays. Documents are linked if their sets of
     shingles have a Jaccard similarity of at least `similarity`; of those that links join, the smallest id stays (null ids
@@ -212,11 +249,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
     A whole document's fingerprint moves by about ten bits at a similarity of 0.8, where a vantage-point tree prunes
     nothing; so the tree finds what lies within `radius` bits, and fingerprints of samples, equal bit by bit, find the
-    rest: at 0.8 one pair in three thousand shares none of twelve. A group of equal samples proposes its members against
-    its leads, never all pairs: at first its smallest hash and the member whose samples reach most others (the text that
-    the others are copies of), then, in `rounds` more, leads drawn by hash, and only members not yet joined to them. Every
-    proposal is settled on the two sets of shingles, so none is wrong; what no lead is like may be missed, and the README
-    has the measured recall.
+    rest: at 0.8 one pair in three thousand shares none of twelve. Within a group of equal samples all members are first
+    proposed to two leads, its smallest hash and the member whose samples reach most others (the text that the others are
+    copies of). Where that has not joined a group of at most `GROUP` members, all pairs of it are proposed that are not
+    joined yet. Larger groups, which a passage makes that many texts share, are split by a second key. Shingles are put in
+    one order, rare ones first; two sets of the similarity s have one in common among the first (1-s) of each, so every
+    such shingle is a key. One that at most `GROUP` texts have proposes all its pairs, and a more frequent one its leads:
+    the least set (if two texts are alike by what is common to all alone, the least set is like both), and the one that
+    reaches most. In `rounds` rounds leads drawn by hash are proposed as well. Every proposal is settled on the two sets of
+    shingles, so no link is wrong. A link can be missed between texts that share no sample, or none but frequent shingles
+    in front and no lead.
 
     Texts without a word are alike; equal texts are one node."""
     spark = docs.sparkSession
@@ -241,7 +283,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch.table(keyed.join(scratch.shuffled(scratch.table(many, "many")), "key"), "members")
     reach = scratch.table(members.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("reach")), "reach")
-    members = scratch.table(members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "u", "size", "reach"), "reached")
+    members = scratch.table(members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "n", "u", "size", "reach"), "reached")
     near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
     near = scratch.table(near, "near")
     need = scratch.table(members.select(F.col("u").alias("hash")).union(near.select(F.explode(F.array("u", "v")))).distinct(), "need")
@@ -279,14 +321,55 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         told = members.join(scratch.shuffled(led), "key").where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
         return told.select("u", F.col("v.u").alias("v"))
 
+    def paired(members: DataFrame) -> DataFrame:
+        """All pairs within groups of at most GROUP members, where labels differ and sizes allow the similarity."""
+        open_groups = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"n BETWEEN 2 AND {GROUP} AND low <> high").select("key")
+        own = members.join(scratch.shuffled(open_groups), "key", "left_semi").select("key", F.struct("u", "size", "label").alias("m"))
+        groups = own.groupBy("key").agg(F.collect_list("m").alias("all"))  # GROUP members at most
+        pairs = groups.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.filter("all", lambda y: y["u"] > F.col("a.u"))).alias("b"))
+        return pairs.where((F.col("a.label") != F.col("b.label")) & (F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size"))).select(F.col("a.u").alias("u"), F.col("b.u").alias("v"))
+
+    def rare_keys(texts: DataFrame) -> DataFrame:
+        """texts(u): for each the shingles that stand in front in one order of all, rare ones first; without those that no
+        other text has. Two sets of the similarity have one of theirs in common."""
+        mine = spelt.join(scratch.shuffled(texts), F.col("hash") == F.col("u"), "left_semi").select("hash", "shingles")
+        counts = shingle_counts(mine)
+        shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
+
+        def front(batches):
+            for b in batches:
+                for i in range(0, len(b), 256):
+                    part = b.slice(i, 256)
+                    out = []
+                    for x in part.column("shingles"):
+                        x = np.frombuffer(x.as_py(), np.uint64)
+                        n = shared.value[_counter(x, len(shared.value))]
+                        first = np.lexsort((x, n))[: len(x) - math.ceil(similarity * len(x) - 1e-9) + 1]
+                        out.append(x[first[n[first] > 1]])
+                    ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+                    keys = np.concatenate([np.empty(0, np.uint64), *out]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([part.column("hash"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], names=["u", "keys"])
+            give_back()
+
+        return mine.mapInArrow(front, "u long, keys array<long>").select("u", F.explode("keys").alias("key"))
+
     who, alone = F.struct("u", "size", "label"), members.withColumn("label", F.col("u"))
-    links = settled(proposed(alone, [F.min_by(who, "u"), F.max_by(who, F.struct("reach", "u"))], "first").unionByName(near), "first")
+    leads = [F.min_by(who, "u"), F.max_by(who, F.struct("reach", "u"))]
+    links = settled(proposed(alone, leads, "first").unionByName(near), "first")
     for turn in range(rounds):
         own = scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}")
-        joined = members.join(scratch.shuffled(own), F.col("u") == F.col("node"), "left").select("key", "u", "size", F.coalesce("root", "u").alias("label"))
+        joined = members.join(scratch.shuffled(own), F.col("u") == F.col("node"), "left").select("key", "n", "u", "size", "reach", F.coalesce("root", "u").alias("label"))
         joined = scratch.table(joined, f"members-{turn}")
-        leads = [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)]
-        links = links.unionByName(settled(proposed(joined, leads, str(turn)), str(turn)))
+        large = joined.where(F.col("n") > GROUP).drop("n")
+        more = proposed(large, [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)], str(turn))
+        if turn == 0:
+            unsettled = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+            texts = scratch.table(large.join(scratch.shuffled(unsettled), "key", "left_semi").select("u", "size", "reach", "label").distinct(), "texts")
+            keyed = scratch.table(rare_keys(texts.select("u")).join(scratch.shuffled(texts), "u"), "rare")
+            frequent = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key")
+            led = keyed.join(scratch.shuffled(scratch.table(frequent, "frequent")), "key", "left_semi")
+            more = more.unionByName(paired(joined.where(F.col("n") <= GROUP))).unionByName(paired(keyed)).unionByName(proposed(led, [F.min_by(who, F.struct("size", "u")), leads[1]], "rare"))
+        links = links.unionByName(settled(more, str(turn)))
     roots = components(links, scratch)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
     groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
