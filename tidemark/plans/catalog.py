@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, changes, html, lookups, records, reports, scalars, scans, states, validation  # noqa: F401  they enter their queries
+from . import blocks, changes, html, lookups, paged, records, reports, scalars, scans, states, validation  # noqa: F401  they enter their queries
 from .registry import ORACLE, QUERIES
 
 
