@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -608,6 +609,31 @@ def test_exact_dedup(spark, awkward, empty, documents, sf):
     check_exact(rows(exact_dedup(awkward, bits=64)), AWKWARD)  # and one with false alarms
 
 
+def test_bitmap_follows_the_number_of_hashes(spark):
+    from tidemark.llm.common import BLOCK_BITS, bitmap, possible
+
+    h = spark.range(300_000).select(F.xxhash64("id").alias("h"))
+    marks = bitmap(h)
+    assert 8 * len(marks) >= 8 * 300_000 and bitmap(h, BLOCK_BITS) is None
+    assert 8 * len(bitmap(h.limit(5))) == 1 << 20
+    others = spark.range(300_000, 400_000).select(F.xxhash64("id").alias("h"))
+    assert h.where(possible(spark, marks, F.col("h"))).count() == 300_000 and others.where(possible(spark, marks, F.col("h"))).count() < 25_000
+
+
+def test_language_sample_is_bounded_where_rows_share_an_id(spark):
+    """One id, and one row, that stand there very often: no more than the share of a language is learned from."""
+    from tidemark.llm import langid
+
+    rows = [(1, "one row many times over", "aa")] * 3_000 + [(1, f"text of many kinds {i}", "bb") for i in range(3_000)] + [(i, f"andere rede {i}", "cc") for i in range(2, 60)]
+    seen, fit = [], langid.FtrlSoftmax.step
+    langid.FtrlSoftmax.step = lambda self, *a: (seen.append(a[2]), fit(self, *a))[1]
+    try:
+        langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), 90, 1)
+    finally:
+        langid.FtrlSoftmax.step = fit
+    assert len(seen) <= 90 and {0, 1, 2} >= set(seen) >= {1, 2}
+
+
 def test_components_that_do_not_converge_are_told(spark):
     from tidemark.llm.common import Scratch
     from tidemark.llm.components import components

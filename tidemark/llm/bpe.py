@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import Scratch, parts, two
+from .common import Scratch, owners_of, two
 from .tokens import BYTE_PATTERN, SETTLED, SPACES, byte_names
 from .wordcodes import code_words, unpack_codes, unpack_words
 
@@ -135,7 +135,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     scratch = Scratch(docs.sparkSession, "bpe")
     raw = two(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("raw"), F.lit(False).alias("flag"))
-    owners = parts(docs.sparkSession)
+    owners = owners_of(docs)
     coded, messages = code_words(raw, words_of, scratch, owners=owners)
     answers = messages.groupBy("owner").applyInArrow(_encode(path), "chunk long, owner int, blob binary")
     found = coded.select("chunk", "doc_id", "codes").groupBy("chunk").cogroup(answers.groupBy("chunk"))

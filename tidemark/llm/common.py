@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: A bitmap of hashes has so many bits (8 MB), whatever the data; one that is a quarter full tells too little to be used.
-BITS, BLOCK_BITS = 1 << 26, 1 << 15
+#: A bitmap has eight bits for each hash, and so many at most (64 MB, for 134 million hashes at a quarter full; a fuller one
+#: tells too little to be used).
+BITS, BLOCK_BITS = 1 << 29, 1 << 15
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -88,9 +89,10 @@ def sweep(spark: SparkSession, hours: float = 48) -> int:
     return len(old)
 
 
-def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray | None:
-    """hashes: one column of longs. A bitmap of them, built in blocks by Spark; None if it is too full to be of use, so that
-    all rows count as possible. Its size is fixed, so it can be handed to every task."""
+def bitmap(hashes: DataFrame, most: int = BITS) -> np.ndarray | None:
+    """hashes: one column of longs. A bitmap of them, built in blocks by Spark, of a size that follows their number, up to
+    `most` bits; None if it is too full to be of use, so that all rows count as possible."""
+    bits = max(BLOCK_BITS, min(most, 1 << max(20, (8 * hashes.count()).bit_length())))
 
     def pack(group: pa.Table) -> pa.Table:
         marks = np.zeros(BLOCK_BITS, np.uint8)
@@ -106,11 +108,11 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray | None:
     return out.ravel() if 4 * int(np.bitwise_count(out).sum()) <= bits else None
 
 
-def possible(spark: SparkSession, marks: np.ndarray | None, h: Column, bits: int = BITS) -> Column:
+def possible(spark: SparkSession, marks: np.ndarray | None, h: Column) -> Column:
     """Whether a hash may be among those of the bitmap: true for all of them, and for one in four others at most."""
     if marks is None:
         return F.lit(True)
-    shared = spark.sparkContext.broadcast(marks)  # BITS / 8 bytes
+    shared, bits = spark.sparkContext.broadcast(marks), 8 * len(marks)  # BITS / 8 bytes at most
 
     @F.arrow_udf("boolean")
     def found(at: pa.Array) -> pa.Array:
@@ -132,6 +134,12 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def owners_of(docs: DataFrame, rows: int = 1_000_000) -> int:
+    """How many owners what tasks exchange is dealt to: as many as there are shuffle partitions, or more, so that no owner
+    answers for over so many documents on average. The rows are counted, which a table's files tell without their texts."""
+    return max(parts(docs.sparkSession), -(-docs.count() // rows))
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BITS, Scratch, bitmap, parts, possible, two
+from .common import BITS, Scratch, bitmap, owners_of, possible, two
 
 SPACE = b" \t\n\x0b\x0c\r"
 FP_BITS = 48
@@ -103,7 +103,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the text without white space), text_hash, XXH64
     of the text as it is, and stays: kept, and of rows that share the id that stays, with the text that stays."""
     spark = docs.sparkSession
-    scratch, owners = Scratch(spark, "exact"), owners or parts(spark)
+    scratch, owners = Scratch(spark, "exact"), owners or owners_of(docs)
     rows = two(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     raw = rows.select("doc_id", "text_hash", F.length("text").cast("long").alias("n_chars"), F.col("text").cast("binary").alias("raw"))
     sent = scratch.table(raw.mapInArrow(_send(owners), SENT), "sent")
@@ -113,7 +113,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     suspects = flagged.where("suspect")
     bare = F.translate("text", SPACE.decode(), "").alias("bare")
     told = suspects.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "n_chars", "fp", "sha").distinct()
-    likely = rows.where(possible(spark, bitmap(suspects.select("text_hash"), bits), F.col("text_hash"), bits))
+    likely = rows.where(possible(spark, bitmap(suspects.select("text_hash"), bits), F.col("text_hash")))
     texts = likely.join(scratch.shuffled(told), likely.doc_id.eqNullSafe(told.id) & (likely.text_hash == told.hash)).select("doc_id", "text_hash", "n_chars", "fp", "sha", bare)
     groups = texts.groupBy("fp", "bare").agg(F.min(F.struct((-F.col("n_chars")).alias("x"), "doc_id", "text_hash")).alias("best"), F.count(F.lit(1)).alias("group_size"), F.min("sha").alias("sha"))
     groups = scratch.table(groups.select("fp", "sha", F.col("best.doc_id").alias("keep_id"), F.col("best.text_hash").alias("keep_hash"), "group_size"), "groups")

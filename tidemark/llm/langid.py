@@ -3,7 +3,7 @@ by follow-the-regularised-leader with elastic-net penalties, then calibrated by
 
 Texts are lower-cased; runs of anything but letters become one space; n-grams of one to three characters are hashed to
 2^16 features. Document frequencies come from all training documents. The model is fitted on a bounded sample of them
-(`sample_docs`, spread evenly over the languages, picked by a hash of the id), one fifth of which sets the temperature.
+(`sample_docs`, spread evenly over the languages, picked by a hash of id and text), one fifth of which sets the temperature.
 A feature's value is its share of the text's n-grams, times its inverse document frequency, so a whole text of any
 length is scored in one pass over its n-grams.
 
@@ -15,10 +15,11 @@ source and other columns are never looked at by a prediction.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,8 +150,13 @@ def train(docs: DataFrame, sample_docs: int = 2_000, epochs: int = 3, id_col: st
     at, num = df.column("feature").to_numpy(), df.column("df").to_numpy()
     idf = np.full(SIZE, np.log(1.0 + num[at == -1][0]) + 1)
     idf[at[at >= 0]] = np.log((1.0 + num[at == -1][0]) / (1.0 + num[at >= 0])) + 1
-    limit = F.create_map(*[F.lit(v) for x in langs for v in (x, int(min(1.0, share / sizes[x]) * (1 << 30)))])
-    picked = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < limit[F.col("lang")])
+    # by a hash of id and text, so that rows which share an id do not share their fate; twice the share of a language, of which
+    # the first by that hash are kept: a bound that also holds where one row stands there very often
+    limit = F.create_map(*[F.lit(v) for x in langs for v in (x, int(min(1.0, 2 * share / sizes[x]) * (1 << 30)))])
+    turn = F.xxhash64("doc_id", "text", F.lit(17))
+    picked = rows.withColumn("turn", turn).where(F.pmod("turn", F.lit(1 << 30)) < limit[F.col("lang")])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id"))
+    picked = picked.withColumn("nth", first).where(F.col("nth") <= math.ceil(share))
     sample = picked.select("doc_id", "lang", "text").mapInArrow(_features, "doc_id long, lang string, idx binary, num binary").toArrow()
     data = []
     for d, lang, i, n in sorted(zip(*(sample.column(c).to_pylist() for c in ("doc_id", "lang", "idx", "num")), strict=True), key=lambda x: (x[0] is None, x[0], x[1])):
