@@ -32,7 +32,7 @@ PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
 BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
-ROUNDS, LEADS = 2, 8  # further rounds of proposals within large groups of equal samples, and leads of a group in each
+ROUNDS, LEADS = 1, 2  # further rounds of proposals within large groups of equal samples, and leads of a group in each
 GROUP = 32  # members of a group that are compared with each other; larger groups are split by rare shingles, and led
 COUNTERS = 1 << 24  # of the sketch of how frequent shingles are, at most (32 MB)
 
@@ -249,14 +249,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
     A whole document's fingerprint moves by about ten bits at a similarity of 0.8, where a vantage-point tree prunes
     nothing; so the tree finds what lies within `radius` bits, and fingerprints of samples, equal bit by bit, find the
-    rest: at 0.8 one pair in three thousand shares none of twelve. Within a group of equal samples all members are first
-    proposed to two leads, its smallest hash and the member whose samples reach most others (the text that the others are
-    copies of). Where that has not joined a group of at most `GROUP` members, all pairs of it are proposed that are not
-    joined yet. Larger groups, which a passage makes that many texts share, are split by a second key. Shingles are put in
+    rest: at 0.8 one pair in three thousand shares none of twelve. Within a group of equal samples the lead is the
+    member whose samples reach most others (the text that the others are copies of), and every text is first proposed to
+    the widest lead of its groups. Where that has not joined a group of at most `GROUP` members, all pairs of it are
+    proposed that are not joined yet. Larger groups, which a passage makes that many texts share, are split by a second key. Shingles are put in
     one order, rare ones first; two sets of the similarity s have one in common among the first (1-s) of each, so every
     such shingle is a key. One that at most `GROUP` texts have proposes all its pairs, and a more frequent one its leads:
     the least set (if two texts are alike by what is common to all alone, the least set is like both), and the one that
-    reaches most. In `rounds` rounds leads drawn by hash are proposed as well. Every proposal is settled on the two sets of
+    reaches most. Leads of large groups are proposed as well, with some that are drawn by hash. Every proposal is settled on the two sets of
     shingles, so no link is wrong. A link can be missed between texts that share no sample, or none but frequent shingles
     in front and no lead.
 
@@ -319,7 +319,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         led = members.groupBy("key").agg(F.array_distinct(F.array(*leads)).alias("leads"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         led = scratch.table(led.select("key", F.explode("leads").alias("v")), f"leads-{name}")
         told = members.join(scratch.shuffled(led), "key").where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
-        return told.select("u", F.col("v.u").alias("v"))
+        return told.select("u", F.col("v.u").alias("v"), F.col("v.reach").alias("v_reach"))
 
     def paired(members: DataFrame) -> DataFrame:
         """All pairs within groups of at most GROUP members, where labels differ and sizes allow the similarity."""
@@ -353,22 +353,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
         return mine.mapInArrow(front, "u long, keys array<long>").select("u", F.explode("keys").alias("key"))
 
-    who, alone = F.struct("u", "size", "label"), members.withColumn("label", F.col("u"))
-    leads = [F.min_by(who, "u"), F.max_by(who, F.struct("reach", "u"))]
-    links = settled(proposed(alone, leads, "first").unionByName(near), "first")
+    who = F.struct("u", "size", "label", "reach")
+    far = F.max_by(who, F.struct("reach", "u"))  # the member whose samples reach most others
+    begun = proposed(members.withColumn("label", F.col("u")), [far], "first")
+    begun = begun.groupBy("u").agg(F.max_by("v", F.struct("v_reach", "v")).alias("v"))  # the widest lead of each text
+    links = settled(begun.unionByName(near), "first")
     for turn in range(rounds):
         own = scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}")
         joined = members.join(scratch.shuffled(own), F.col("u") == F.col("node"), "left").select("key", "n", "u", "size", "reach", F.coalesce("root", "u").alias("label"))
         joined = scratch.table(joined, f"members-{turn}")
         large = joined.where(F.col("n") > GROUP).drop("n")
-        more = proposed(large, [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)], str(turn))
+        leads = [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)]
+        more = proposed(large, [far, *leads], str(turn)).select("u", "v")
         if turn == 0:
             unsettled = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
             texts = scratch.table(large.join(scratch.shuffled(unsettled), "key", "left_semi").select("u", "size", "reach", "label").distinct(), "texts")
             keyed = scratch.table(rare_keys(texts.select("u")).join(scratch.shuffled(texts), "u"), "rare")
             frequent = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key")
             led = keyed.join(scratch.shuffled(scratch.table(frequent, "frequent")), "key", "left_semi")
-            more = more.unionByName(paired(joined.where(F.col("n") <= GROUP))).unionByName(paired(keyed)).unionByName(proposed(led, [F.min_by(who, F.struct("size", "u")), leads[1]], "rare"))
+            more = more.unionByName(paired(joined.where(F.col("n") <= GROUP))).unionByName(paired(keyed)).unionByName(proposed(led, [F.min_by(who, F.struct("size", "u")), far], "rare").select("u", "v"))
         links = links.unionByName(settled(more, str(turn)))
     roots = components(links, scratch)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
