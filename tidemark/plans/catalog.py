@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, changes, digests, html, lookups, paged, records, reports, runs, scalars, scans, states, trees, validation  # noqa: F401  they enter their queries
+from . import blocks, changes, digests, html, lookups, paged, records, reports, runs, scalars, scans, states, trees, validation, variants  # noqa: F401  they enter their queries
 from .registry import ORACLE, QUERIES
 
 
