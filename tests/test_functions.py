@@ -82,6 +82,23 @@ def test_canonical_url():
     assert urls.canonical_one("https://a.h.com/", ("h.com",)) and not urls.canonical_one("https://ah.com/", ("h.com",))
 
 
+ADDRESSES = ["http://H.com:80/a b?b=2&a=1&page=3#f", None, "", "ftp://h/", "https://u@h/", "https://h:99999/", "https://h:8080/", "HTTPS://A.h.com", "http://h/%41?x=%zz&y=a+b&=v&k", "https://h?q=é~*-_.!&ref=1", " https://h:443/p;v=1/é/~x\t", "https://h/?a=2&a=1&b", "http:///x", "https://[::1]/x", "https://h/a+b%2Bc", "https://h:x/"]
+
+
+def test_canonical_column_equals_the_plain_form(spark):
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(ADDRESSES)], "i int, u string")
+    assert [r.x for r in df.select("i", urls.canonical(F.col("u")).alias("x")).orderBy("i").collect()] == [urls.canonical_one(u) for u in ADDRESSES]
+    hosts = df.select("i", urls.canonical(F.col("u"), ("h.com",)).alias("x")).orderBy("i").collect()
+    assert [r.x for r in hosts] == [urls.canonical_one(u, ("h.com",)) for u in ADDRESSES]
+
+
+def test_links_column_equals_the_plain_form(spark):
+    texts = ["see (https://h/a). www.b.c, end", None, "", "no link", "https://a.b https://c.d", "http://x.y/?q=1;)", "<a href='https://h/x'>www.z.w</a>", "a\u3000http://k.l\u3000b", "xhttps://in.word/y.", "www.only"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [[p.asDict() for p in r.x] for r in df.select("i", urls.text_with_links(F.col("t")).alias("x")).orderBy("i").collect()]
+    assert got == [urls.split_links(t) for t in texts]
+
+
 def test_public_address():
     assert [urls.is_public(a) for a in ("8.8.8.8", "10.0.0.1", "::1", "x", None)] == [True, False, False, False, False]
 

@@ -1,4 +1,5 @@
-"""Addresses that need a real URL parser, in batches."""
+"""Addresses and links in texts. The functions that end in `_one`, and `split_links`, say the rules in plain Python; the tests hold
+the column functions to them."""
 
 from __future__ import annotations
 
@@ -8,9 +9,13 @@ from collections.abc import Iterator
 from urllib.parse import parse_qsl, quote, urlencode, urlsplit, urlunsplit
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import WS, strip
+from .values import allowed_host
+
 # Query keys that say nothing of what an address is of.
 DROPPED = frozenset({"page", "ref", "utm_source", "utm_medium", "utm_campaign"})
 LINK = re.compile(r"https?://[^\s<>\"']+|www\.[^\s<>\"']+")
@@ -32,10 +37,27 @@ def canonical_one(url: str | None, hosts: tuple[str, ...] = ()) -> str | None:
     return urlunsplit(("https", host, quote(p.path or "/", safe="/%:@!$&'()*+,;=~-._"), urlencode(query), ""))
 
 
-@F.pandas_udf(T.StringType())
-def canonical(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield s.map(canonical_one)
+ADDRESS = r"(?is)^(https?)://(?:([^/?#@]*)@)?(\[[^\]]*\]|[^/?#:@]*)(?::([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+#: Characters of a path that stand as they are, beside letters, digits and `-._`.
+PLAIN = "/:@!$&'()*+,;=~"
+
+
+def canonical(url: Column, hosts: tuple[str, ...] = ()) -> Column:
+    """What `canonical_one` gives, by column functions. A query's escapes that are none are taken as they stand, a pair as a
+    whole."""
+    u = F.regexp_replace(strip(url), "[\t\r\n]", "")
+    part = lambda i: F.regexp_extract(u, ADDRESS, i)
+    host, port, path = F.lower(F.regexp_replace(part(3), r"[\[\]]", "")), part(4), F.coalesce(F.nullif(part(5), F.lit("")), F.lit("/"))
+    told = lambda x: F.coalesce(F.try_url_decode(x), x)
+    pairs = F.transform(F.filter(F.split(part(6), "&"), lambda x: x != ""), lambda x: F.struct(told(F.split_part(x, F.lit("="), F.lit(1))).alias("k"), told(F.regexp_extract(x, "=(.*)$", 1)).alias("v")))
+    spelt = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    query = F.array_join(F.transform(F.array_sort(F.filter(pairs, lambda p: ~p["k"].isin(*DROPPED))), lambda p: F.concat(spelt(p["k"]), F.lit("="), spelt(p["v"]))), "&")
+    for mark, to in ((" ", "%20"), *((c, c) for c in PLAIN), ("%", "%")):  # a blank is written as plus; the sign of escapes comes last
+        path = F.url_encode(path) if mark == " " else path
+        path = F.replace(path, F.lit("+" if mark == " " else f"%{ord(mark):02X}"), F.lit(to))
+    good = u.rlike(ADDRESS) & (host != "") & (part(2) == "") & ((port == "") | port.try_cast("int").isin(80, 443)) & (F.length(url) <= 8192)
+    good = good & allowed_host(host, list(hosts)) if hosts else good
+    return F.when(good, F.concat(F.lit("https://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
 def is_public(address: str | None) -> bool:
@@ -64,8 +86,15 @@ def split_links(text: str | None) -> list[dict]:
     return out + ([{"text": text[at:], "link": None}] if at < len(text) else [])
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("link", T.StringType())])))
-def text_with_links(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """STR-05: texts in parts, with the link of each."""
-    for s in batches:
-        yield s.map(split_links)
+#: A link up to its last character that is no closing punctuation; and two marks that no text has.
+WHOLE_LINK = f"https?://(?=[^{WS[1:-1]}<>\"'])(?:[^{WS[1:-1]}<>\"']*[^{WS[1:-1]}<>\"').,;\\]])?|www\\.[^{WS[1:-1]}<>\"']*[^{WS[1:-1]}<>\"').,;\\]]"
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
+
+
+def text_with_links(text: Column) -> Column:
+    """STR-05: a text as parts (text, link), a link being null or an address; what `split_links` gives, by column functions."""
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), f"({WHOLE_LINK})", f"{OPEN}$1{CLOSE}")
+    parts = F.filter(F.split(marked, f"(?={OPEN})|{CLOSE}"), lambda x: x != "")
+    bare = lambda x: F.replace(x, F.lit(OPEN), F.lit(""))
+    link = lambda x: F.when(x.startswith(OPEN), F.when(bare(x).startswith("http"), bare(x)).otherwise(F.concat(F.lit("https://"), bare(x))))
+    return F.transform(parts, lambda x: F.struct(bare(x).alias("text"), link(x).alias("link")))

@@ -52,9 +52,14 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("page_id", F.col("s.link").alias("url")).agg(F.min("block_ix").alias("block_ix"), F.min_by("s.text", "block_ix").alias("name"))
 
 
-@query()
+@query("""
+WITH p AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN replace(url, '?', '?z=9&a=b%20c&a=b&') ELSE url END AS u FROM pages), q AS (SELECT page_id, regexp_replace(u, '#.*$', '') AS u FROM p),
+s AS (SELECT page_id, 'https://' || lower(regexp_extract(u, '^https?://([^/?#]*)', 1)) || regexp_extract(u, '^https?://[^/?#]*([^?#]*)', 1) AS base, list_sort(list_filter(string_split(replace(regexp_extract(u, '[?](.*)$', 1), '%20', '+'), '&'), lambda x: x <> '' AND split_part(x, '=', 1) NOT IN ('page', 'ref', 'utm_source', 'utm_medium', 'utm_campaign'))) AS kept FROM q)
+SELECT page_id, base || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url FROM s
+""")
 def canonical_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL-01, URL-02: one form of an address: https, lower host, sorted query without tracking keys, no fragment."""
     from ..functions.urls import canonical
 
-    return table(spark, sf_dir, "pages").select("page_id", canonical(F.col("url")).alias("url"))
+    url = F.when(F.col("page_id") % 2 == 0, F.replace("url", F.lit("?"), F.lit("?z=9&a=b%20c&a=b&"))).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", canonical(url).alias("url"))

@@ -234,13 +234,18 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy(F.col("event_type").alias("source")).agg(F.count(F.lit(1)).alias("observed"), F.count_if(F.col("value") > 100).alias("failed"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
 
 
-@query()
+@query("""
+WITH h AS (SELECT page_id, regexp_extract(url, '^https?://([^/]*)', 1) AS host, url FROM pages)
+SELECT page_id, unnest(range(5)) AS ix, unnest(['see (', url, '), or ', 'www.' || host, '.; end']) AS text, unnest([NULL, url, NULL, 'https://www.' || host, NULL]) AS link FROM h
+""")
 def text_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-05, ARR-02: texts in parts with their links."""
     from ..functions.urls import text_with_links
 
-    x = table(spark, sf_dir, "pages").select("page_id", F.posexplode(text_with_links(F.concat(F.lit("see "), "url", F.lit(", end")))).alias("ix", "p"))
-    return x.select("page_id", "ix", "p.text", "p.link")
+    host = F.regexp_extract("url", "^https?://([^/]*)", 1)
+    text = F.concat(F.lit("see ("), "url", F.lit("), or www."), host, F.lit(".; end"))
+    x = table(spark, sf_dir, "pages").select("page_id", F.posexplode(text_with_links(text)).alias("ix", "p"))
+    return x.select("page_id", F.col("ix").cast("bigint").alias("ix"), "p.text", "p.link")
 
 
 @query("SELECT page_id, page_id % 3 = 0 AS public FROM pages")
