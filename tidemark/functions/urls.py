@@ -60,6 +60,20 @@ def canonical(url: Column, hosts: tuple[str, ...] = ()) -> Column:
     return F.when(good, F.concat(F.lit("https://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
+def list_address(host: Column, source: Column, page: int) -> Column:
+    return F.concat(F.lit("https://"), host, F.lit("/list?configFk="), source, F.lit(f"&page={page}"))
+
+
+def detail_address(host: Column, source: Column, item: Column) -> Column:
+    return F.concat(F.lit("https://"), host, F.lit("/"), source, F.lit("/"), item)
+
+
+def official(url: Column, form: str) -> Column:
+    """Source and item of an address that is of a form as a whole, told by the form's two groups; nulls for any other."""
+    whole = url.rlike(f"^{form}$") & ~url.rlike("[\\r\\n]")
+    return F.struct(*(F.when(whole, F.regexp_extract(url, f"^{form}$", i)).alias(name) for i, name in ((1, "source"), (2, "item"))))
+
+
 def is_public(address: str | None) -> bool:
     try:
         return ipaddress.ip_address(address or "").is_global

@@ -86,3 +86,12 @@ def first_seen(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row of each key by order; an aggregate, so a frequent key is reduced before the shuffle."""
     rest = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
+
+
+def details_agree(rows: DataFrame, details: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
+    """List rows with whether their detail was found, and whether it says the same in all fields; an empty detail does not."""
+    d = details.select(*key, *(F.col(f).alias(f"_{f}") for f in fields), F.lit(True).alias("_found"))
+    same = F.lit(True)
+    for f in fields:
+        same = same & (F.col(f) == F.col(f"_{f}"))
+    return rows.join(d, key, "left").select(*rows.columns, F.col("_found").isNotNull().alias("found"), F.coalesce(same, F.lit(False)).alias("agrees"))

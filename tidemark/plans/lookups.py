@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.urls import official
 from ..functions.values import fingerprint
+from ..operators import scans as S
+from ..operators.reports import follows
 from .registry import query, table
 
 
@@ -16,14 +19,15 @@ def detail_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", F.col("c_custkey").isNull().alias("missing"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_linenumber % 2 = 0 AND l_partkey % 3 <> 0 AS agrees FROM lineitem")
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, o_orderkey IS NOT NULL AS found, coalesce(l_linestatus = o_orderstatus AND year(l_shipdate) = year(o_orderdate), false) AS agrees FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+""")
 def fallback_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-06, FLT-12: in a fallback scan, title and date of the detail must equal those of the list row."""
-    l = table(spark, sf_dir, "lineitem")
-    title, date = F.col("l_returnflag"), F.col("l_shipdate")
-    seen_title = F.when(F.col("l_linenumber") % 2 == 0, title).otherwise(F.concat(title, F.lit("?")))
-    seen_date = F.when(F.col("l_partkey") % 3 != 0, date).otherwise(date + F.expr("INTERVAL 1 DAY"))
-    return l.select("l_orderkey", "l_linenumber", (title.eqNullSafe(seen_title) & date.eqNullSafe(seen_date)).alias("agrees"))
+    """SRC-06, FLT-12: in a fallback scan, title and date of the detail must equal those of the list row. Line items are list
+    rows, orders details; a status is a title, a year a date."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_linestatus").alias("title"), F.year("l_shipdate").alias("date"))
+    details = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("title"), F.year("o_orderdate").alias("date"))
+    return S.details_agree(rows, details, ["l_orderkey"], ["title", "date"]).drop("title", "date")
 
 
 @query("SELECT n_name AS source, r_name AS classification, n_nationkey % 2 = 0 AS required FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -65,13 +69,13 @@ def typed_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("event_id", F.array_join(F.transform("p.title", lambda t: t.plain_text), "").alias("title"), F.col("p.select.name").alias("kind"), F.col("p.number").alias("item"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN CAST(page_id % 5 AS VARCHAR) END AS source, CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR) END AS item FROM pages")
+@query("""
+SELECT page_id, CASE WHEN regexp_full_match(url, 'https://[^/]+/[a-z]+/[0-9]+') THEN split_part(url, '/', 4) END AS source, CASE WHEN regexp_full_match(url, 'https://[^/]+/[a-z]+/[0-9]+') THEN split_part(url, '/', 5) END AS item FROM pages
+""")
 def official_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRJ-14: source and id of an address in exactly the official form."""
-    k = F.col("page_id")
-    u = F.concat(F.lit("https://board.example/"), k % 5, F.lit("/detail/"), k, F.when(k % 3 == 0, "").when(k % 3 == 1, "?a=1").otherwise("/"))
-    get = lambda i: F.nullif(F.regexp_extract(u, r"^https://board\.example/(\d+)/detail/(\d+)$", i), F.lit(""))
-    return table(spark, sf_dir, "pages").select("page_id", get(1).alias("source"), get(2).alias("item"))
+    """PRJ-14: source and id of an address in exactly the official form, which here is `https://host/source/id`."""
+    found = official(F.col("url"), r"https://[^/]+/([a-z]+)/(\d+)")
+    return table(spark, sf_dir, "pages").select("page_id", found.alias("f")).select("page_id", "f.source", "f.item")
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN 'image' ELSE 'heading_' || CAST(least(3, turn % 4 + 2) AS VARCHAR) END AS type, CASE WHEN turn % 4 = 3 THEN 'https://h/' || conv_id END AS url FROM conversations")
@@ -110,12 +114,18 @@ def unknown_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.when(known, F.col("n_chars")).alias("attachments"), known.alias("present"), key.rlike("^[0-9]{1,32}$").alias("id_ok"))
 
 
-@query("SELECT o_orderkey, o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 AS follows FROM orders")
+@query("""
+WITH r AS (SELECT DISTINCT user_id AS source, date_diff('day', TIMESTAMP '2024-01-01', ts) AS run_no FROM events), l AS (SELECT *, CASE WHEN run_no % 5 = 4 THEN run_no - 1 ELSE run_no END AS logical FROM r),
+w AS (SELECT *, lag(run_no) OVER v AS run_before, lag(logical) OVER v AS logical_before FROM l WINDOW v AS (PARTITION BY source ORDER BY run_no))
+SELECT source, run_no, coalesce(run_before = run_no - 1 AND logical_before <> logical, false) AS follows FROM w
+""")
 def distinct_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA-02: an observation counts on only if it is of the run before and of another logical run."""
-    k = F.col("o_orderkey")
-    run, logical = F.when(k % 3 == 1, "r1").when(k % 3 == 0, "r0"), F.when(k % 2 == 0, "l1").otherwise("l2")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce((run == "r1") & (logical != "l2"), F.lit(False)).alias("follows"))
+    """STA-02: an observation counts on only if it is of the run before and of another logical run. Days are runs, every fifth
+    a second attempt of the one before."""
+    r = table(spark, sf_dir, "events").select(F.col("user_id").alias("source"), F.datediff(F.to_date("ts"), F.lit("2024-01-01")).cast("bigint").alias("run_no")).distinct()
+    r = r.withColumn("logical", F.when(F.col("run_no") % 5 == 4, F.col("run_no") - 1).otherwise(F.col("run_no")).cast("string"))
+    w = Window.partitionBy("source").orderBy("run_no")
+    return r.select("source", "run_no", follows(F.col("run_no"), F.col("logical"), F.lag("run_no").over(w), F.lag("logical").over(w)).alias("follows"))
 
 
 @query("SELECT page_id, 'https://h/%C3%A9%20' || page_id AS link FROM pages")

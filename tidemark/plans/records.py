@@ -150,11 +150,18 @@ def stable_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", R.stable_json(text).alias("stable"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '3,20,100' ELSE '3,100' END AS ids FROM customer")
+@query("""
+WITH e AS (SELECT user_id, event_type AS k, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS v FROM events),
+x AS (SELECT user_id, v FROM e WHERE k = 'view' EXCEPT SELECT user_id, v FROM e WHERE k = 'click'), y AS (SELECT * FROM x UNION SELECT user_id, v FROM e WHERE k = 'error')
+SELECT u.user_id, CASE WHEN count(y.v) <= 25 THEN coalesce(string_agg(y.v, ',' ORDER BY length(y.v), y.v), '') END AS ids FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN y USING (user_id) GROUP BY 1
+""")
 def pending_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA-07, JON-04: pending ids after a run."""
-    recovered = F.when(F.col("c_custkey") % 2 == 1, F.array(F.lit("20"))).otherwise(F.array().cast("array<string>"))
-    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(R.merge_pending(F.array(F.lit("100"), F.lit("20")), recovered, F.array(F.lit("3"))), ",").alias("ids"))
+    """STA-07, JON-04: pending ids after a run: those of views, without those of clicks, with those of errors; null where there
+    are over twenty-five."""
+    e = table(spark, sf_dir, "events").withColumn("v", F.floor("value").cast("bigint").cast("string"))
+    own = lambda kind: F.collect_set(F.when(F.col("event_type") == kind, F.col("v")))  # noqa: E731  bounded by the limit on pending ids
+    x = e.groupBy("user_id").agg(own("view").alias("old"), own("click").alias("gone"), own("error").alias("new"))
+    return x.select("user_id", F.array_join(R.merge_pending(F.col("old"), F.col("gone"), F.col("new"), 25), ",").alias("ids"))
 
 
 @query("SELECT s_suppkey, sha256('=' || s_suppkey || chr(0) || '=' || s_name || chr(0) || '-') AS operation_id FROM supplier")
@@ -211,14 +218,17 @@ def utc_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.unix_micros(F.try_to_timestamp(text)).alias("us"))
 
 
-@query("SELECT page_id, 'https://board.example/list?configFk=' || page_id || '&page=2' AS list_url, 'https://board.example/detail/' || page_id AS detail_url, page_id % 2 = 0 AS is_detail FROM pages")
+@query("""
+WITH u AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/]+)', 1) AS host, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS source, regexp_extract(url, '^https?://[^/]+/[a-z]+/([0-9]+)', 1) AS id FROM pages)
+SELECT page_id, 'https://' || host || '/list?configFk=' || source || '&page=2' AS list_url, 'https://' || host || '/' || source || '/' || id AS detail_url, url = 'https://' || host || '/' || source || '/' || id AS is_detail FROM u
+""")
 def built_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URL-05, URL-06, FLT-10: addresses built from ids, and told from others by building them again."""
-    k = F.col("page_id")
-    detail = F.concat(F.lit("https://board.example/detail/"), k)
-    given = F.when(k % 2 == 0, detail).otherwise(F.concat(detail, F.lit("?x=1")))
-    rebuilt = F.concat(F.lit("https://board.example/detail/"), F.regexp_extract(given, r"/detail/(\d+)", 1))
-    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("https://board.example/list?configFk="), k, F.lit("&page=2")).alias("list_url"), detail.alias("detail_url"), (given == rebuilt).alias("is_detail"))
+    """URL-05, URL-06, FLT-10: addresses built from host, source and id, and told from others by building them again."""
+    from ..functions import urls as U
+
+    get = lambda i: F.regexp_extract("url", r"^https?://([^/]+)/([a-z]+)/(\d+)", i)
+    detail = U.detail_address(get(1), get(2), get(3))
+    return table(spark, sf_dir, "pages").select("page_id", U.list_address(get(1), get(2), 2).alias("list_url"), detail.alias("detail_url"), (F.col("url") == detail).alias("is_detail"))
 
 
 @query("SELECT lang AS name, min(doc_id) AS doc_id FROM documents GROUP BY 1 ORDER BY 2 LIMIT 3")
