@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 CAP, SIZE, DETAILS, NEAR = 100, 500, 20, 2
 
 #: Rules in the order in which a page is looked at, with the reason that each ends a scan for.
@@ -99,6 +101,7 @@ def scan(pages: DataFrame, rows: DataFrame, known: DataFrame, resume: DataFrame,
         "end": ends,
     }
     x = x.withColumn("rule", F.coalesce(*(F.when(F.coalesce(when[r], F.lit(False)), F.lit(r)) for r in RULES)))
+    x = cut(x.select("source", "page_no", "rule"))  # a row per page, which all that follows asks for
     stop = x.where("rule IS NOT NULL").groupBy("source").agg(F.min(F.struct("page_no", "rule")).alias("stop")).select("source", F.col("stop.page_no").alias("stop"), F.col("stop.rule").alias("rule"))
     sources = x.groupBy("source").agg(F.max("page_no").alias("last_page")).join(stop, "source", "left")
     # pages that ran out without an end: the next one was never answered
