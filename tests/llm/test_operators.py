@@ -90,6 +90,51 @@ def test_language_id_held_out_accuracy(spark, documents):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_ftrl_steps_equal_the_formula_by_coordinate():
+    """Plain loops over features and classes, with the optimum of the penalised sum checked on a grid."""
+    from tidemark.llm.langid import FtrlSoftmax
+
+    rng, model = np.random.default_rng(2), FtrlSoftmax(6, 3)
+    z, n = [[0.0] * 3 for _ in range(7)], [[0.0] * 3 for _ in range(7)]
+
+    def weight(f, c):
+        if abs(z[f][c]) <= model.l1:
+            return 0.0
+        return -(z[f][c] - math.copysign(model.l1, z[f][c])) / ((model.beta + math.sqrt(n[f][c])) / model.alpha + model.l2)
+
+    for _ in range(60):
+        at = rng.choice(7, 4, replace=False)
+        x, y = rng.normal(size=4), int(rng.integers(3))
+        w = {(f, c): weight(f, c) for f in at for c in range(3)}
+        scores = [sum(v * w[f, c] for f, v in zip(at, x, strict=True)) for c in range(3)]
+        total = sum(math.exp(v) for v in scores)
+        for f, v in zip(at, x, strict=True):
+            for c in range(3):
+                g = v * (math.exp(scores[c]) / total - (c == y))
+                z[f][c] += g - (math.sqrt(n[f][c] + g * g) - math.sqrt(n[f][c])) / model.alpha * w[f, c]
+                n[f][c] += g * g
+        model.step(at, x, y)
+    assert np.allclose(model.z, z) and np.allclose(model.n, n) and np.allclose(model.weights(), [[weight(f, c) for c in range(3)] for f in range(7)])
+    f, c = 3, 1  # the weight is where z w + l1 |w| + (curvature + l2) w^2 / 2 is least
+    curve = (model.beta + math.sqrt(n[f][c])) / model.alpha + model.l2
+    grid = np.linspace(-3, 3, 60_001)
+    assert abs(grid[np.argmin(z[f][c] * grid + model.l1 * np.abs(grid) + curve * grid**2 / 2)] - weight(f, c)) < 1e-3
+
+
+def test_language_scores_equal_the_formula():
+    """n-grams by slices of the text, hashed one at a time; the score is the calibrated probability."""
+    from tidemark.llm import langid
+
+    rng = np.random.default_rng(4)
+    model = langid.LanguageModel(["aa", "bb", "cc"], rng.normal(0, 1, (langid.SIZE, 3)), np.array([0.1, 0.0, -0.2]), 1.7)
+    for text in ("Ein kurzer Text, 12!", "x", "été à la plage " * 30):
+        h = langid.ngrams(text)
+        s = [sum(float(model.weights[i, c]) for i in h) * 32.0 / len(h) + float(model.bias[c]) for c in range(3)]
+        e = [math.exp(v / 1.7) for v in s]
+        lang, score = model.predict(text)
+        assert lang == ["aa", "bb", "cc"][int(np.argmax(s))] and abs(score - max(e) / sum(e)) < 1e-5
+
+
 def test_language_id_awkward(spark, awkward, empty):
     from tidemark.llm.langid import identify, language_id, train
 
