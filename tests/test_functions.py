@@ -5,10 +5,12 @@ import struct
 import zipfile
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import binary, blocks, html, text, urls, values
+from tidemark.plans import catalog
 
 
 def one(spark, column):
@@ -161,6 +163,15 @@ def ole(name):
     return bytes(head) + fat + bytes(entry)
 
 
+def test_titles_that_were_cut_equal_the_sql(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql("create table pages as select * from (values (1, '<h1>a &amp; b&amp</h1>'), (2, '<h1>&lt;x&gt</h1>'), (3, '<h1>&quo</h1>'), (4, NULL), (5, '<h1>&amp;lt; &quot;q&quot;</h1>'), (6, '<h1>a&b; c</h1>')) t(page_id, html)")
+    con.sql(f"copy pages to '{tmp_path}/pages.parquet'")
+    got = sorted(tuple(r) for r in catalog.queries()["html_title"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.sql(catalog.oracle_sql()["html_title"]).fetchall())
+    assert got[0] == (1, "a & b&amp")
+
+
 def test_file_kinds():
     sniff = binary.sniff
     assert sniff(b"\x89PNG\r\n\x1a\n..IEND\xaeB`\x82") == "png" and sniff(b"\x89PNG\r\n\x1a\n..") is None

@@ -12,8 +12,8 @@ from .registry import query, table
 
 @query("SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HTM-08: the title of a page."""
-    return table(spark, sf_dir, "pages").select("page_id", H.detail_title(F.col("html")).alias("title"))
+    """HTM-08: the title of a page; none of a page that is null."""
+    return table(spark, sf_dir, "pages").select("page_id", F.when(F.col("html").isNotNull(), H.detail_title(F.col("html"))).alias("title"))
 
 
 @query()
