@@ -215,6 +215,27 @@ def test_literals_under_sensitive_names(text, secret):
     assert secret not in mask(text)
 
 
+@pytest.mark.parametrize("n", [500, 513, 5_000, 200_000])
+def test_a_long_word_is_a_literal_like_a_short_one(n):
+    import random
+
+    from tidemark.llm.secrets import Word, _looks, _summary, literals, mask
+
+    r = random.Random(n)
+    body = "".join(r.choices("abcXYZ0189+/-_\u0439\u0161", k=n)) + "Zx9"
+    for text, name in ((f"private_key: {body}...\nx", "private_key"), (f"x = {body}\nclient_secret = x + x\n", "x"), (f"u=q?a=1&b={body}", None), (f"url={body}?client_secret={body}", "url")):
+        start = text.index(body) if name != "url" else text.rindex(body)
+        assert ((start, start + n + 3) in literals(text)) == (name is not None), name
+        assert name is None or body not in mask(text)[start - 20 :]
+    text = "".join(r.choices("ab=:XY09\u0439", k=n)) + "Zx9"
+    word = Word(text, 0, len(text))
+    for at in sorted(r.sample(range(n), 40)):
+        length, share, classes, space, short = _summary(text[at:])
+        assert word.summary(at)[0] == length and word.summary(at)[2:4] == (classes, space) and word.summary(at)[1] == pytest.approx(share)
+        assert word.bits(at) == pytest.approx(-sum(p * math.log2(p) for p in share.values()), abs=1e-6)
+        assert _looks(length, word.bits(at), word.classes(at)) > 0.5
+
+
 def test_plain_text_has_no_literal():
     from tidemark.llm.secrets import scan
 

@@ -6,8 +6,8 @@ propagates constants, and scores each literal by how sensitive the name is that
 0.5 or more become spans of kind `literal`; base spans stay as they are.
 
 Work is in proportion to the text: a value is kept as its literals, links to the values it is made of, and a summary of
-bounded size, so that sums of sums are never written out. A bare word of over 512 characters is data: it is no literal, and
-signs inside it assign nothing.
+bounded size, so that sums of sums are never written out. A bare word is a literal however long it is, and so are its ends
+after signs inside it; those of over 512 characters are summed up by counts that move along with the word.
 
 Cases: a null text is empty; empty texts have no spans and the digest of the empty text; positions are code points, ends
 exclusive; a text is scanned whole, however long; repeated rows are scanned each; an empty table gives an empty result;
@@ -20,7 +20,9 @@ import hashlib
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ NAME = re.compile(r"[A-Za-z_$][\w.$-]*", re.A)
 PLUS = re.compile(r"[ \t]*(?:\+|\.\.|\.(?=[ \t]*[\"'])|&)[ \t]*")
 INSIDE = re.compile(r"\$\{([A-Za-z_]\w*)\}|\$([A-Za-z_]\w*)|#\{([A-Za-z_]\w*)\}", re.A)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-LONGEST = 512  # characters of a bare word
+LONGEST, STEP = 512, 1_024  # characters of a bare word that is summed up by itself; between counts that are kept of a longer one
 NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.$-")
 
 
@@ -60,6 +62,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+@lru_cache(1 << 12)
 def name_weight(name: str) -> float:
     words = [w.lower() for w in WORDS.findall(name)]
     return max([0.0, *(SENSITIVE.get(w, 0.0) for w in words), *(SENSITIVE_PAIRS.get(p, 0.0) for p in zip(words, words[1:], strict=False))])
@@ -73,19 +76,19 @@ class Value:
     __slots__ = ("spans", "parts", "told", "raw", "length", "share", "classes", "space", "short")
 
     def __init__(self, pieces: list):
-        """pieces: (start, end, string) of literals, or earlier values."""
+        """pieces: (start, end, string, or the long word that it ends) of literals, or earlier values."""
         self.spans = [x[:2] for x in pieces if type(x) is tuple]
         self.parts = [x for x in pieces if type(x) is not tuple]
         self.told, self.raw, self.length, self.share, self.classes, self.space, self.short = False, None, 0, {}, 0, False, ""
         if len(pieces) == 1 and not self.parts:
-            self.raw = pieces[0][2]  # most values are a literal under a plain name, and nobody asks for their summary
+            self.raw = pieces[0]  # most values are a literal under a plain name, and nobody asks for their summary
             return
         for x in pieces:
-            self._add(*(_summary(x[2]) if type(x) is tuple else x.summary()))
+            self._add(*(_piece_summary(x) if type(x) is tuple else x.summary()))
 
     def summary(self) -> tuple[int, dict, int, bool, str | None]:
         if self.raw is not None:
-            (self.length, self.share, self.classes, self.space, self.short), self.raw = _summary(self.raw), None
+            (self.length, self.share, self.classes, self.space, self.short), self.raw = _piece_summary(self.raw), None
         return self.length, self.share, self.classes, self.space, self.short
 
     def _add(self, length: int, share: dict, classes: int, space: bool, short: str | None) -> None:
@@ -101,11 +104,13 @@ class Value:
 
     def weight(self, spaces: bool) -> float:
         """How much it looks made by a machine or chosen as a password: length, spread of characters, mixed classes."""
+        if self.raw is not None and type(self.raw[2]) is Word:
+            return _looks(self.raw[1] - self.raw[0], self.raw[2].bits(self.raw[0]), self.raw[2].classes(self.raw[0]))
         self.summary()
         if self.length < 6 or (self.space and not spaces) or (self.short is not None and PLACEHOLDERS.fullmatch(self.short)):
             return 0.0
         bits = -sum(p * math.log2(p) for p in self.share.values() if p)
-        return min(1.0, 0.25 * min(self.length, 20) / 20 + 0.35 * min(bits, 3.5) / 3.5 + 0.2 * min(self.classes.bit_count(), 3))
+        return _looks(self.length, bits, self.classes)
 
     def tell(self) -> list[tuple[int, int]]:
         """Spans of all literals in it, without those that were told before."""
@@ -119,6 +124,57 @@ class Value:
         return out
 
 
+def _looks(length: int, bits: float, classes: int) -> float:
+    return min(1.0, 0.25 * min(length, 20) / 20 + 0.35 * min(bits, 3.5) / 3.5 + 0.2 * min(classes.bit_count(), 3))
+
+
+class Word:
+    """A bare word of over LONGEST characters, text[start:end], of which every end after a sign inside it may be a literal.
+    What `weight` asks of an end is had from counts that move along, as signs come in order; the shares of an end, from
+    counts that are kept every STEP characters."""
+
+    __slots__ = ("start", "end", "codes", "at", "count", "sum", "last", "kept")
+
+    def __init__(self, text: str, start: int, end: int):
+        code = np.frombuffer(text[start:end].encode("utf-32-le", "surrogatepass"), "<u4")
+        self.start, self.end, self.at, self.kept = start, end, start, None
+        self.codes = code.astype(np.uint8)  # modulo 256
+        self.count = np.bincount(self.codes, minlength=256).tolist()
+        self.sum = sum(c * math.log2(c) for c in self.count if c)
+        low, high, digit = ((code >= ord(a)) & (code <= ord(z)) for a, z in ("az", "AZ", "09"))
+        self.last = [start + int(x[-1]) if len(x := np.nonzero(own)[0]) else -1 for own in (low, high, digit, ~(low | high | digit))]
+
+    def bits(self, at: int) -> float:
+        """The spread of the characters from `at` on, which is no less than in the call before."""
+        count, log = self.count, math.log2
+        for c in self.codes[self.at - self.start : at - self.start].tolist():
+            n = count[c]
+            count[c] = n - 1
+            self.sum += ((n - 1) * log(n - 1) if n > 1 else 0.0) - n * log(n)
+        self.at = at
+        return math.log2(self.end - at) - self.sum / (self.end - at)
+
+    def classes(self, at: int) -> int:
+        a, b, c, d = self.last
+        return (a >= at) | (b >= at) << 1 | (c >= at) << 2 | (d >= at) << 3
+
+    def summary(self, at: int) -> tuple[int, dict, int, bool, str | None]:
+        if self.kept is None:  # how often each character stands from every so many on
+            n = len(self.codes) // STEP + 1
+            own = np.array([np.bincount(self.codes[i * STEP : (i + 1) * STEP], minlength=256) for i in range(n)] + [np.zeros(256, np.int64)])
+            self.kept = own[::-1].cumsum(0)[::-1].astype(np.uint32)
+        i = at - self.start
+        j = i // STEP + 1
+        count = self.kept[j] + np.bincount(self.codes[i : j * STEP], minlength=256)
+        found = np.nonzero(count)[0]
+        length = self.end - at
+        return length, dict(zip(found.tolist(), (count[found] / length).tolist(), strict=True)), self.classes(at), False, None
+
+
+def _piece_summary(piece: tuple) -> tuple[int, dict, int, bool, str | None]:
+    return piece[2].summary(piece[0]) if type(piece[2]) is Word else _summary(piece[2])
+
+
 def _summary(body: str) -> tuple[int, dict, int, bool, str | None]:
     count = Counter(body)
     share: dict[int, float] = {}
@@ -135,6 +191,7 @@ def literals(text: str) -> list[tuple[int, int]]:
     known: dict[str, Value] = {}
     found: list[tuple[int, int]] = []
     upto = run = 0  # signs before the first are inside a quoted value; the bare word that was met last ends at the second
+    word: Word | None = None  # that word, if it is a long one
     for sign in SIGN.finditer(text):
         p = sign.start()
         if p < upto:
@@ -167,12 +224,12 @@ def literals(text: str) -> list[tuple[int, int]]:
                 pieces.append(known[m[0]])
                 at = m.end()
             elif first and (at < run or BARE.match(text, at)):
-                run = run if at < run else BARE.match(text, at).end()
-                if run - at > LONGEST:
-                    upto = run
-                    break
-                end = at + len(text[at:run].rstrip(".:!?"))
-                pieces.append((at, end, text[at:end]))
+                if at >= run:
+                    run, word = BARE.match(text, at).end(), None
+                    if run - at > LONGEST:
+                        word = Word(text, at, at + len(text[at:run].rstrip(".:!?")))
+                end = at + len(text[at:run].rstrip(".:!?")) if word is None or run - at <= LONGEST else max(at, word.end)
+                pieces.append((at, end, text[at:end] if end - at <= LONGEST else word))
                 at, bare = run, True
             else:
                 break
@@ -182,7 +239,7 @@ def literals(text: str) -> list[tuple[int, int]]:
             at = more.end()
         if pieces:
             weight = name_weight(name)
-            value = known[name] = Value(pieces)
+            value = known[name] = pieces[0] if len(pieces) == 1 and type(pieces[0]) is Value else Value(pieces)
             if weight and weight * value.weight(not bare and not PHRASES.isdisjoint(w.lower() for w in WORDS.findall(name))) >= 0.5:
                 found += value.tell()
     return found
