@@ -172,6 +172,19 @@ def test_titles_that_were_cut_equal_the_sql(spark, tmp_path):
     assert got[0] == (1, "a & b&amp")
 
 
+def test_pages_are_handed_on_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(html, "PART", 2)
+    made = []
+    monkeypatch.setattr(html.F, "arrow_udf", lambda run, kind: lambda c: made.append(run) or c)
+    html.body_blocks(F.lit(""), False)
+    page = '<p>a <a href="/x">b</a></p>'
+    out = list(made[0](iter([pa.array([page] * 5), pa.array([None, page])])))
+    assert [len(x) for x in out] == [2, 2, 1, 2]
+    assert [len(x) for b in out for x in b.to_pylist()] == [1] * 5 + [0, 1]
+
+
 def test_file_kinds():
     sniff = binary.sniff
     assert sniff(b"\x89PNG\r\n\x1a\n..IEND\xaeB`\x82") == "png" and sniff(b"\x89PNG\r\n\x1a\n..") is None
