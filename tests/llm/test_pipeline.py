@@ -1,7 +1,7 @@
 """The corpus pipeline, stage by stage, against brute force on what each stage was given."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -140,6 +140,37 @@ def test_near_stage_on_templates_of_many_kinds(spark, tmp_path):
     assert set(want) <= set(got) and len(got) - len(want) <= 0.01 * (len(docs) - len(want))
 
 
+def test_near_stage_misses_no_pair(spark, monkeypatch):
+    """One sample finds half of the pairs, and all texts share what fills the fronts of many: the rest must be found all the same."""
+    import random
+
+    from tidemark.llm import simhash
+
+    monkeypatch.setattr(simhash, "CELL", 4)
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("abcdefgh", k=6))
+    passage, rows = [word() for _ in range(60)], []
+    for i in range(60):
+        own = [word() for _ in range(r.randint(3, 12))]
+        for _ in range(r.randint(1, 3)):
+            copy = passage + own
+            if r.random() < 0.7:
+                copy[-r.randint(1, 2)] = word()
+            rows.append((len(rows), " ".join(copy)))
+    got = {x.doc_id: x.stays for x in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), samples=1).collect()}
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i in sets:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    size = Counter(find(i) for i in sets)
+    assert {i: find(i) == i for i in sets if size[find(i)] > 1} == got
+    assert len(size) > 5
+
+
 def test_secret_stage(steps):
     from tidemark.llm.secrets import base_spans, mask
 

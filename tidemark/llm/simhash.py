@@ -34,6 +34,8 @@ BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
 ROUNDS, LEADS = 1, 2  # further rounds of proposals within large groups of equal samples, and leads of a group in each
 GROUP = 32  # members of a group that are compared with each other; larger groups are split by rare shingles, and led
+CELL = 256  # members of a group that are compared with so many others at a time
+ORDERED = 50_000  # texts that tell which shingles are frequent, about
 COUNTERS = 1 << 24  # of the sketch of how frequent shingles are, at most (32 MB)
 
 
@@ -256,9 +258,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     one order, rare ones first; two sets of the similarity s have one in common among the first (1-s) of each, so every
     such shingle is a key. One that at most `GROUP` texts have proposes all its pairs, and a more frequent one its leads:
     the least set (if two texts are alike by what is common to all alone, the least set is like both), and the one that
-    reaches most. Leads of large groups are proposed as well, with some that are drawn by hash. Every proposal is settled on the two sets of
-    shingles, so no link is wrong. A link can be missed between texts that share no sample, or none but frequent shingles
-    in front and no lead.
+    reaches most. Leads of large groups are proposed as well, with some that are drawn by hash.
+
+    What these have not joined is found by an exact pass over all texts (`rest`): every shingle in front of a text is a key,
+    in an order that puts those last that a sample of the texts tells to be frequent, and all pairs of a key's texts that are
+    not joined yet are proposed, whatever their number, if their sizes and the places of the key allow the similarity. Large
+    groups are compared in cells of `CELL` by `CELL`, so that no task holds one. Every proposal is settled on the two sets
+    of shingles, so no link is wrong, and none is missed.
 
     Texts without a word are alike; equal texts are one node."""
     spark = docs.sparkSession
@@ -308,9 +314,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
                 linked.append(common >= similarity * (len(x) + len(y) - common))
             yield b.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    def settled(proposals: DataFrame, name: str) -> DataFrame:
+    def settled(proposals: DataFrame, name: str, again: bool = False) -> DataFrame:
+        """again: the texts are spelt anew, since those that `spelt` lacks may be among them."""
         pairs = scratch.table(proposals.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"pairs-{name}")
-        asked = spelt.where(possible(spark, bitmap(pairs.select(F.explode(F.array("u", "v"))).distinct()), F.col("hash")))
+        marks = bitmap(pairs.select(F.explode(F.array("u", "v"))).distinct())
+        if again:
+            named = pairs.select(F.explode(F.array("u", "v")).alias("hash")).distinct()
+            found = raw.where(possible(spark, marks, F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spell, "hash long, shingles binary")
+            asked = scratch.table(found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"]), f"spelt-{name}")
+        else:
+            asked = spelt.where(possible(spark, marks, F.col("hash")))
         both = pairs.join(scratch.shuffled(asked.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(asked.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
         return scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
 
@@ -353,6 +366,48 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
         return mine.mapInArrow(front, "u long, keys array<long>").select("u", F.explode("keys").alias("key"))
 
+    def rest(links: DataFrame) -> DataFrame:
+        """What links lacks: of all pairs of texts that are not joined, each at the first key that both have."""
+        texts = raw.select(F.col("text_hash").alias("hash"), "raw")
+        spread = max(1, prints.count() // ORDERED)
+        counts = shingle_counts(texts.where(F.pmod("hash", F.lit(spread)) == 0).mapInArrow(spell, "hash long, shingles binary"))
+        shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
+
+        def front(batches):
+            for b in batches:
+                for i in range(0, len(b), 256):
+                    part = b.slice(i, 256)
+                    out, sizes = [], []
+                    for raw in part.column("raw"):
+                        x = sets(raw.as_py())
+                        n = shared.value[_counter(x, len(shared.value))]
+                        out.append(x[np.lexsort((x, n))[: len(x) - math.ceil(similarity * len(x) - 1e-9) + 1]])
+                        sizes.append(len(x))
+                    ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+                    keys = np.concatenate([np.empty(0, np.uint64), *out]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], names=["u", "size", "keys"])
+            give_back()
+
+        fronts = scratch.table(texts.mapInArrow(front, "u long, size long, keys array<long>").select("u", "size", F.posexplode("keys").alias("pos", "key")), "fronts")
+        many = scratch.table(fronts.groupBy("key").agg(F.min("u").alias("low"), F.max("u").alias("high")).where("low <> high").select("key"), "rest-many")
+        met = fronts.where(possible(spark, bitmap(many), F.col("key"))).join(scratch.shuffled(many), "key").distinct()
+        met = met.join(scratch.shuffled(scratch.table(components(links, scratch, "cc-rest"), "joined-rest")), F.col("u") == F.col("node"), "left")
+        met = scratch.table(met.select("key", "u", "size", "pos", F.coalesce("root", "u").alias("label")), "rest-members")
+        unsettled = scratch.table(met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", F.ceil(F.col("n") / CELL).alias("cells")), "rest-open")
+        met = scratch.table(met.join(scratch.shuffled(unsettled), "key"), "rest-compared")
+        own = scratch.table(met.groupBy(F.col("u").alias("text")).agg(F.collect_list(F.struct("pos", "key")).alias("keys")), "rest-keys")  # those in front of a text
+        met = met.join(scratch.shuffled(own), F.col("u") == F.col("text")).withColumn("cell", F.pmod(F.xxhash64("u"), "cells"))
+        met = met.withColumn("before", F.transform(F.filter("keys", lambda k: k["pos"] < F.col("pos")), lambda k: k["key"]))
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
+        cells = met.groupBy("key", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.collect_list(F.struct("u", "size", "pos", "label", "cell", "before")).alias("all")).where("low <> high")  # two cells at most
+
+        def alike(x, y):
+            least = F.least(x["size"] - x["pos"], y["size"] - y["pos"])  # what the two have in common from their first common key on
+            return (x["u"] < y["u"]) & (x["label"] != y["label"]) & ((x["cell"] != y["cell"]) | (F.col("a") == F.col("b"))) & (least + 1e-9 >= similarity / (1 + similarity) * (x["size"] + y["size"])) & ~F.arrays_overlap(x["before"], y["before"])
+
+        pairs = F.flatten(F.transform("all", lambda x: F.transform(F.filter("all", lambda y: alike(x, y)), lambda y: F.struct(x["u"].alias("u"), y["u"].alias("v")))))
+        return settled(cells.select(F.explode(pairs).alias("p")).select("p.u", "p.v"), "rest", again=True)
+
     who = F.struct("u", "size", "label", "reach")
     far = F.max_by(who, F.struct("reach", "u"))  # the member whose samples reach most others
     begun = proposed(members.withColumn("label", F.col("u")), [far], "first")
@@ -373,6 +428,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
             led = keyed.join(scratch.shuffled(scratch.table(frequent, "frequent")), "key", "left_semi")
             more = more.unionByName(paired(joined.where(F.col("n") <= GROUP))).unionByName(paired(keyed)).unionByName(proposed(led, [F.min_by(who, F.struct("size", "u")), far], "rare").select("u", "v"))
         links = links.unionByName(settled(more, str(turn)))
+    links = links.unionByName(rest(links))
     roots = components(links, scratch)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
     groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
