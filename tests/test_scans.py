@@ -107,6 +107,14 @@ def test_a_second_reading_must_be_the_same(spark):
     assert paged.scan(pages, rows.where("title <> 'new'").unionByName(rows.where("title = 'new'").withColumn("title", F.lit("t"))), *none, size=2)[0].first().status == "success"
 
 
+def test_line_items_are_ranked_once_for_a_scan(spark, sf):
+    from tidemark.plans import paged
+
+    for name in ("scan_results", "scan_rows", "scan_anchors"):
+        plan = getattr(paged, name)(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "InMemoryRelation" in plan, name
+
+
 def test_ranges_of_pages_are_tasks_of_their_own(spark):
     from tidemark.sources import board as B
 

@@ -23,10 +23,11 @@ REASONS = {"hard_cap": "hard_cap", "resume_anchor_missing": "resume_error", "sna
 SAFE = ("natural_end", "backfill_window")
 
 
-def _signature(rows: DataFrame, fields: list[str], name: str) -> DataFrame:
-    """Of each page, in list order. A page has a bounded number of rows."""
+def _signature(fields: list[str], when: Column | None = None) -> Column:
+    """Of a page's rows in list order, or of those that `when` tells. A page has a bounded number of rows."""
     one = F.struct("pos", F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), F.col(f).cast("string")), F.lit("-")) for f in fields)).alias("x"))
-    return rows.groupBy("source", "reading", "page_no").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda r: r["x"]), "\x1e"), 256).alias(name))
+    rows = F.collect_list(one if when is None else F.when(when, one))
+    return F.sha2(F.array_join(F.transform(F.array_sort(rows), lambda r: r["x"]), "\x1e"), 256)
 
 
 def _again(signed: DataFrame, column: str) -> DataFrame:
@@ -52,7 +53,11 @@ def scan(pages: DataFrame, rows: DataFrame, known: DataFrame, resume: DataFrame,
     earlier = by_page.rowsBetween(Window.unboundedPreceding, -1)
     so_far = by_page.rowsBetween(Window.unboundedPreceding, 0)
 
-    n_rows = rows.groupBy("source", "reading", "page_no").agg(F.count(F.lit(1)).alias("n"))
+    # all that is asked of a page's rows, in one pass
+    broken = F.expr("item_id IS NULL OR title IS NULL OR NOT (item_id RLIKE '^[0-9]{1,32}$')")
+    signed = rows.groupBy("source", "reading", "page_no").agg(F.count(F.lit(1)).alias("n"), _signature(["item_id", "title", "date"]).alias("signature"), _signature(["item_id", "pinned"], F.col("reading") == 1).alias("sequence"), F.bool_or(broken).alias("broken"))
+    signed = cut(signed)
+    n_rows = signed.select("source", "reading", "page_no", "n")
     x = first.join(n_rows.where("reading = 1").drop("reading"), ["source", "page_no"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     new = own.where("NOT pinned AND item_id IS NOT NULL").groupBy("source", "item_id").agg(F.min("page_no").alias("page_no")).groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("new"))
     x = x.join(new, ["source", "page_no"], "left").withColumn("seen", F.coalesce(F.sum("new").over(so_far), F.lit(0)))
@@ -61,12 +66,12 @@ def scan(pages: DataFrame, rows: DataFrame, known: DataFrame, resume: DataFrame,
 
     both = second.select("source", "page_no", F.col("ok").alias("ok2"), F.col("total").alias("total2"), F.col("has_more").alias("more2")).join(n_rows.where("reading = 2").select("source", "page_no", F.col("n").alias("n2")), ["source", "page_no"], "left")
     x = x.join(both, ["source", "page_no"], "left")
-    signed = _signature(rows, ["item_id", "title", "date"], "signature")
-    in_order = _signature(own.withColumn("reading", F.lit(1)), ["item_id", "pinned"], "sequence")
-    x = _flag(_flag(x, _again(signed.where("reading = 1"), "signature"), "again"), _again(in_order, "sequence"), "again_ids")
-    x = _flag(x, own.where("item_id IS NULL OR title IS NULL OR NOT (item_id RLIKE '^[0-9]{1,32}$')"), "broken")
+    once = signed.where("reading = 1")
+    x = _flag(_flag(x, _again(once, "signature"), "again"), _again(once, "sequence"), "again_ids")
+    x = _flag(x, once.where("broken"), "broken")
     place = F.struct("page_no", "pos")
     ids = own.groupBy("source", "item_id").agg(F.count(F.lit(1)).alias("k"), F.min_by(F.struct("title", "date", "pinned"), place).alias("was"), F.min(place).alias("at")).where("k > 1")
+    ids = cut(ids)
     twice = own.join(ids, ["source", "item_id"]).where((place > F.col("at")) & (~F.col("pinned") | ~F.struct("title", "date", "pinned").eqNullSafe(F.col("was"))))
     x = _flag(x, twice, "collides")
 
@@ -80,8 +85,7 @@ def scan(pages: DataFrame, rows: DataFrame, known: DataFrame, resume: DataFrame,
     empty, same = F.col("n") == 0, F.col("total").eqNullSafe(F.col("total2")) & F.col("has_more").eqNullSafe(F.col("more2"))
     last = F.coalesce(~F.col("has_more"), F.lit(False))
     ends = last | (empty & ((F.col("page_no") == 1) | F.col("short")))
-    every = own.groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("m"))  # all rows up to a page, pinned ones as often as they stand
-    x = x.join(every, ["source", "page_no"], "left").withColumn("listed", F.coalesce(F.sum("m").over(so_far), F.lit(0)))
+    x = x.withColumn("listed", F.coalesce(F.sum("n").over(so_far), F.lit(0)))  # all rows up to a page, pinned ones as often as they stand
     satisfied = F.col("declared").isNull() | (F.col("declared") == F.col("seen")) | (F.col("declared") == F.col("listed"))
     when: dict[str, Column] = {
         "hard_cap": F.col("page_no") > cap,
