@@ -262,3 +262,13 @@ def test_runs_end_to_end(spark, tmp_path):
     assert {r.item_id: r.body_hash for r in space.table("dest").read().collect()} == {1: "b", 2: "k"}
     assert space.table("runs").read().count() == 5
     assert {r.first_seen_at for r in space.table("state").read().collect()} == {dt.datetime(2024, 1, 1, 0, 1)}
+
+
+def test_three_runs_read_the_texts_once(spark, sf, monkeypatch):
+    from tidemark.plans import runs as R
+
+    seen = []
+    monkeypatch.setattr(R, "run", lambda space, items, *args, **more: seen.append(items))
+    R._runs(spark, sf)
+    assert len(seen) == 4
+    assert not any("parquet" in x._jdf.queryExecution().optimizedPlan().toString() for x in seen)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..control import RunControl
-from ..operators.lineage import shared_folder
+from ..operators.lineage import cut, shared_folder
 from ..runs import DEST, RUNS, STATE, Workspace, run
 from .changes import ITEMS_SQL, items
 from .registry import query
@@ -22,7 +22,7 @@ RUN_SQL = f"""
 
 def _runs(spark: SparkSession, sf_dir: str) -> Workspace:
     space = Workspace(spark, f"{shared_folder(spark)}/tidemark-runs-{uuid.uuid4().hex[:12]}")
-    first = items(spark, sf_dir)
+    first = cut(items(spark, sf_dir))  # the texts are read once, not by every run for every table
     k = F.col("item_id")
     title = F.when(k % 11 == 0, F.concat("title", F.lit(" (new)"))).otherwise(F.col("title"))
     second = first.select("source", "item_id", title.alias("title"), F.when(k % 7 == 0, F.sha2("body_hash", 256)).otherwise(F.col("body_hash")).alias("body_hash"))
