@@ -202,3 +202,24 @@ def test_awkward_rows(spark, tmp_path):
         assert out.columns == clash.columns and all([r[n] for n in names] == list(range(6)) for r in out.collect())
     P.run(spark, str(tmp_path)).count()
     assert P.near(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_near_stage_proposes_in_proportion_to_a_dense_group(spark, monkeypatch):
+    """Many texts that are alike in pairs, but few of them like one lead: proposals follow the texts and not their pairs."""
+    from tidemark.llm import simhash
+
+    made, table = {}, simhash.Scratch.table
+
+    def kept(self, df, name):
+        made[name] = table(self, df, name)
+        return made[name]
+
+    monkeypatch.setattr(simhash.Scratch, "table", kept)
+    base, rows = [f"b{i}" for i in range(104)], []
+    for i in range(240):  # two edits each: alike if the edits lie near each other
+        words, at = list(base), 10 + i * 80 // 240
+        words[at], words[at + 4] = f"x{i}", f"y{i}"
+        rows.append((i, " ".join(words)))
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), samples=1).collect()
+    assert sum(x.stays for x in got) == 1 and len(got) == len(rows)
+    assert sum(t.count() for name, t in made.items() if name.startswith("pairs-")) < 8 * len(rows)

@@ -19,11 +19,13 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bitmap, give_back, possible, two
+from .common import Scratch, bitmap, give_back, parts, possible, two
 from .components import components, local_roots
+from .exact_dedup import FP_BITS, _answer, golomb_encode, owner_of
 
 SEED = 42
 SHARD = 2_000  # distinct fingerprints a shard should hold
@@ -32,9 +34,11 @@ PER_LEAF = 32  # sampled fingerprints for each shard
 LEAF = 192  # points that are compared pair by pair
 BATCH = 1 << 15
 SAMPLES = 12  # fingerprints of samples of a document's shingles
-ROUNDS, LEADS = 1, 2  # further rounds of proposals within large groups of equal samples, and leads of a group in each
-GROUP = 32  # members of a group that are compared with each other; larger groups are split by rare shingles, and led
-CELL = 256  # members of a group that are compared with so many others at a time
+PARITIES = 1_024  # bits that tell how many members two sets do not share, at least
+OWNED = 2_000_000  # keys in front of texts that a task holds and an owner answers for, about
+TOGETHER = 20_000  # members of small groups that are compared in one task
+CELL = 1_024  # members of a group that are compared with so many others at a time
+FRONT = "pid long, u long, size long, keys binary, marks binary, owner int, n int, payload binary"
 ORDERED = 50_000  # texts that tell which shingles are frequent, about
 COUNTERS = 1 << 24  # of the sketch of how frequent shingles are, at most (32 MB)
 
@@ -244,7 +248,13 @@ def shingle_counts(spelt: DataFrame, most: int = COUNTERS) -> np.ndarray:
     return out
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def parities(h: np.ndarray) -> bytes:
+    """Whether an odd number of the hashes fall to each of PARITIES places. Of two sets, no more of these differ than the
+    sets have members that the other lacks."""
+    return np.packbits(np.bincount((h >> np.uint64(7)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1).tobytes()
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of every group of more than one document: doc_id, text_hash, stays. Documents are linked if their sets of
     shingles have a Jaccard similarity of at least `similarity`; of those that links join, the smallest id stays (null ids
     last, then the smallest text hash).
@@ -253,18 +263,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     nothing; so the tree finds what lies within `radius` bits, and fingerprints of samples, equal bit by bit, find the
     rest: at 0.8 one pair in three thousand shares none of twelve. Within a group of equal samples the lead is the
     member whose samples reach most others (the text that the others are copies of), and every text is first proposed to
-    the widest lead of its groups. Where that has not joined a group of at most `GROUP` members, all pairs of it are
-    proposed that are not joined yet. Larger groups, which a passage makes that many texts share, are split by a second key. Shingles are put in
-    one order, rare ones first; two sets of the similarity s have one in common among the first (1-s) of each, so every
-    such shingle is a key. One that at most `GROUP` texts have proposes all its pairs, and a more frequent one its leads:
-    the least set (if two texts are alike by what is common to all alone, the least set is like both), and the one that
-    reaches most. Leads of large groups are proposed as well, with some that are drawn by hash.
+    the widest lead of its groups.
 
     What these have not joined is found by an exact pass over all texts (`rest`): every shingle in front of a text is a key,
-    in an order that puts those last that a sample of the texts tells to be frequent, and all pairs of a key's texts that are
-    not joined yet are proposed, whatever their number, if their sizes and the places of the key allow the similarity. Large
-    groups are compared in cells of `CELL` by `CELL`, so that no task holds one. Every proposal is settled on the two sets
-    of shingles, so no link is wrong, and none is missed.
+    in an order that puts those last that a sample of the texts tells to be frequent; two sets of the similarity s have one
+    in common among the first (1-s) of each. Keys go to owners as Golomb-Rice coded fingerprints, and only those that more
+    than one text has come back as rows. All pairs of a key's texts are looked at that are not joined yet; those are
+    proposed whose sizes, places of the key and parities (a bound on what sets do not share) allow the similarity, at first
+    one for each text of a key, and when those have joined what they do, all. Large groups are compared in cells of `CELL`
+    by `CELL`, so that no task holds one. Every proposal is settled on the two sets of shingles, so no link is wrong, and
+    none is missed.
 
     Texts without a word are alike; equal texts are one node."""
     spark = docs.sparkSession
@@ -292,7 +300,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     members = scratch.table(members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "n", "u", "size", "reach"), "reached")
     near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
     near = scratch.table(near, "near")
-    need = scratch.table(members.select(F.col("u").alias("hash")).union(near.select(F.explode(F.array("u", "v")))).distinct(), "need")
 
     def spell(batches):
         for b in batches:
@@ -301,10 +308,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
                 yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in part.column("raw")], pa.binary())], names=["hash", "shingles"])
         give_back()
 
-    likely = raw.where(possible(spark, bitmap(need), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw")
-    spelt = likely.mapInArrow(spell, "hash long, shingles binary").join(scratch.shuffled(need), "hash", "left_semi")
-    spelt = scratch.table(spelt.dropDuplicates(["hash"]), "spelt")
-
     def settle(batches):
         for b in batches:
             linked = []
@@ -314,16 +317,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
                 linked.append(common >= similarity * (len(x) + len(y) - common))
             yield b.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    def settled(proposals: DataFrame, name: str, again: bool = False) -> DataFrame:
-        """again: the texts are spelt anew, since those that `spelt` lacks may be among them."""
+    def settled(proposals: DataFrame, name: str) -> DataFrame:
+        """Of the proposals those whose sets are alike; only texts that are named are spelt."""
         pairs = scratch.table(proposals.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"pairs-{name}")
-        marks = bitmap(pairs.select(F.explode(F.array("u", "v"))).distinct())
-        if again:
-            named = pairs.select(F.explode(F.array("u", "v")).alias("hash")).distinct()
-            found = raw.where(possible(spark, marks, F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spell, "hash long, shingles binary")
-            asked = scratch.table(found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"]), f"spelt-{name}")
-        else:
-            asked = spelt.where(possible(spark, marks, F.col("hash")))
+        named = scratch.table(pairs.select(F.col("u").alias("hash")).union(pairs.select("v")).distinct(), f"named-{name}")
+        found = raw.where(possible(spark, bitmap(named), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spell, "hash long, shingles binary")
+        asked = scratch.table(found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"]), f"spelt-{name}")
         both = pairs.join(scratch.shuffled(asked.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(asked.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
         return scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
 
@@ -334,101 +333,118 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         told = members.join(scratch.shuffled(led), "key").where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
         return told.select("u", F.col("v.u").alias("v"), F.col("v.reach").alias("v_reach"))
 
-    def paired(members: DataFrame) -> DataFrame:
-        """All pairs within groups of at most GROUP members, where labels differ and sizes allow the similarity."""
-        open_groups = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where(f"n BETWEEN 2 AND {GROUP} AND low <> high").select("key")
-        own = members.join(scratch.shuffled(open_groups), "key", "left_semi").select("key", F.struct("u", "size", "label").alias("m"))
-        groups = own.groupBy("key").agg(F.collect_list("m").alias("all"))  # GROUP members at most
-        pairs = groups.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.filter("all", lambda y: y["u"] > F.col("a.u"))).alias("b"))
-        return pairs.where((F.col("a.label") != F.col("b.label")) & (F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size"))).select(F.col("a.u").alias("u"), F.col("b.u").alias("v"))
-
-    def rare_keys(texts: DataFrame) -> DataFrame:
-        """texts(u): for each the shingles that stand in front in one order of all, rare ones first; without those that no
-        other text has. Two sets of the similarity have one of theirs in common."""
-        mine = spelt.join(scratch.shuffled(texts), F.col("hash") == F.col("u"), "left_semi").select("hash", "shingles")
-        counts = shingle_counts(mine)
-        shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
-
-        def front(batches):
-            for b in batches:
-                for i in range(0, len(b), 256):
-                    part = b.slice(i, 256)
-                    out = []
-                    for x in part.column("shingles"):
-                        x = np.frombuffer(x.as_py(), np.uint64)
-                        n = shared.value[_counter(x, len(shared.value))]
-                        first = np.lexsort((x, n))[: len(x) - math.ceil(similarity * len(x) - 1e-9) + 1]
-                        out.append(x[first[n[first] > 1]])
-                    ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-                    keys = np.concatenate([np.empty(0, np.uint64), *out]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([part.column("hash"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], names=["u", "keys"])
-            give_back()
-
-        return mine.mapInArrow(front, "u long, keys array<long>").select("u", F.explode("keys").alias("key"))
-
     def rest(links: DataFrame) -> DataFrame:
-        """What links lacks: of all pairs of texts that are not joined, each at the first key that both have."""
+        """links, and what they lack: pairs of texts that are not joined, that share a key in front and that size, place and parities allow."""
         texts = raw.select(F.col("text_hash").alias("hash"), "raw")
-        spread = max(1, prints.count() // ORDERED)
-        counts = shingle_counts(texts.where(F.pmod("hash", F.lit(spread)) == 0).mapInArrow(spell, "hash long, shingles binary"))
+        n, total = prints.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        counts = shingle_counts(texts.where(F.pmod("hash", F.lit(max(1, n // ORDERED))) == 0).mapInArrow(spell, "hash long, shingles binary"))
         shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
+        owners = max(parts(spark), int((1 - similarity) * total) // OWNED)
 
         def front(batches):
+            """A row for each text, and for each chunk of them a message to every owner of keys."""
+            chunk, seen, held = TaskContext.get().partitionId() << 32, [], 0
+
+            def messages() -> pa.RecordBatch:
+                own = np.unique(np.concatenate(seen))
+                cuts = np.searchsorted(owner_of(own, owners), np.arange(owners + 1))
+                to = np.flatnonzero(np.diff(cuts))
+                n = len(to)
+                return pa.RecordBatch.from_arrays([pa.array([chunk] * n, pa.int64()), *(pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.binary())), pa.array(to.astype(np.int32)), pa.array(np.diff(cuts)[to].astype(np.int32)), pa.array([golomb_encode(own[cuts[o] : cuts[o + 1]]) for o in to], pa.binary())], names=names)
+
+            names = [x.split()[0] for x in FRONT.split(", ")]
             for b in batches:
                 for i in range(0, len(b), 256):
                     part = b.slice(i, 256)
-                    out, sizes = [], []
-                    for raw in part.column("raw"):
-                        x = sets(raw.as_py())
+                    keys, sizes, marks = [], [], []
+                    for x in part.column("raw"):
+                        x = sets(x.as_py())
                         n = shared.value[_counter(x, len(shared.value))]
-                        out.append(x[np.lexsort((x, n))[: len(x) - math.ceil(similarity * len(x) - 1e-9) + 1]])
-                        sizes.append(len(x))
-                    ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-                    keys = np.concatenate([np.empty(0, np.uint64), *out]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], names=["u", "size", "keys"])
+                        keys.append((x[np.lexsort((x, n))[: len(x) - math.ceil(similarity * len(x) - 1e-9) + 1]] >> np.uint64(64 - FP_BITS)).astype(np.int64))
+                        sizes.append(len(x)), marks.append(parities(x))
+                    k = len(part)
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * k, pa.int64()), part.column("hash"), pa.array(sizes, pa.int64()), pa.array([x.view(np.uint8).reshape(-1, 8)[:, : FP_BITS // 8].tobytes() for x in keys], pa.binary()), pa.array(marks, pa.binary()), *(pa.nulls(k, t) for t in (pa.int32(), pa.int32(), pa.binary()))], names=names)
+                    seen.append(np.unique(np.concatenate(keys)))
+                    held += len(seen[-1])
+                    if held > OWNED:
+                        yield messages()
+                        chunk, seen, held = chunk + 1, [], 0
+            if seen:
+                yield messages()
             give_back()
 
-        fronts = scratch.table(texts.mapInArrow(front, "u long, size long, keys array<long>").select("u", "size", F.posexplode("keys").alias("pos", "key")), "fronts")
-        many = scratch.table(fronts.groupBy("key").agg(F.min("u").alias("low"), F.max("u").alias("high")).where("low <> high").select("key"), "rest-many")
-        met = fronts.where(possible(spark, bitmap(many), F.col("key"))).join(scratch.shuffled(many), "key").distinct()
-        met = met.join(scratch.shuffled(scratch.table(components(links, scratch, "cc-rest"), "joined-rest")), F.col("u") == F.col("node"), "left")
-        met = scratch.table(met.select("key", "u", "size", "pos", F.coalesce("root", "u").alias("label")), "rest-members")
-        unsettled = scratch.table(met.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", F.ceil(F.col("n") / CELL).alias("cells")), "rest-open")
-        met = scratch.table(met.join(scratch.shuffled(unsettled), "key"), "rest-compared")
-        own = scratch.table(met.groupBy(F.col("u").alias("text")).agg(F.collect_list(F.struct("pos", "key")).alias("keys")), "rest-keys")  # those in front of a text
-        met = met.join(scratch.shuffled(own), F.col("u") == F.col("text")).withColumn("cell", F.pmod(F.xxhash64("u"), "cells"))
-        met = met.withColumn("before", F.transform(F.filter("keys", lambda k: k["pos"] < F.col("pos")), lambda k: k["key"]))
-        met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
-        cells = met.groupBy("key", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.collect_list(F.struct("u", "size", "pos", "label", "cell", "before")).alias("all")).where("low <> high")  # two cells at most
-
-        def alike(x, y):
-            least = F.least(x["size"] - x["pos"], y["size"] - y["pos"])  # what the two have in common from their first common key on
-            return (x["u"] < y["u"]) & (x["label"] != y["label"]) & ((x["cell"] != y["cell"]) | (F.col("a") == F.col("b"))) & (least + 1e-9 >= similarity / (1 + similarity) * (x["size"] + y["size"])) & ~F.arrays_overlap(x["before"], y["before"])
-
-        pairs = F.flatten(F.transform("all", lambda x: F.transform(F.filter("all", lambda y: alike(x, y)), lambda y: F.struct(x["u"].alias("u"), y["u"].alias("v")))))
-        return settled(cells.select(F.explode(pairs).alias("p")).select("p.u", "p.v"), "rest", again=True)
+        def met_again(fronts: pa.Table, answers: pa.Table) -> pa.Table:
+            """A chunk: the places of its keys that another of its texts or another chunk has."""
+            own = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, FP_BITS // 8) for x in fronts.column("keys")]
+            sizes = np.array([len(x) for x in own], np.int64)
+            key = np.zeros((int(sizes.sum()), 8), np.uint8)
+            key[:, : FP_BITS // 8] = np.concatenate([np.empty((0, FP_BITS // 8), np.uint8), *own])
+            key = key.view("<i8").ravel()
+            every, back, times = np.unique(key, return_inverse=True, return_counts=True)
+            answers = answers.sort_by("owner")
+            bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(answers.column("bits").to_pylist(), answers.column("n").to_pylist(), strict=True)]
+            at = np.flatnonzero((np.concatenate([np.empty(0, np.uint8), *bits]).astype(bool) | (times > 1))[back])
+            row = np.repeat(np.arange(len(sizes)), sizes)[at]
+            pos = at - (np.cumsum(sizes) - sizes)[row]
+            return pa.table({"key": key[at], "u": fronts.column("u").to_numpy()[row], "size": fronts.column("size").to_numpy()[row], "pos": pos.astype(np.int32)})
+
+        def comparing(least_apart: bool):
+            """Groups of keys, or two cells of one key. least_apart: of a text's pairs in a group only that whose parities differ least."""
+
+            def compare(group: pa.Table) -> pa.Table:
+                key, u, size, pos, label, cell = (group.column(c).to_numpy() for c in ("key", "u", "size", "pos", "label", "cell"))
+                marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint64).reshape(len(u), -1)
+                one, order = group.column("a")[0].as_py() == group.column("b")[0].as_py(), np.lexsort((u, key))
+                cuts = np.flatnonzero(np.diff(key[order], prepend=key[order[:1]] - 1, append=key[order[-1:]] + 1))
+                found = np.empty((0, 2), np.int64)
+                for own in (order[p:q] for p, q in zip(cuts[:-1], cuts[1:], strict=True)):
+                    for i in range(0, len(own), 256):
+                        x, y = own[i : i + 256, None], own[None, i:]
+                        least = np.minimum((size - pos)[x], (size - pos)[y])  # what the two have in common from their first common key on
+                        common = similarity / (1 + similarity) * (size[x] + size[y])
+                        at, to = np.nonzero((u[x] < u[y]) & (label[x] != label[y]) & ((cell[x] != cell[y]) | one) & (least + 1e-9 >= common))
+                        x, y = x[at, 0], y[0, to]
+                        most = size[x] + size[y] - 2 * np.ceil(common[at, to] - 1e-9).astype(np.int64)
+                        for j in range(0, len(x), 1 << 16):
+                            a, b = x[j : j + (1 << 16)], y[j : j + (1 << 16)]
+                            apart = np.bitwise_count(marks[a] ^ marks[b]).sum(1, dtype=np.int64)
+                            near = np.flatnonzero(apart <= most[j : j + (1 << 16)])
+                            if least_apart:
+                                near = near[np.lexsort((b[near], apart[near]))]
+                                near = np.concatenate([near[np.unique(a[near], return_index=True)[1]], near[np.unique(b[near], return_index=True)[1]]])
+                            found = np.concatenate([found, np.stack([u[a[near]], u[b[near]]], 1)])
+                found = np.unique(found, axis=0) if len(found) else found
+                return pa.table({"u": found[:, 0], "v": found[:, 1]})
+
+            return compare
+
+        sent = scratch.table(texts.mapInArrow(front, FRONT), "fronts")
+        answers = sent.where("payload is not null").select("pid", "owner", "n", "payload").groupBy("owner").applyInArrow(_answer, "pid long, owner int, n int, bits binary")
+        plain = sent.where("payload is null")
+        met = plain.select("pid", "u", "size", "keys").groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(met_again, "key long, u long, size long, pos int").distinct()
+        met = scratch.table(met, "met")
+        for turn, best in (("best", True), ("rest", False)):  # first a pair for each text, so that few are left to the pass over all
+            own = scratch.shuffled(scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}"))
+            labelled = scratch.table(met.join(own, F.col("u") == F.col("node"), "left").select("key", "u", "size", "pos", F.coalesce("root", "u").alias("label")), f"{turn}-members")
+            unsettled = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+            unsettled = scratch.table(unsettled.select("key", "n", F.ceil(F.col("n") / CELL).alias("cells")), f"{turn}-open")
+            held = unsettled.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            compared = scratch.table(labelled.join(scratch.shuffled(unsettled.drop("n")), "key"), f"{turn}-compared")
+            compared = compared.join(scratch.shuffled(plain.select(F.col("u").alias("text"), "marks").dropDuplicates(["text"])), F.col("u") == F.col("text"))
+            part = F.when(F.col("cells") > 1, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(held // TOGETHER + 1)))  # keys of few texts go together
+            compared = compared.withColumn("part", part).withColumn("cell", F.pmod(F.xxhash64("u"), "cells"))
+            compared = compared.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
+            cells = compared.select("part", "key", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b"), "u", "size", "pos", "label", "cell", "marks")
+            pairs = cells.groupBy("part", "a", "b").applyInArrow(comparing(best), "u long, v long")
+            links = links.unionByName(settled(pairs, turn))
+        return links
 
     who = F.struct("u", "size", "label", "reach")
     far = F.max_by(who, F.struct("reach", "u"))  # the member whose samples reach most others
     begun = proposed(members.withColumn("label", F.col("u")), [far], "first")
     begun = begun.groupBy("u").agg(F.max_by("v", F.struct("v_reach", "v")).alias("v"))  # the widest lead of each text
     links = settled(begun.unionByName(near), "first")
-    for turn in range(rounds):
-        own = scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}")
-        joined = members.join(scratch.shuffled(own), F.col("u") == F.col("node"), "left").select("key", "n", "u", "size", "reach", F.coalesce("root", "u").alias("label"))
-        joined = scratch.table(joined, f"members-{turn}")
-        large = joined.where(F.col("n") > GROUP).drop("n")
-        leads = [F.min_by(who, F.xxhash64("u", F.lit(turn * LEADS + i))) for i in range(LEADS)]
-        more = proposed(large, [far, *leads], str(turn)).select("u", "v")
-        if turn == 0:
-            unsettled = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-            texts = scratch.table(large.join(scratch.shuffled(unsettled), "key", "left_semi").select("u", "size", "reach", "label").distinct(), "texts")
-            keyed = scratch.table(rare_keys(texts.select("u")).join(scratch.shuffled(texts), "u"), "rare")
-            frequent = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key")
-            led = keyed.join(scratch.shuffled(scratch.table(frequent, "frequent")), "key", "left_semi")
-            more = more.unionByName(paired(joined.where(F.col("n") <= GROUP))).unionByName(paired(keyed)).unionByName(proposed(led, [F.min_by(who, F.struct("size", "u")), far], "rare").select("u", "v"))
-        links = links.unionByName(settled(more, str(turn)))
-    links = links.unionByName(rest(links))
+    links = rest(links)
     roots = components(links, scratch)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
     groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
