@@ -10,6 +10,33 @@ from pyspark.sql import functions as F
 from .lineage import cut
 
 DEPTH = 64
+IN_ONE_PASS = 8  # levels that are opened in one pass, where no text has more opening brackets
+
+
+def _type(v: str) -> Column:
+    kind = F.schema_of_variant(v)
+    return F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").otherwise("number")
+
+
+def _leaf(v: str) -> Column:
+    return ~_type(v).isin("object", "array") | F.expr(f"coalesce(to_json({v}) IN ('{{}}', '[]'), false)")
+
+
+def _told(now: DataFrame, key: str) -> DataFrame:
+    """Of now(key, path, v) the values that are no containers, and the empty containers, with type and text."""
+    told = now.where(_leaf("v")).select(key, "path", _type("v").alias("type"), "v")
+    return told.select(key, "path", "type", F.when(~F.col("type").isin("object", "array", "null"), F.expr("try_variant_get(v, '$', 'string')")).alias("value"))
+
+
+def _opened(now: DataFrame, key: str, levels: int, dropped: tuple[str, ...]) -> DataFrame:
+    """now(key, path, v) with so many levels of containers opened where they stand; other values stay as they are."""
+    for _ in range(levels):
+        view = f"variants_{uuid.uuid4().hex}"
+        now.createOrReplaceTempView(view)
+        path = "CASE WHEN e.value IS NULL THEN path WHEN e.key IS NULL THEN concat(path, '[', e.pos, ']') ELSE concat(path, '.', e.key) END"
+        now = now.sparkSession.sql(f"SELECT `{key}`, {path} AS path, coalesce(e.value, v) AS v, e.key AS name FROM {view}, LATERAL variant_explode_outer(v) AS e")
+        now = (now.where(~F.coalesce(F.col("name").isin(*dropped), F.lit(False))) if dropped else now).drop("name")
+    return now
 
 
 def leaves(rows: DataFrame, key: str, text: str, depth: int = DEPTH, dropped: tuple[str, ...] = ()) -> DataFrame:
@@ -18,14 +45,13 @@ def leaves(rows: DataFrame, key: str, text: str, depth: int = DEPTH, dropped: tu
     kept. A text that is no JSON has no rows; one nested deeper than `depth` is an error, not cut."""
     spark, kept = rows.sparkSession, None
     now = rows.select(key, F.lit("$").alias("path"), F.expr(f"try_parse_json(`{text}`)").alias("v")).where("v IS NOT NULL")
+    most = rows.agg(F.max(F.length(text) - F.length(F.translate(text, "{[", "")))).first()[0] or 0  # no text is nested deeper
+    if most <= min(depth, IN_ONE_PASS):
+        return _told(_opened(now, key, most, dropped), key)
     for _ in range(depth + 1):
-        kind = F.schema_of_variant("v")
-        object_, array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
-        told = now.select("*", F.when(object_, "object").when(array, "array").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind == "VOID", "null").otherwise("number").alias("type"))
-        empty = F.expr("coalesce(to_json(v) IN ('{}', '[]'), false)")
-        done = told.where(empty | ~F.col("type").isin("object", "array")).select(key, "path", "type", F.when(~F.col("type").isin("object", "array", "null"), F.expr("try_variant_get(v, '$', 'string')")).alias("value"))
+        done = _told(now, key)
         kept = done if kept is None else kept.unionByName(done)
-        inside = told.where(~empty & F.col("type").isin("object", "array"))
+        inside = now.where(~_leaf("v"))
         view = f"variants_{uuid.uuid4().hex}"
         inside.createOrReplaceTempView(view)
         below = spark.sql(f"SELECT `{key}`, concat(path, CASE WHEN e.key IS NULL THEN concat('[', e.pos, ']') ELSE concat('.', e.key) END) AS path, e.value AS v, e.key AS name FROM {view}, LATERAL variant_explode(v) AS e")
