@@ -17,6 +17,7 @@ from tidemark.llm.queries import tokenizer
 from tidemark.llm.secrets import redact
 from tidemark.llm.simhash import near_duplicates
 
+CACHED = 100_000  # a quarter of the encoder's own: here its worker shares an executor with what earlier stages leave in memory
 LEAST_SCORE = 0.5  # calibrated probability of the language; below it a document is rejected
 
 
@@ -56,7 +57,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of the documents' pieces in training sequences."""
-    return best_fit_packing(docs, tokenizer("byte_bpe_50k.json"))
+    return best_fit_packing(docs, tokenizer("byte_bpe_50k.json"), cached=CACHED)
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact), ("simhash_near_dedup", near), ("secret_scan", secrets), ("best_fit_packing", packed)]

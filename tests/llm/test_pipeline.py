@@ -223,3 +223,39 @@ def test_near_stage_proposes_in_proportion_to_a_dense_group(spark, monkeypatch):
     got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), samples=1).collect()
     assert sum(x.stays for x in got) == 1 and len(got) == len(rows)
     assert sum(t.count() for name, t in made.items() if name.startswith("pairs-")) < 8 * len(rows)
+
+
+def test_near_stage_has_one_python_worker_a_task(spark, tmp_path, monkeypatch):
+    """Two Python functions in one task are two workers, which stay in an executor's memory for all stages after it."""
+    from tidemark.llm.common import Scratch
+
+    plans, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name: (plans.append(df._jdf.queryExecution().sparkPlan().toString()), table(self, df, name))[1])
+    base = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join([*base[: 36 + i % 4], f"x{i % 4}"])) for i in range(12)], "doc_id long, text string")
+    assert P.near_duplicates(docs).count() == 12
+    assert any("MapInArrow" in p for p in plans)
+    for plan in plans:
+        workers = 0
+        for line in plan.splitlines():  # from the root down; a join's other side begins after a scan
+            workers += bool(re.search("MapInArrow|ArrowEvalPython|MapGroups|CoGroups", line))
+            assert workers < 2, plan
+            if re.search("Scan|Join|Aggregate|MapGroups|CoGroups", line):
+                workers = 0
+
+
+def test_packing_cache_keeps_to_what_it_is_given():
+    from tidemark.llm.queries import tokenizer
+    from tidemark.llm.tokens import CHUNKS, WordEncoder
+
+    assert P.CACHED < CHUNKS
+    coder = WordEncoder.of(tokenizer("byte_bpe_50k.json"), 100)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(60)]
+    few, most = [], 0
+    for t in texts:
+        few.append(coder.packed(t))
+        most = max(most, len(coder.chunks))
+    coder.forget()
+    coder = WordEncoder.of(tokenizer("byte_bpe_50k.json"))
+    assert most <= 120 and few == [coder.packed(t) for t in texts] and len(coder.chunks) > 1_000
+    coder.forget()

@@ -112,14 +112,20 @@ def possible(spark: SparkSession, marks: np.ndarray | None, h: Column) -> Column
     """Whether a hash may be among those of the bitmap: true for all of them, and for one in four others at most."""
     if marks is None:
         return F.lit(True)
-    shared, bits = spark.sparkContext.broadcast(marks), 8 * len(marks)  # BITS / 8 bytes at most
+    shared = spark.sparkContext.broadcast(marks)  # BITS / 8 bytes at most
 
     @F.arrow_udf("boolean")
     def found(at: pa.Array) -> pa.Array:
-        at = at.to_numpy()
-        return pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+        return pa.array(among(shared.value, at.to_numpy()))
 
-    return found(F.pmod(h, F.lit(bits)))
+    return found(h)
+
+
+def among(marks: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The same for an array of hashes, inside a task that has other work in Python to do on the rows: two functions in one
+    task are two Python workers, which live on in the executor's memory."""
+    at = np.mod(h, 8 * len(marks))
+    return (marks[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def give_back() -> None:

@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, give_back, parts, two
-from .tokens import WordEncoder
+from .tokens import CHUNKS, WordEncoder
 
 
-def cut_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = 2048, id_col: str = "doc_id", text_col: str = "text", cached: int = CHUNKS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32."""
 
     def run(batches):
-        coder, end = WordEncoder.of(path), end_id.to_bytes(2, "little")
+        coder, end = WordEncoder.of(path, cached), end_id.to_bytes(2, "little")
         for b in batches:
             rows: list[tuple] = []
             for d, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
@@ -120,5 +120,6 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
     return ranked.mapInArrow(place, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long")
 
 
-def best_fit_packing(docs: DataFrame, path: str, size: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pack(cut_pieces(docs, path, 0, size, id_col, text_col), size)
+def best_fit_packing(docs: DataFrame, path: str, size: int = 2048, id_col: str = "doc_id", text_col: str = "text", cached: int = CHUNKS) -> DataFrame:
+    """cached: entries in the largest of the encoder's caches; fewer take less memory and more time."""
+    return pack(cut_pieces(docs, path, 0, size, id_col, text_col, cached), size)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bitmap, give_back, parts, possible, two
+from .common import Scratch, among, bitmap, give_back, parts, two
 from .components import components, local_roots
 from .exact_dedup import FP_BITS, _answer, golomb_encode, owner_of
 
@@ -301,12 +301,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
     near = scratch.table(near, "near")
 
-    def spell(batches):
-        for b in batches:
-            for i in range(0, len(b), 512):
-                part = b.slice(i, 512)
-                yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in part.column("raw")], pa.binary())], names=["hash", "shingles"])
-        give_back()
+    def spelling(marks=None):
+        """Of the texts, or of those that a bitmap tells to be possible."""
+
+        def spell(batches):
+            for b in batches:
+                for i in range(0, len(b), 512):
+                    part = b.slice(i, 512)
+                    if marks is not None:
+                        part = part.filter(pa.array(among(marks.value, part.column("hash").to_numpy())))
+                    yield pa.RecordBatch.from_arrays([part.column("hash"), pa.array([sets(x.as_py()).tobytes() for x in part.column("raw")], pa.binary())], names=["hash", "shingles"])
+            give_back()
+
+        return spell
 
     def settle(batches):
         for b in batches:
@@ -321,7 +328,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         """Of the proposals those whose sets are alike; only texts that are named are spelt."""
         pairs = scratch.table(proposals.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"pairs-{name}")
         named = scratch.table(pairs.select(F.col("u").alias("hash")).union(pairs.select("v")).distinct(), f"named-{name}")
-        found = raw.where(possible(spark, bitmap(named), F.col("text_hash"))).select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spell, "hash long, shingles binary")
+        marks = bitmap(named)
+        marks = None if marks is None else spark.sparkContext.broadcast(marks)  # 64 MB at most
+        found = raw.select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spelling(marks), "hash long, shingles binary")
         asked = scratch.table(found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"]), f"spelt-{name}")
         both = pairs.join(scratch.shuffled(asked.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(asked.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
         return scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
@@ -337,7 +346,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         """links, and what they lack: pairs of texts that are not joined, that share a key in front and that size, place and parities allow."""
         texts = raw.select(F.col("text_hash").alias("hash"), "raw")
         n, total = prints.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-        counts = shingle_counts(texts.where(F.pmod("hash", F.lit(max(1, n // ORDERED))) == 0).mapInArrow(spell, "hash long, shingles binary"))
+        some = texts.where(F.pmod("hash", F.lit(max(1, n // ORDERED))) == 0).mapInArrow(spelling(), "hash long, shingles binary")
+        counts = shingle_counts(scratch.table(some, "some"))
         shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
         owners = max(parts(spark), int((1 - similarity) * total) // OWNED)
 

@@ -60,14 +60,15 @@ class WordEncoder:
     _held: dict[str, WordEncoder] = {}
 
     @classmethod
-    def of(cls, path: str) -> WordEncoder:
-        """One for each file and Python worker."""
+    def of(cls, path: str, most: int = CHUNKS) -> WordEncoder:
+        """One for each file and Python worker. most: entries in the largest of its caches."""
         if path not in cls._held:
             cls._held[path] = cls(path)
+        cls._held[path].most = most
         return cls._held[path]
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
+        self.library, self.most = Tokenizer.from_file(path), CHUNKS
         about = json.loads(self.library.to_str())
         cut = about["pre_tokenizer"]
         if cut["type"] == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"] and about["normalizer"] is None:
@@ -116,7 +117,7 @@ class WordEncoder:
 
     def packed(self, text: str) -> bytes:
         """Ids of a text as little-endian 16-bit integers."""
-        for cache, most in ((self.chunks, CHUNKS), (self.plain_chunks, CHUNKS // 4), (self.pieces, PIECES)):
+        for cache, most in ((self.chunks, self.most), (self.plain_chunks, self.most // 4), (self.pieces, self.most * PIECES // CHUNKS)):
             if len(cache) > most:
                 cache.clear()
         if self.kind == "word" and self.specials and self.specials.search(text):
