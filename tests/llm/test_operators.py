@@ -834,3 +834,40 @@ def test_oracles(spark, sf):
 def test_one_query_for_each_operator():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()) == list(range(1, 11))
     json.dumps(list(Q.oracle_sql()))
+
+
+@pytest.mark.parametrize("spread, cells", [(1.0, 1), (0.02, 2)])
+def test_embeddings_cells_only_where_they_pay(spark, monkeypatch, spread, cells):
+    """Unrelated vectors, guests of most cells, are not copied into them; vectors in clusters are. Links are those of brute force."""
+    from tidemark.llm import embeddings
+    from tidemark.llm.common import Scratch
+
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(10, 64)), 200, 0) * (spread < 1) + rng.normal(0, spread, (2_000, 64))
+    x = np.concatenate([x, x[:300] + rng.normal(0, spread * 0.2, (300, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    seen, table = {}, Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name: seen.setdefault(name, table(self, df, name)))
+    monkeypatch.setattr(embeddings, "CELL", 256)
+    monkeypatch.setattr(embeddings, "ROW", 1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in rows(embeddings.embedding_dedup(df))}
+    n = (x @ x.T >= 0.9).sum(1) - 1
+    assert [got[i] for i in range(len(n))] == n.tolist() and n.sum() > 500
+    assert seen["sizes"].count() == 1 if cells == 1 else seen["sizes"].count() >= cells
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_embeddings_products_by_single_precision(dense):
+    from tidemark.llm.embeddings import alike
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1_300, 12)) * (0.2 if dense else 1) + dense
+    x[900:] = x[:400] + rng.normal(0, 0.13, (400, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = np.arange(0, 1_300, 2), np.arange(1, 1_300, 2)
+    every = np.arange(1_300)
+    for p, q, same in ((a, b, False), (every, every, True)):
+        want = {(int(p[i]), int(q[j])) for i, j in np.argwhere(x[p] @ x[q].T >= 0.9) if not same or i < j}
+        got = [(int(u), int(v)) for us, vs in alike(x, p, q, 0.9, same) for u, v in zip(us, vs, strict=True)]
+        assert set(got) == want and len(got) == len(want) > 5

@@ -8,11 +8,13 @@ meet in both homes, the smaller cell counts.
 
 Cells that hold many vectors are cut again in the same way: the centroids of the first level come from a sample on the
 driver, those of the second from a sample of each cell, in one task for each. A cell that is still large, as one of near
-copies, is cut into blocks, and each pair of blocks is a task of its own. Products are in double precision. Blocks hand on
-link counts and a star per group.
+copies, is cut into blocks, and each pair of blocks is a task of its own. Products are in single precision, less a margin
+for their rounding, and in double precision for what that leaves. Blocks hand on link counts and a star per group.
 
-Work: vectors that lie in clusters are guests of few cells; without clusters (unrelated vectors of 64 dimensions) they are
-guests of about half of all cells, and rows and products grow nearly with the square of the vectors.
+Work: vectors that lie in clusters are guests of few cells. Without clusters (unrelated vectors of 64 dimensions) they are
+guests of about half of all cells, so that cells cost more than they save. All visits are counted before a row is copied,
+and where comparing all vectors in blocks costs less, there is one cell. The rows are then copied once for each block; the
+products grow with the square of the vectors, which no border can help where all vectors are far from each other alike.
 
 Cases: null, zero and non-finite vectors, and empty ones, link with nothing; vectors of different lengths do not link;
 equal and repeated vectors link with each other; an empty table gives an empty result; other columns are not looked at.
@@ -34,6 +36,8 @@ FIRST = 256  # cells of the first level, or the square root of all cells if that
 SECOND = 1_024  # cells of the second level in one of the first, at most; what they hold too many of goes into blocks
 PER_CELL = 24  # sampled vectors for each cell
 BLOCK = 32_768  # rows of a cell, guests too, that one task takes against as many others
+ROW = 2_000  # products that cost as much as one more copy of a row
+TILE = 512, 2_048  # rows of one product
 DEALT = "rep long, times long, vec {vec}, top int, home_top int, tops array<int>"
 
 
@@ -98,6 +102,12 @@ def _count(cells, threshold: float):
     return run
 
 
+def cells_pay(n: np.ndarray, homes: np.ndarray) -> bool:
+    """n, homes: the vectors that each cell will have, and those at home. Whether that costs less than one cell in blocks."""
+    total = float(homes.sum())
+    return float(n.astype(float) @ homes) + ROW * float(n.sum()) < total * total / 2 + ROW * total * math.ceil(total / BLOCK)
+
+
 def _first(cells, threshold: float):
     def run(batches):
         for b in batches:
@@ -145,6 +155,28 @@ def _told_elsewhere(u: np.ndarray, v: np.ndarray, here: int, home: np.ndarray, v
     return ((home[u] == here) & there[u, at[v]]) | ((home[v] == here) & there[v, at[u]])
 
 
+def alike(x: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float, same: bool = False):
+    """Pairs of rows, one of a and one of b, with a product of `threshold` or more, in parts; same: a is b, and each pair is
+    told once. Single precision errs by less than the margin; what it does not rule out is settled in double precision."""
+    low = np.float32(threshold - 2e-7 * (x.shape[1] + 8))
+    fa, fb = x[a].astype(np.float32), x[b].astype(np.float32)
+    for p in range(0, len(a), TILE[0]):
+        for q in range(0, len(b), TILE[1]):
+            u, v = a[p : p + TILE[0]], b[q : q + TILE[1]]
+            if same and q + len(v) <= p:
+                continue
+            at = np.flatnonzero((fa[p : p + len(u)] @ fb[q : q + len(v)].T).ravel() >= low)
+            if 16 * len(at) > len(u) * len(v):
+                at = np.flatnonzero((x[u] @ x[v].T).ravel() >= threshold)
+            else:
+                at = np.concatenate([at[:0], *(s[np.einsum("ij,ij->i", x[u[s // len(v)]], x[v[s % len(v)]]) >= threshold] for s in (at[i : i + 4_096] for i in range(0, len(at), 4_096)))])
+            r, c = np.divmod(at, len(v))
+            if same:
+                r, c = r[p + r < q + c], c[p + r < q + c]
+            if len(r):
+                yield u[r], v[c]
+
+
 def _compare(threshold: float):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         leaf, i, j = (x.as_py() for x in key)
@@ -160,13 +192,7 @@ def _compare(threshold: float):
 
         def meet(a: np.ndarray, b: np.ndarray, same: bool = False) -> None:
             nonlocal links, held, root
-            for p in range(0, len(a), 256):
-                r, q = np.nonzero(x[a[p : p + 256]] @ x[b].T >= threshold)
-                u, v = a[p + r], b[q]
-                if same:
-                    u, v = u[u < v], v[u < v]
-                if not len(u):
-                    continue
+            for u, v in alike(x, a, b, threshold, same):
                 new = ~_told_elsewhere(u, v, top, home_top, group.column("tops")) & ~_told_elsewhere(u, v, leaf, home_leaf, group.column("leaves"))
                 u, v = u[new], v[new]
                 links += np.bincount(u, times[v], n).astype(np.int64) + np.bincount(v, times[u], n).astype(np.int64)
@@ -223,9 +249,18 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         cells[dim], first = (c, first), first + len(c)
     shared = spark.sparkContext.broadcast(cells)  # FIRST or the square root of n / CELL centroids for each length
     kind = nodes.schema["vec"].dataType.simpleString()
+    told = nodes.select("vec", "dim").mapInArrow(_count(shared, threshold), "top int, n long, homes long").groupBy("top").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
+    told = told.orderBy("top").toArrow()  # a row for each cell
+    n, homes, first, kept = told.column("n").to_numpy(), told.column("homes").to_numpy(), 0, []
+    for dim, (c, at) in cells.items():
+        own = slice(at, at + len(c))
+        pay = len(c) > 1 and cells_pay(n[own], homes[own])
+        kept += list(zip(n[own].tolist(), homes[own].tolist(), [SECOND] * len(c), strict=True)) if pay else [(int(homes[own].sum()), int(homes[own].sum()), 1)]
+        cells[dim], first = (c if pay else c[:1], first), first + (len(c) if pay else 1)
+    shared = spark.sparkContext.broadcast(cells)
     dealt = nodes.mapInArrow(_first(shared, threshold), DEALT.format(vec=kind))
-    sizes = nodes.select("vec", "dim").mapInArrow(_count(shared, threshold), "top int, n long, homes long").groupBy("top").agg(F.sum("n").alias("n"), F.sum("homes").alias("homes"))
-    cut_up = F.least(F.lit(SECOND), F.ceil(F.col("homes") / CELL)).cast("int")
+    sizes = spark.createDataFrame([(i, *x) for i, x in enumerate(kept)], "top int, n long, homes long, most int")
+    cut_up = F.least("most", F.ceil(F.col("homes") / CELL)).cast("int")
     sizes = scratch.table(sizes.select("top", cut_up.alias("k"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sizes")  # a row for each cell
     leaf = F.col("top").cast("long") * SECOND
     whole = dealt.join(F.broadcast(sizes.where("k <= 1").drop("k")), "top").select(*dealt.columns, leaf.alias("leaf"), leaf.alias("home_leaf"), F.array(leaf).alias("leaves"), "blocks")
