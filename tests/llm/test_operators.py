@@ -871,3 +871,15 @@ def test_embeddings_products_by_single_precision(dense):
         want = {(int(p[i]), int(q[j])) for i, j in np.argwhere(x[p] @ x[q].T >= 0.9) if not same or i < j}
         got = [(int(u), int(v)) for us, vs in alike(x, p, q, 0.9, same) for u, v in zip(us, vs, strict=True)]
         assert set(got) == want and len(got) == len(want) > 5
+
+
+def test_gru_gates_are_whole_slices():
+    """Lanes come last inside, so that no gate's slice of a step is made of short rows."""
+    from tidemark.llm.gru import Gru
+
+    model, held, x = Gru(4, 4, 6), {}, np.zeros((3, 40), np.int32)
+    hs = model.states(np.zeros((40, 6), np.float32), x, np.ones((3, 40), np.float32), held)
+    assert hs.shape == (3, 40, 6) and held["zr"].shape == (3, 12, 40) and all(held["zr"][0][a:b].flags.c_contiguous for a, b in ((0, 6), (6, 12)))
+    g = model.p["in"][0].astype(float)
+    z, r, m = 1 / (1 + np.exp(-g[:6])), 1 / (1 + np.exp(-g[6:12])), np.tanh(g[12:])
+    assert np.allclose(held["zr"][0].T, np.concatenate([z, r]), atol=1e-5) and np.allclose(hs[0], (1 - z) * m, atol=1e-5)

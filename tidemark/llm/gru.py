@@ -14,15 +14,16 @@ import numpy as np
 WINDOW = 32
 
 
-def normalise(x: np.ndarray, bound: float) -> np.ndarray:
+def normalise(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
     """x: logits in rows; becomes their exponentials, and the logarithms of the sums are returned, of what they are above
-    each row's greatest if `bound`, the greatest size a logit can have, says that they might overflow."""
+    each row's greatest if `bound`, the greatest size a logit can have, says that they might overflow; and the sums."""
     top = x.max(-1, keepdims=True) if bound > 60 else None
     if top is not None:
         x -= top
     np.exp(x, out=x)
-    out = np.log(x @ np.ones(x.shape[1], x.dtype))
-    return out if top is None else out + top[:, 0]
+    total = x @ np.ones(x.shape[1], x.dtype)
+    out = np.log(total)
+    return out if top is None else out + top[:, 0], total
 
 
 class Gru:
@@ -58,29 +59,34 @@ class Gru:
 
     def states(self, h: np.ndarray, x: np.ndarray, keep: np.ndarray, held: dict | None = None) -> np.ndarray:
         """x, keep: (steps, lanes); keep is 0 where a document begins. States after each step; held gets what the gradients
-        need: the state before each step, the candidate's part of it, both gates and the candidate."""
-        n, rec, table = self.h, self.p["rec"], self.p["in"]
-        out, (steps, lanes) = np.empty((*x.shape, n), h.dtype), x.shape
+        need: the state before each step, the candidate's part of it, both gates and the candidate. Inside, lanes come last
+        (held: steps, units, lanes), so that the parts of gates and states are whole slices."""
+        n, half = self.h, np.repeat(np.array([0.5, 1], h.dtype), [2 * self.h, self.h])  # of the gates: the logistic function, by way of tanh
+        rec, table = np.ascontiguousarray((self.p["rec"] * half).T), np.ascontiguousarray((self.p["in"] * half).T)
+        (steps, lanes), h = x.shape, np.ascontiguousarray(h.T)
+        out = np.empty((steps, n, lanes), h.dtype)
         if held is not None:
-            held |= {"before": np.empty_like(out), "an": np.empty_like(out), "zr": np.empty((*x.shape, 2 * n), h.dtype), "m": np.empty_like(out)}
+            held |= {"before": np.empty_like(out), "an": np.empty_like(out), "zr": np.empty((steps, 2 * n, lanes), h.dtype), "m": np.empty_like(out)}
         for t in range(steps):
-            g = table[x[t]]
-            h = h * keep[t][:, None]
-            a = h @ rec
-            zr, m, an = g[:, : 2 * n], g[:, 2 * n :], a[:, 2 * n :]
-            zr += a[:, : 2 * n]
-            zr *= 0.5
-            np.tanh(zr, out=zr)  # the logistic function, by way of tanh
+            g = table.take(x[t], axis=1)
+            h = h * keep[t]
+            a = rec @ h
+            zr, m, an = g[: 2 * n], g[2 * n :], a[2 * n :]
+            zr += a[: 2 * n]
+            np.tanh(zr, out=zr)
             zr *= 0.5
             zr += 0.5
-            m += zr[:, n:] * an
+            if held is not None:
+                held["before"][t], held["an"][t], held["zr"][t] = h, an, zr
+            an *= zr[n:]
+            m += an
             np.tanh(m, out=m)
             if held is not None:
-                held["before"][t], held["an"][t], held["zr"][t], held["m"][t] = h, an, zr, m
+                held["m"][t] = m
             h = np.subtract(h, m, out=out[t])
-            h *= zr[:, :n]
+            h *= zr[:n]
             h += m
-        return out
+        return out.transpose(0, 2, 1)
 
     def log_probs(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """h (n, hidden), y (n): natural logarithms of the units' probabilities; with grads, also the gradient of their
@@ -92,10 +98,10 @@ class Gru:
         logits = h @ self.p["class"]
         logits += self.p["class_bias"]
         lp, dh = logits[at, cls], None
-        total = normalise(logits, self._bound(self.p["class"], self.p["class_bias"]))
-        lp -= total
+        log_total, total = normalise(logits, self._bound(self.p["class"], self.p["class_bias"]))
+        lp -= log_total
         if grads is not None:
-            logits /= logits.sum(1, keepdims=True)
+            logits /= total[:, None]
             logits[at, cls] -= 1
             grads["class"], grads["class_bias"], dh = h.T @ logits, logits.sum(0), logits @ self.p["class"].T
             grads["word"], grads["word_bias"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["word_bias"])
@@ -105,9 +111,10 @@ class Gru:
             logits = hc @ self.p["word"][c]
             logits += self.p["word_bias"][c]
             lp[own] += logits[at[: len(of)], of]
-            lp[own] -= normalise(logits, self._bound(self.p["word"][c], self.p["word_bias"][c]))
+            log_total, total = normalise(logits, self._bound(self.p["word"][c], self.p["word_bias"][c]))
+            lp[own] -= log_total
             if grads is not None:
-                logits /= logits.sum(1, keepdims=True)
+                logits /= total[:, None]
                 logits[at[: len(of)], of] -= 1
                 grads["word"][c], grads["word_bias"][c] = hc.T @ logits, logits.sum(0)
                 dh[own] += logits @ self.p["word"][c].T
@@ -122,30 +129,32 @@ class Gru:
         of the mean loss, and that loss."""
         held, grads, n = {}, {}, self.h
         hs = self.states(h, x, keep, held)
-        dhs = np.zeros_like(hs)
+        dhs = np.zeros(hs.shape, hs.dtype)
         lp, dhs[real] = self.log_probs(hs[real], y[real], grads)
-        before, an, m, z, r = held["before"], held["an"], held["m"], held["zr"][..., :n], held["zr"][..., n:]
+        dhs = np.ascontiguousarray(dhs.transpose(0, 2, 1))
+        before, an, m, z, r = held["before"], held["an"], held["m"], held["zr"][:, :n], held["zr"][:, n:]
         by_m = (1 - z) * (1 - m * m)
         by_z = (before - m) * z * (1 - z)
         by_r = an * r * (1 - r)
-        back, carry = np.ascontiguousarray(self.p["rec"].T), np.zeros_like(h)
-        d_in, d_a = np.empty((*x.shape, 3 * n), h.dtype), np.empty((*x.shape, 3 * n), h.dtype)
+        back, carry = self.p["rec"], np.zeros((n, x.shape[1]), h.dtype)
+        d_in, d_a = np.empty((len(x), 3 * n, x.shape[1]), h.dtype), np.empty((len(x), 3 * n, x.shape[1]), h.dtype)
         for t in range(len(x) - 1, -1, -1):
             dh = dhs[t]
             dh += carry
             da, di = d_a[t], d_in[t]
-            dm = np.multiply(dh, by_m[t], out=di[:, 2 * n :])
-            np.multiply(dh, by_z[t], out=da[:, :n])
-            np.multiply(dm, by_r[t], out=da[:, n : 2 * n])
-            np.multiply(dm, r[t], out=da[:, 2 * n :])
-            di[:, : 2 * n] = da[:, : 2 * n]
-            carry = da @ back
+            dm = np.multiply(dh, by_m[t], out=di[2 * n :])
+            np.multiply(dh, by_z[t], out=da[:n])
+            np.multiply(dm, by_r[t], out=da[n : 2 * n])
+            np.multiply(dm, r[t], out=da[2 * n :])
+            di[: 2 * n] = da[: 2 * n]
+            carry = back @ da
             carry += dh * z[t]
-            carry *= keep[t][:, None]
-        grads["in"], grads["rec"] = np.zeros_like(self.p["in"]), before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
+            carry *= keep[t]
+        d_in, d_a, before = (v.transpose(0, 2, 1).reshape(-1, v.shape[1]) for v in (d_in, d_a, before))
+        grads["in"], grads["rec"] = np.zeros_like(self.p["in"]), before.T @ d_a
         order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
         used, begin = np.unique(x.ravel()[order], return_index=True)
-        grads["in"][used] = np.add.reduceat(d_in.reshape(-1, 3 * n)[order], begin)
+        grads["in"][used] = np.add.reduceat(d_in[order], begin)
         total = max(1, int(real.sum()))
         return hs[-1], {k: v / total for k, v in grads.items()}, -float(lp.sum()) / total
 
