@@ -883,3 +883,32 @@ def test_gru_gates_are_whole_slices():
     g = model.p["in"][0].astype(float)
     z, r, m = 1 / (1 + np.exp(-g[:6])), 1 / (1 + np.exp(-g[6:12])), np.tanh(g[12:])
     assert np.allclose(held["zr"][0].T, np.concatenate([z, r]), atol=1e-5) and np.allclose(hs[0], (1 - z) * m, atol=1e-5)
+
+
+def test_few_links_are_few_files_and_rounds(spark, monkeypatch):
+    """However many shuffle partitions there are: files that follow the rows, no round after the stars, no table of a round left."""
+    from tidemark.llm import common
+    from tidemark.llm.components import components as joined
+
+    written, table = {}, common.Scratch.table
+
+    def recorded(self, df, name):
+        out = table(self, df, name)
+        written[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(common.Scratch, "table", recorded)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        scratch = common.Scratch(spark, "few")
+        links = [(10 * i, 10 * i + j) for i in range(100) for j in range(1, 4)]
+        roots = joined(spark.createDataFrame(links, "u long, v long"), scratch, rows=len(links))
+        assert sorted(map(tuple, roots.collect())) == sorted((v, u) for u, v in links)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(written.values()) <= spark.sparkContext.defaultParallelism
+    assert sorted(written) == ["cc-0", "cc-1l", "cc-1l-min", "cc-1s", "cc-1s-min"]
+    assert os.listdir(scratch.path.removeprefix("file://")) == ["cc-1s"]

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 #: A bitmap has eight bits for each hash, and so many at most (64 MB, for 134 million hashes at a quarter full; a fuller one
 #: tells too little to be used).
 BITS, BLOCK_BITS = 1 << 29, 1 << 15
+ROWS = 100_000  # short rows that are worth a task of their own
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,10 +56,20 @@ class Scratch:
         return df.hint("merge")
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        """What Spark shuffled for it goes as soon as it is written, and not when the driver happens to collect its garbage."""
+        path, before = f"{self.path}/{name}", self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def forget(self, *names: str) -> None:
+        """Takes away tables that nothing still to be computed reads."""
+        for name in names:
+            _delete(self.spark, self.conf, f"{self.path}/{name}")
+
     def bucketed(self, df: DataFrame, name: str, column: str) -> tuple[DataFrame, DataFrame]:
         """A table laid out by a hash of a column, so that joins and groups on it need not move it; given twice: as that
         table, and as plain files with columns of their own."""
@@ -136,6 +148,12 @@ def give_back() -> None:
         trim(0)
 
 
+def narrowed(df: DataFrame, rows: int | None, worth: int = ROWS) -> DataFrame:
+    """df in no more tasks than about so many rows are worth, but in as many as there are cores, so that a table of few rows
+    is not as many files, shuffle files and tasks as there are shuffle partitions. No rows are moved for it."""
+    return df if rows is None else df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // worth)))
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

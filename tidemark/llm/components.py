@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, narrowed
 
 HELD = 1 << 20  # links that a task joins at a time
 
@@ -55,31 +55,46 @@ def folded(links: DataFrame, held: int = HELD) -> DataFrame:
     return links.select("u", "v").mapInArrow(run, "u long, v long")
 
 
-def _star(e: DataFrame, scratch: Scratch, name: str, large: bool) -> DataFrame:
-    """One step. The least neighbour of every node is written first, so that both sides of the join that follows are
-    plain exchanges, which adaptive execution can split where one node has very many links."""
+def _star(e: DataFrame, scratch: Scratch, name: str, large: bool, rows: int) -> DataFrame:
+    """One step over about so many links. The least neighbour of every node is written first, so that both sides of the join
+    that follows are plain exchanges, which adaptive execution can split where one node has very many links."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-    least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-min")
-    met = both.join(scratch.shuffled(least), "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = scratch.table(narrowed(least, rows), f"{name}-min")
+    met = narrowed(both.join(scratch.shuffled(least), "u"), 2 * rows)
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    out = out.where("u != v").distinct()
-    return scratch.table(out if large else folded(out), name)
+    out = narrowed(out.where("u != v").distinct(), rows)
+    out = scratch.table(out if large else folded(out), name)
+    scratch.forget(f"{name}-min")
+    return out
 
 
-def components(links: DataFrame, scratch: Scratch, name: str = "cc", most: int = 200) -> DataFrame:
-    """links(u, v): undirected, of longs. Returns (node, root) for every node that is not the least of its component."""
+def _open(e: DataFrame, rows: int | None) -> tuple[int, int]:
+    """How many links, and how many nodes that keep them from being stars around the least of each component: with more than
+    one link up, or with links up and down."""
+    up = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    down = e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    nodes = narrowed(up.unionByName(down).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")), rows)
+    return nodes.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()
+
+
+def components(links: DataFrame, scratch: Scratch, name: str = "cc", most: int = 200, rows: int | None = None) -> DataFrame:
+    """links(u, v): undirected, of longs; rows: about how many, if that is known. Returns (node, root) for every node that is
+    not the least of its component."""
     # the number of rounds grows with the logarithm of the nodes; one that has not ended by then is a fault, and is told
-    e = scratch.table(folded(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), f"{name}-0")
-    state = None
+    e = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    e, last = scratch.table(folded(narrowed(e, rows)), f"{name}-0"), f"{name}-0"
     for i in range(1, most + 1):
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
+        n, left = _open(e, rows)
+        if not n or (i > 1 and not left):
             break
-        state = now
-        e = _star(_star(e, scratch, f"{name}-{i}l", True), scratch, f"{name}-{i}s", False)
+        rows = n
+        e = _star(_star(e, scratch, f"{name}-{i}l", True, rows), scratch, f"{name}-{i}s", False, rows)
+        scratch.forget(last, f"{name}-{i}l")
+        last = f"{name}-{i}s"
     else:
         raise RuntimeError(f"components have not converged in {most} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, among, bitmap, give_back, parts, two
+from .common import Scratch, among, bitmap, give_back, narrowed, parts, two
 from .components import components, local_roots
 from .exact_dedup import FP_BITS, _answer, golomb_encode, owner_of
 
@@ -40,6 +40,7 @@ TOGETHER = 20_000  # members of small groups that are compared in one task
 CELL = 1_024  # members of a group that are compared with so many others at a time
 FRONT = "pid long, u long, size long, keys binary, marks binary, owner int, n int, payload binary"
 ORDERED = 50_000  # texts that tell which shingles are frequent, about
+LONG = 5_000  # sets of shingles, or pairs of them, that are worth a task of their own
 COUNTERS = 1 << 24  # of the sketch of how frequent shingles are, at most (32 MB)
 
 
@@ -170,7 +171,8 @@ def near_groups(prints: DataFrame, radius: int = 2, shard: int = SHARD, sampled:
     """prints(doc_id, text_hash, fp), a stored table: adds component_id, the smallest id reachable over links of at most radius bits."""
     spark = prints.sparkSession
     scratch = Scratch(spark, "simhash")
-    nodes = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
+    rows = prints.count()
+    nodes = scratch.table(narrowed(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), rows), "nodes")
     n = nodes.count()
     depth = max(0, math.ceil(math.log2(max(1, n / shard))))
     share = min(1.0, 1.2 * PER_LEAF * 2 ** min(depth, sampled) / max(1, n))
@@ -187,8 +189,8 @@ def near_groups(prints: DataFrame, radius: int = 2, shard: int = SHARD, sampled:
 
     dealt = nodes.where("rep is not null").mapInArrow(deal, "shard long, rep long, fp long")
     links = dealt.groupBy("shard").applyInArrow(_shard(radius), "u long, v long")
-    roots = components(links, scratch)
-    named = nodes.join(scratch.shuffled(roots), nodes.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    roots = components(links, scratch, rows=n)
+    named = narrowed(nodes.join(scratch.shuffled(roots), nodes.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id")), n)
     return prints.join(scratch.shuffled(scratch.table(named, "named")), "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
@@ -293,13 +295,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
 
     raw = rows.select("doc_id", "text_hash", F.col("text").cast("binary").alias("raw"))
     prints = scratch.table(raw.mapInArrow(sketch, "doc_id long, text_hash long, fp long, size long, keys array<long>"), "prints")
-    keyed = scratch.table(prints.select(F.col("text_hash").alias("u"), "size", F.explode("keys").alias("key")).distinct(), "keyed")
+    total = prints.count()
+    keyed = prints.select(F.col("text_hash").alias("u"), "size", F.explode("keys").alias("key")).distinct()
+    keyed = scratch.table(narrowed(keyed, samples * total), "keyed")
     many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch.table(keyed.join(scratch.shuffled(scratch.table(many, "many")), "key"), "members")
-    reach = scratch.table(members.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("reach")), "reach")
-    members = scratch.table(members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "n", "u", "size", "reach"), "reached")
-    near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
-    near = scratch.table(near, "near")
+    many = scratch.table(narrowed(many, samples * total), "many")
+    members = scratch.table(narrowed(keyed.join(scratch.shuffled(many), "key"), samples * total), "members")
+    scratch.forget("keyed", "many")
+    reach = scratch.table(narrowed(members.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("reach")), total), "reach")
+    reached = members.join(scratch.shuffled(reach), F.col("u") == F.col("node")).select("key", "n", "u", "size", "reach")
+    reached = scratch.table(narrowed(reached, samples * total), "reached")
+    scratch.forget("members", "reach")
+    near = near_groups(prints.select(F.col("text_hash").alias("doc_id"), "text_hash", "fp"), radius).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v")
+    near = scratch.table(narrowed(narrowed(near, total).distinct(), total), "near")
 
     def spelling(marks=None):
         """Of the texts, or of those that a bitmap tells to be possible."""
@@ -327,29 +335,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
     def settled(proposals: DataFrame, name: str) -> DataFrame:
         """Of the proposals those whose sets are alike; only texts that are named are spelt."""
         pairs = scratch.table(proposals.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"pairs-{name}")
-        named = scratch.table(pairs.select(F.col("u").alias("hash")).union(pairs.select("v")).distinct(), f"named-{name}")
+        n = pairs.count()
+        named = scratch.table(narrowed(pairs.select(F.col("u").alias("hash")).union(pairs.select("v")).distinct(), min(2 * n, total)), f"named-{name}")
         marks = bitmap(named)
         marks = None if marks is None else spark.sparkContext.broadcast(marks)  # 64 MB at most
         found = raw.select(F.col("text_hash").alias("hash"), "raw").mapInArrow(spelling(marks), "hash long, shingles binary")
-        asked = scratch.table(found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"]), f"spelt-{name}")
+        asked = found.join(scratch.shuffled(named), "hash", "left_semi").dropDuplicates(["hash"])
+        asked = scratch.table(narrowed(asked, min(2 * n, total), LONG), f"spelt-{name}")
         both = pairs.join(scratch.shuffled(asked.select(F.col("hash").alias("u"), F.col("shingles").alias("a"))), "u").join(scratch.shuffled(asked.select(F.col("hash").alias("v"), F.col("shingles").alias("b"))), "v")
-        return scratch.table(both.select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
+        links = scratch.table(narrowed(both, n, LONG).select("u", "v", "a", "b").mapInArrow(settle, "u long, v long"), f"links-{name}")
+        scratch.forget(f"pairs-{name}", f"named-{name}", f"spelt-{name}")
+        return links
 
     def proposed(members: DataFrame, leads: list, name: str) -> DataFrame:
         """Every member of a group with each lead of it, where sizes allow the similarity and labels differ."""
         led = members.groupBy("key").agg(F.array_distinct(F.array(*leads)).alias("leads"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        led = scratch.table(led.select("key", F.explode("leads").alias("v")), f"leads-{name}")
-        told = members.join(scratch.shuffled(led), "key").where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
+        led = scratch.table(narrowed(led.select("key", F.explode("leads").alias("v")), samples * total), f"leads-{name}")
+        told = narrowed(members.join(scratch.shuffled(led), "key"), samples * total).where((F.col("label") != F.col("v.label")) & (F.least("size", "v.size") >= similarity * F.greatest("size", "v.size")))
         return told.select("u", F.col("v.u").alias("v"), F.col("v.reach").alias("v_reach"))
 
     def rest(links: DataFrame) -> DataFrame:
         """links, and what they lack: pairs of texts that are not joined, that share a key in front and that size, place and parities allow."""
         texts = raw.select(F.col("text_hash").alias("hash"), "raw")
-        n, total = prints.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-        some = texts.where(F.pmod("hash", F.lit(max(1, n // ORDERED))) == 0).mapInArrow(spelling(), "hash long, shingles binary")
+        keys = prints.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        some = texts.where(F.pmod("hash", F.lit(max(1, total // ORDERED))) == 0).mapInArrow(spelling(), "hash long, shingles binary")
         counts = shingle_counts(scratch.table(some, "some"))
+        scratch.forget("some")
         shared = spark.sparkContext.broadcast(counts)  # COUNTERS at most
-        owners = max(parts(spark), int((1 - similarity) * total) // OWNED)
+        owners = max(parts(spark), int((1 - similarity) * keys) // OWNED)
 
         def front(batches):
             """A row for each text, and for each chunk of them a message to every owner of keys."""
@@ -433,33 +446,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ra
         plain = sent.where("payload is null")
         met = plain.select("pid", "u", "size", "keys").groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(met_again, "key long, u long, size long, pos int").distinct()
         met = scratch.table(met, "met")
+        n = met.count()
         for turn, best in (("best", True), ("rest", False)):  # first a pair for each text, so that few are left to the pass over all
-            own = scratch.shuffled(scratch.table(components(links, scratch, f"cc-{turn}"), f"joined-{turn}"))
-            labelled = scratch.table(met.join(own, F.col("u") == F.col("node"), "left").select("key", "u", "size", "pos", F.coalesce("root", "u").alias("label")), f"{turn}-members")
+            steps = Scratch(spark, f"near-{turn}")
+            own = scratch.shuffled(scratch.table(components(links, steps, rows=links.count()), f"joined-{turn}"))
+            steps.drop()
+            labelled = met.join(own, F.col("u") == F.col("node"), "left").select("key", "u", "size", "pos", F.coalesce("root", "u").alias("label"))
+            labelled = scratch.table(narrowed(labelled, n), f"{turn}-members")
             unsettled = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-            unsettled = scratch.table(unsettled.select("key", "n", F.ceil(F.col("n") / CELL).alias("cells")), f"{turn}-open")
-            held = unsettled.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-            compared = scratch.table(labelled.join(scratch.shuffled(unsettled.drop("n")), "key"), f"{turn}-compared")
-            compared = compared.join(scratch.shuffled(plain.select(F.col("u").alias("text"), "marks").dropDuplicates(["text"])), F.col("u") == F.col("text"))
+            unsettled = scratch.table(narrowed(unsettled.select("key", "n", F.ceil(F.col("n") / CELL).alias("cells")), n), f"{turn}-open")
+            held, copied = unsettled.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("cells")), F.lit(0))).first()
+            compared = scratch.table(narrowed(labelled.join(scratch.shuffled(unsettled.drop("n")), "key"), n), f"{turn}-compared")
+            compared = narrowed(compared.join(scratch.shuffled(plain.select(F.col("u").alias("text"), "marks").dropDuplicates(["text"])), F.col("u") == F.col("text")), copied)
             part = F.when(F.col("cells") > 1, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(held // TOGETHER + 1)))  # keys of few texts go together
             compared = compared.withColumn("part", part).withColumn("cell", F.pmod(F.xxhash64("u"), "cells"))
             compared = compared.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)))
             cells = compared.select("part", "key", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b"), "u", "size", "pos", "label", "cell", "marks")
             pairs = cells.groupBy("part", "a", "b").applyInArrow(comparing(best), "u long, v long")
             links = links.unionByName(settled(pairs, turn))
+            scratch.forget(f"joined-{turn}", *(f"{turn}-{x}" for x in ("members", "open", "compared")))
+        scratch.forget("fronts", "met")
         return links
 
     who = F.struct("u", "size", "label", "reach")
     far = F.max_by(who, F.struct("reach", "u"))  # the member whose samples reach most others
-    begun = proposed(members.withColumn("label", F.col("u")), [far], "first")
-    begun = begun.groupBy("u").agg(F.max_by("v", F.struct("v_reach", "v")).alias("v"))  # the widest lead of each text
+    begun = proposed(reached.withColumn("label", F.col("u")), [far], "first")
+    begun = narrowed(begun.groupBy("u").agg(F.max_by("v", F.struct("v_reach", "v")).alias("v")), total)  # the widest lead of each text
     links = settled(begun.unionByName(near), "first")
+    scratch.forget("reached", "near", "leads-first")
     links = rest(links)
-    roots = components(links, scratch)
+    n = links.count()
+    roots = components(links, scratch, rows=n)
     copies = prints.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("text_hash").alias("hash"))
     groups = links.select(F.explode(F.array("u", "v")).alias("hash")).union(copies).distinct()
-    groups = scratch.table(groups.join(scratch.shuffled(roots), groups.hash == roots.node, "left").select("hash", F.coalesce("root", "hash").alias("label")), "labels")
-    own = scratch.table(prints.select("doc_id", "text_hash").join(scratch.shuffled(groups), F.col("text_hash") == F.col("hash")).select("doc_id", "text_hash", "label"), "own")
+    groups = groups.join(scratch.shuffled(roots), groups.hash == roots.node, "left").select("hash", F.coalesce("root", "hash").alias("label"))
+    groups = scratch.table(narrowed(groups, total), "labels")
+    own = prints.select("doc_id", "text_hash").join(scratch.shuffled(groups), F.col("text_hash") == F.col("hash")).select("doc_id", "text_hash", "label")
+    own = scratch.table(narrowed(own, total), "own")
     best = own.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
-    out = own.join(scratch.shuffled(scratch.table(best, "best")), "label")
+    out = narrowed(own.join(scratch.shuffled(scratch.table(narrowed(best, total), "best")), "label"), total)
     return out.select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("stays"))
